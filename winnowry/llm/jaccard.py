@@ -24,6 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import chunks, cut, stored, table, text_parts
+from .filters import bitmap, has
 from .hashing import mix
 from .words import LOWER, VISIBLE, hashes, spans
 
@@ -230,36 +231,6 @@ def meeting(rows: DataFrame) -> DataFrame:
     return plain.mapInArrow(several, "sig long, sid long, first long").unionByName(rows.filter("first is not null"))
 
 
-def bitmap(ids: DataFrame, bits: int) -> np.ndarray:
-    """A filter of 2**bits bits of the ids; what reaches the driver has that size."""
-    cells = 1 << max(0, bits - 16)
-
-    def mark(batches):
-        own = np.zeros(1 << bits, bool)
-        for b in batches:
-            own[(b.column(0).to_numpy(zero_copy_only=False).view(np.uint64) >> np.uint64(64 - bits)).astype(np.int64)] = True
-        parts = np.packbits(own).reshape(cells, -1)
-        some = np.flatnonzero(parts.any(axis=1))
-        if len(some):
-            yield pa.RecordBatch.from_arrays([pa.array(some), pa.array([parts[i].tobytes() for i in some])], names=["cell", "part"])
-
-    def unite(key, t):
-        out = np.zeros((1 << bits) // 8 // cells, np.uint8)
-        for p in t.column("part").to_pylist():
-            out |= np.frombuffer(p, np.uint8)
-        return pa.table({"cell": t.column("cell").slice(0, 1), "part": [out.tobytes()]})
-
-    whole = np.zeros((cells, (1 << bits) // 8 // cells), np.uint8)
-    for r in ids.mapInArrow(mark, "cell long, part binary").groupBy("cell").applyInArrow(unite, "cell long, part binary").toLocalIterator():
-        whole[r["cell"]] = np.frombuffer(r["part"], np.uint8)
-    return whole.reshape(-1)
-
-
-def has(whole: np.ndarray, keys: np.ndarray, bits: int) -> np.ndarray:
-    i = (keys >> np.uint64(64 - bits)).astype(np.int64)
-    return (whole[i >> 3] >> (7 - (i & 7)).astype(np.uint8)) & 1 != 0
-
-
 def set_rows(docs: DataFrame, wanted: Broadcast, words: int = WORDS) -> DataFrame:
     """sid and shingles of the sets in the filter; 5 bytes a shingle, ascending."""
 
@@ -271,7 +242,7 @@ def set_rows(docs: DataFrame, wanted: Broadcast, words: int = WORDS) -> DataFram
                 value, offs = sets(data, at[lo : hi + 1], words)
                 key = keys_of(value, offs)
                 out = []
-                for i in np.flatnonzero(has(wanted.value, key, FILTER_BITS) & (np.diff(offs) > 0)).tolist():
+                for i in np.flatnonzero(has(wanted.value, key) & (np.diff(offs) > 0)).tolist():
                     if (k := int(key[i])) not in seen:
                         seen.add(k)
                         out.append((i, value[offs[i] : offs[i + 1]].astype(">u8").view(np.uint8).reshape(-1, 8)[:, :5].tobytes()))

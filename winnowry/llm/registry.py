@@ -5,8 +5,9 @@ from __future__ import annotations
 from .decontaminate import op7_decontaminate
 from .jaccard import op9_jaccard_join
 from .packing import op8_pack
+from .substrings import op3_substrings
 from .token_store import op2_token_store
 
-QUERIES = {"op2_token_store": op2_token_store, "op7_decontaminate": op7_decontaminate, "op8_pack": op8_pack, "op9_jaccard_join": op9_jaccard_join}
+QUERIES = {"op2_token_store": op2_token_store, "op3_substrings": op3_substrings, "op7_decontaminate": op7_decontaminate, "op8_pack": op8_pack, "op9_jaccard_join": op9_jaccard_join}
 
 ORACLE_SQL: dict[str, str] = {}
