@@ -5,9 +5,19 @@ from __future__ import annotations
 from .decontaminate import op7_decontaminate
 from .jaccard import op9_jaccard_join
 from .packing import op8_pack
+from .quality import op4_quality
 from .substrings import op3_substrings
 from .token_store import op2_token_store
+from .toxicity import op1_toxicity
 
-QUERIES = {"op2_token_store": op2_token_store, "op3_substrings": op3_substrings, "op7_decontaminate": op7_decontaminate, "op8_pack": op8_pack, "op9_jaccard_join": op9_jaccard_join}
+QUERIES = {
+    "op1_toxicity": op1_toxicity,
+    "op2_token_store": op2_token_store,
+    "op3_substrings": op3_substrings,
+    "op4_quality": op4_quality,
+    "op7_decontaminate": op7_decontaminate,
+    "op8_pack": op8_pack,
+    "op9_jaccard_join": op9_jaccard_join,
+}
 
 ORACLE_SQL: dict[str, str] = {}
