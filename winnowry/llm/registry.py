@@ -3,21 +3,27 @@
 from __future__ import annotations
 
 from .decontaminate import op7_decontaminate
+from .html_blocks import op10_html_blocks
 from .jaccard import op9_jaccard_join
 from .packing import op8_pack
 from .quality import op4_quality
 from .substrings import op3_substrings
 from .token_store import op2_token_store
+from .topk import op6_top_k
 from .toxicity import op1_toxicity
+from .warc import op5_warc
 
 QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_token_store": op2_token_store,
     "op3_substrings": op3_substrings,
     "op4_quality": op4_quality,
+    "op5_warc": op5_warc,
+    "op6_top_k": op6_top_k,
     "op7_decontaminate": op7_decontaminate,
     "op8_pack": op8_pack,
     "op9_jaccard_join": op9_jaccard_join,
+    "op10_html_blocks": op10_html_blocks,
 }
 
 ORACLE_SQL: dict[str, str] = {}
