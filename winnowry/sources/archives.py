@@ -6,7 +6,6 @@ may have many members. `register` also offers them as the data source "crawl".
 
 from __future__ import annotations
 
-import gzip
 import io
 import re
 import zlib
@@ -28,13 +27,17 @@ def plain(data: bytes) -> bytes:
     """The contents of a file, all members of a gzip one; what can be read of a damaged one."""
     if not data.startswith(b"\x1f\x8b"):
         return data
-    out = io.BytesIO()
-    try:
-        with gzip.open(io.BytesIO(data)) as f:
-            while part := f.read(1 << 20):
-                out.write(part)
-    except (EOFError, OSError, zlib.error):
-        pass
+    out, at, step = io.BytesIO(), 0, 1 << 16
+    while at < len(data):
+        member = zlib.decompressobj(31)
+        while at < len(data) and not member.eof:
+            part = data[at : at + step]
+            at += len(part)
+            try:
+                out.write(member.decompress(part))
+            except zlib.error:
+                return out.getvalue()
+        at -= len(member.unused_data)
     return out.getvalue()
 
 
