@@ -10,6 +10,8 @@ window by window in a shuffle instead.
 
 Only phrases whose trigger occurs twice move, found with filters of fixed size over all triggers.
 
+Rows are numbered more than once, so the input must be a table as read, stored or cached, not a plan whose row order may change.
+
 Rows: null text is empty; texts under `length` bytes keep all; null, repeated and clashing doc_ids are kept row by row;
 further columns are ignored or passed through. Memory: a block of text, or MOST phrases of a trigger.
 """
@@ -20,13 +22,14 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import chunks, stored, table, text_parts
 from .filters import bitmap, has
-from .hashing import running, spans_of
+from .hashing import mix, running, spans_of
 
 LENGTH, GRAM = 200, 64
 #: Window starts that one numpy pass works on.
@@ -120,16 +123,32 @@ def occurrences(docs: DataFrame, often: Broadcast, length: int) -> DataFrame:
     return docs.select("uid", "text").mapInArrow(emit, "uid long, trigger long, phrase long, at long, n long")
 
 
-def dictionary(docs: DataFrame, shared: Broadcast, crowded: Broadcast, length: int) -> DataFrame:
-    """Dictionary phrases whose trigger is shared: kind 0 with their bytes, kind 1 as windows (window hash, offset)."""
+def exemplar(phrase: np.ndarray, uid: np.ndarray) -> np.ndarray:
+    """A key for a phrase in a document."""
+    return mix(phrase.view(np.uint64) ^ mix(uid.astype(np.int64).view(np.uint64)))
+
+
+def exemplars(rows: DataFrame) -> DataFrame:
+    """The keys of rows (phrase, uid)."""
+
+    def keys(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([_long(exemplar(b.column(0).to_numpy(), b.column(1).to_numpy()))], names=["key"])
+
+    return rows.select("phrase", "uid").mapInArrow(keys, "key long")
+
+
+def dictionary(docs: DataFrame, chosen: Broadcast, crowded: Broadcast, length: int) -> DataFrame:
+    """Dictionary phrases from the documents chosen for them: kind 0 with their bytes, kind 1 as windows (window hash, offset)."""
 
     def emit(batches):
         seen: set[int] = set()
         for b in batches:
-            data, at = text_parts(b.column(0))
+            data, at = text_parts(b.column(1))
+            uid = b.column(0).to_numpy()
             for lo, hi in chunks(at):
                 trigger, phrase, row, first, n = phrases(data, at[lo : hi + 1], length)
-                own = np.flatnonzero(has(shared.value, trigger))
+                own = np.flatnonzero(has(chosen.value, exemplar(phrase, uid[lo + row])))
                 fresh = []
                 for i, k in zip(own.tolist(), phrase[own].tolist(), strict=True):
                     if k not in seen:
@@ -152,7 +171,7 @@ def dictionary(docs: DataFrame, shared: Broadcast, crowded: Broadcast, length: i
                     window = spans_of(running(data[x : x + m + length - 1]), starts, starts + length)
                     yield pa.RecordBatch.from_arrays([pa.array(np.ones(m, np.int32)), _long(window), _long(np.full(m, phrase[i])), pa.array(starts), pa.nulls(m, pa.binary())], names=["kind", "key", "phrase", "offset", "bytes"])
 
-    return docs.select("text").mapInArrow(emit, "kind int, key long, phrase long, offset long, bytes binary")
+    return docs.select("uid", "text").mapInArrow(emit, "kind int, key long, phrase long, offset long, bytes binary")
 
 
 def suffix_classes(text: np.ndarray, length: int) -> np.ndarray:
@@ -189,39 +208,48 @@ RUNS = pa.list_(pa.struct([("lo", pa.int64()), ("hi", pa.int64())]))
 
 
 def compared(held: DataFrame, length: int) -> DataFrame:
-    """phrase, runs: repeated windows of dictionary phrases with common triggers; whole triggers are sorted together."""
+    """phrase, runs: repeated windows of dictionary phrases with common triggers; whole triggers are sorted together.
+
+    Rows of crowded triggers pass through as window, offset.
+    """
+    schema = pa.schema([("phrase", pa.int64()), ("runs", RUNS), ("window", pa.int64()), ("offset", pa.int64())])
 
     def sort(batches):
-        own: dict[int, tuple[int, bytes]] = {}
+        own: dict[int, bytes] = {}
         size, last = 0, None
 
         def out():
-            marks = repeated([t for _, t in own.values()], length)
+            marks = repeated(list(own.values()), length)
             names = [k for k, m in zip(own, marks, strict=True) if m.any()]
-            if names:
-                yield pa.RecordBatch.from_arrays([pa.array(names, pa.int64()), pa.array([_runs(m) for m in marks if m.any()], RUNS)], names=["phrase", "runs"])
+            n = len(names)
+            if n:
+                yield pa.RecordBatch.from_arrays([pa.array(names, pa.int64()), pa.array([_runs(m) for m in marks if m.any()], RUNS), pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64())], schema=schema)
 
         for b in batches:
-            for key, phrase, text in zip(*(b.column(i).to_pylist() for i in range(3)), strict=True):
+            windows = b.filter(pc.equal(b.column(0), 1))
+            if n := windows.num_rows:
+                yield pa.RecordBatch.from_arrays([windows.column(2), pa.nulls(n, RUNS), windows.column(1), windows.column(3)], schema=schema)
+            plain = b.filter(pc.equal(b.column(0), 0))
+            for key, phrase, text in zip(*(plain.column(i).to_pylist() for i in (1, 2, 4)), strict=True):
                 if key != last and size > 1 << 20:
                     yield from out()
                     own, size = {}, 0
                 last = key
                 if phrase not in own:
-                    own[phrase] = (key, text)
+                    own[phrase] = text
                     size += len(text)
         if own:
             yield from out()
 
-    return held.filter("kind = 0").select("key", "phrase", "bytes").repartition("key").sortWithinPartitions("key").mapInArrow(sort, "phrase long, runs array<struct<lo:long,hi:long>>")
+    return held.repartition("key").sortWithinPartitions("key").mapInArrow(sort, "phrase long, runs array<struct<lo:long,hi:long>>, window long, offset long")
 
 
-def compared_crowded(held: DataFrame) -> DataFrame:
+def compared_crowded(found: DataFrame) -> DataFrame:
     """The same for phrases with crowded triggers, by the hashes of their windows."""
-    rows = held.filter("kind = 1").select(F.col("key").alias("window"), "phrase", "offset").distinct()
+    rows = found.filter("window is not null").select("window", "phrase", "offset").distinct()
     many = rows.groupBy("window").agg(F.count("*").alias("n")).filter("n > 1").select("window")
-    found = rows.join(many, "window").groupBy("phrase").agg(F.array_sort(F.collect_set("offset")).alias("offsets"))
-    return found.select("phrase", F.transform("offsets", lambda x: F.struct(x.alias("lo"), (x + 1).alias("hi"))).alias("runs"))
+    again = rows.join(many, "window").groupBy("phrase").agg(F.array_sort(F.collect_set("offset")).alias("offsets"))
+    return again.select("phrase", F.transform("offsets", lambda x: F.struct(x.alias("lo"), (x + 1).alias("hi"))).alias("runs"))
 
 
 def removals(docs: DataFrame, length: int = LENGTH) -> DataFrame:
@@ -230,13 +258,14 @@ def removals(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     share = spark.sparkContext.broadcast
     twice = trigger_counts(docs, length).groupBy("trigger").agg(F.sum("n").alias("n")).filter("n > 1").select("trigger")
     found = stored(occurrences(docs, share(bitmap(twice, BITS)), length), "phrases")
-    entries = stored(found.groupBy("trigger", "phrase").agg(F.count("*").alias("n")), "dictionary")
-    triggers = entries.groupBy("trigger").agg(F.count("*").alias("n"))
-    shared = share(bitmap(triggers.filter("n > 1").select("trigger"), BITS))
+    entries = stored(found.groupBy("trigger", "phrase").agg(F.count("*").alias("n"), F.min("uid").alias("uid")), "dictionary")
+    # phrases of one trigger are compared only where some of them would else be unique, and read from one document each
+    triggers = stored(entries.groupBy("trigger").agg(F.count("*").alias("n"), F.min("n").alias("least")).filter("n > 1 and least = 1"), "triggers")
+    chosen = share(bitmap(exemplars(entries.join(triggers.select("trigger"), "trigger", "left_semi")), BITS))
     crowded = share(bitmap(triggers.filter(F.col("n") > MOST).select("trigger"), 20))
-    held = stored(dictionary(docs, shared, crowded, length), "dictionary-bytes")
+    held = stored(compared(dictionary(docs, chosen, crowded, length), length), "compared")
     whole = entries.filter("n > 1").select("phrase", F.lit(None).cast("array<struct<lo:long,hi:long>>").alias("runs"))
-    part = compared(held, length).unionByName(compared_crowded(held))
+    part = held.filter("window is null").select("phrase", "runs").unionByName(compared_crowded(held))
     decided = whole.unionByName(part).groupBy("phrase").agg(F.max(F.col("runs").isNull()).alias("all"), F.first("runs", ignorenulls=True).alias("runs"))
     runs = F.when(F.col("all"), F.array(F.struct(F.lit(0).cast("long").alias("lo"), F.col("n").alias("hi")))).otherwise(F.col("runs"))
     spans = F.transform(runs, lambda r: F.struct((F.col("at") + r["lo"]).alias("lo"), (F.col("at") + r["hi"] + F.lit(length - 1)).alias("hi")))
