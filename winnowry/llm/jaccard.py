@@ -1,14 +1,17 @@
 """Jaccard join of documents on word shingles, by token-combination prefixes.
 
 Documents with equal shingle sets are one class, and classes are joined. Shingles that hold many documents are frequent; in
-the order of all shingles they stand last. Two sets that link share a shingle in the prefixes of their orders; where a
+the order of all shingles they stand last, and those seen twice before them. Two sets that link share a shingle in the prefixes of their orders; where a
 prefix reaches frequent shingles it is extended by one for each of GROUPS groups of them, so that the two share a rare
 shingle or two frequent ones of a group. Rare shingles are indexed alone, frequent ones in pairs; classes that meet in the
 index are compared exactly.
 
-A bucket of the index isn't expanded into all pairs. Each member is compared with its bucket's first; components of the
-links found so far are formed; only members of different components are compared further, until none are left. No link
-between different sets is lost to this: pairs within a component add nothing to components.
+A bucket of the index isn't expanded into all pairs. Each class is compared with the bucket's first that it meets most often,
+then, in rounds, with some of a few other members; components of the links found so far are formed; then only members of different components
+that share enough of their prefixes to link are compared. No link between different sets is lost to this: pairs within a
+component add nothing to components.
+
+Rows are numbered more than once, so the input must be a table as read, stored or cached, not a plan whose row order may change.
 
 Rows: null, empty or wordless text has no shingles and links with nothing; fewer words than a shingle's are one shingle;
 null doc_ids are kept, and stand for no component unless all of it have null; repeated doc_ids are kept row by row; further
@@ -33,14 +36,19 @@ WORDS = 5
 GROUPS = 16
 SMALL = 21
 #: A shingle is frequent if it is in FREQUENT documents and in one of 2**FEW of all shingles, at least.
-FREQUENT, FEW = 64, 17
+FREQUENT, FEW = 64, 20
 #: Documents of a flush in which a shingle must be for its count to be passed on.
-LOCAL = 4
+LOCAL = 2
+#: Bits of the filter of shingles seen twice; it orders shingles and decides nothing.
+SEEN_BITS = 27
 #: Signatures that a task holds; from a bucket with more than HOT members in a task, only the first and pairs go on.
 FLUSH, HOT = 1 << 21, 32
 #: Bits of the filter for the sets to be compared; bits beyond what these can tell apart cost only time.
 FILTER_BITS = 24
 NONE = (1 << 63) - 1
+#: Rounds of comparisons with a bucket's first before members of different components are compared pair by pair; members of a
+#: bucket that stand for it from the second round on, and how many of them a class is compared with.
+TURNS, PIVOTS, BEST = 4, 8, 4
 
 
 def sets(data: np.ndarray, at: np.ndarray, words: int = WORDS):
@@ -82,8 +90,8 @@ def keys_of(value: np.ndarray, offs: np.ndarray) -> np.ndarray:
     return mix(mix(sums[offs[1:]] - sums[offs[:-1]]) + count)
 
 
-def signatures(value: np.ndarray, offs: np.ndarray, frequent: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The index keys of each set, and the sets they are of."""
+def signatures(value: np.ndarray, offs: np.ndarray, frequent: np.ndarray, seen: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The index keys of each set, the sets they are of, and the sizes as index_rows has them. Order: seen once, seen twice, frequent; each by hash."""
     n = np.diff(offs)
     owner = np.repeat(np.arange(len(n)), n)
     if len(frequent):
@@ -91,7 +99,7 @@ def signatures(value: np.ndarray, offs: np.ndarray, frequent: np.ndarray) -> tup
         often = frequent[np.minimum(place, len(frequent) - 1)] == value
     else:
         often = np.zeros(len(value), bool)
-    by = np.argsort(owner * 2 + often, kind="stable")  # rare first, each part ascending
+    by = np.argsort(owner * 3 + np.where(often, 2, has(seen, value)), kind="stable")  # each part ascending
     value, often = value[by], often[by]
     rare = n - np.bincount(owner[often], minlength=len(n)) if len(value) else n
     prefix = n - (3 * n + 3) // 4 + 1
@@ -114,15 +122,15 @@ def signatures(value: np.ndarray, offs: np.ndarray, frequent: np.ndarray) -> tup
             keys.append(mix(v[:-k][same] * np.uint64(0x9E3779B97F4A7C15) + v[k:][same]))
             of.append(o[k:][same])
             k += 1
-    return np.concatenate(keys), np.concatenate(of)
+    return np.concatenate(keys), np.concatenate(of), np.where((prefix > rare) & (n > (SMALL * 4) // 3), -n, n)
 
 
 def _long(x: np.ndarray) -> pa.Array:
     return pa.array(np.ascontiguousarray(x).view(np.int64))
 
 
-def frequent_shingles(docs: DataFrame, words: int = WORDS) -> tuple[DataFrame, np.ndarray]:
-    """Class rows (uid, doc_id, sid, n) of all documents, and the frequent shingles, ascending: 2**FEW of them at most."""
+def frequent_shingles(docs: DataFrame, words: int = WORDS) -> tuple[DataFrame, np.ndarray, np.ndarray]:
+    """Class rows (uid, doc_id, sid, n) of all documents; the frequent shingles, ascending, 2**FEW of them at most; a filter of those seen twice."""
 
     def count(batches):
         held, size = [], 0
@@ -151,11 +159,15 @@ def frequent_shingles(docs: DataFrame, words: int = WORDS) -> tuple[DataFrame, n
     total = classes.agg(F.sum("n")).first()[0] or 0
     least = max(FREQUENT, total // (1 << FEW) + 1)
     often = rows.filter("kind = 1").groupBy("sid").agg(F.sum("n").alias("n")).filter(F.col("n") >= least).select("sid")
-    return classes, np.sort(np.array([r[0] for r in often.collect()], np.int64).view(np.uint64))
+    held = often.toArrow().column(0).to_numpy()
+    return classes, np.sort(held.view(np.uint64)), bitmap(rows.filter("kind = 1").select("sid"), SEEN_BITS)
+
 
+def index_rows(docs: DataFrame, order: Broadcast, words: int = WORDS) -> DataFrame:
+    """Index rows (sig, sid, n); for buckets that are large within a task: pairs with the first (sig, sid, n, first, m) of all others.
 
-def index_rows(docs: DataFrame, frequent: Broadcast, words: int = WORDS) -> DataFrame:
-    """Index rows (sig, sid); for buckets that are large within a task: pairs (sig, sid, first) of all but the first."""
+    n is the set's size, negative where its prefix reaches frequent shingles, so that single ones don't tell all it shares.
+    """
 
     def emit(batches):
         seen: set[int] = set()
@@ -163,24 +175,24 @@ def index_rows(docs: DataFrame, frequent: Broadcast, words: int = WORDS) -> Data
         size = 0
 
         def flush():
-            sig, sid = (np.concatenate(x) for x in zip(*held, strict=True))
+            sig, sid, n = (np.concatenate(x) for x in zip(*held, strict=True))
             by = np.lexsort((sid, sig))
-            sig, sid = sig[by], sid[by]
+            sig, sid, n = sig[by], sid[by], n[by]
             fresh = np.concatenate([[True], (sig[1:] != sig[:-1]) | (sid[1:] != sid[:-1])]) if len(sig) else np.zeros(0, bool)
-            sig, sid = sig[fresh], sid[fresh]
-            _, start, n = np.unique(sig, return_index=True, return_counts=True)
-            start, n = np.repeat(start, n), np.repeat(n, n)
-            spare = (n > HOT) & (np.arange(len(sig)) > start)
+            sig, sid, n = sig[fresh], sid[fresh], n[fresh]
+            _, start, many = np.unique(sig, return_index=True, return_counts=True)
+            start, many = np.repeat(start, many), np.repeat(many, many)
+            spare = (many > HOT) & (np.arange(len(sig)) > start)
             for lo in range(0, len(sig), 1 << 17):
                 own = slice(lo, lo + (1 << 17))
-                yield pa.RecordBatch.from_arrays([_long(sig[own]), _long(sid[own]), pa.array(sid[start[own]].view(np.int64), mask=~spare[own])], names=["sig", "sid", "first"])
+                yield pa.RecordBatch.from_arrays([_long(sig[own]), _long(sid[own]), pa.array(n[own]), pa.array(sid[start[own]].view(np.int64), mask=~spare[own]), pa.array(n[start[own]], mask=~spare[own])], names=["sig", "sid", "n", "first", "m"])
 
         for b in batches:
             data, at = text_parts(b.column(0))
             for lo, hi in chunks(at):
                 value, offs = sets(data, at[lo : hi + 1], words)
                 key = keys_of(value, offs)
-                sig, of = signatures(value, offs, frequent.value)
+                sig, of, size_of = signatures(value, offs, *order.value)
                 fresh = np.zeros(hi - lo, bool)
                 for i, k in enumerate(key.tolist()):
                     if k not in seen:
@@ -189,7 +201,7 @@ def index_rows(docs: DataFrame, frequent: Broadcast, words: int = WORDS) -> Data
                 if len(seen) > 1_000_000:
                     seen.clear()
                 own = fresh[of]
-                held.append((sig[own], key[of[own]]))
+                held.append((sig[own], key[of[own]], size_of[of[own]]))
                 size += int(own.sum())
                 if size > FLUSH:
                     yield from flush()
@@ -197,38 +209,49 @@ def index_rows(docs: DataFrame, frequent: Broadcast, words: int = WORDS) -> Data
         if held:
             yield from flush()
 
-    return docs.select("text").mapInArrow(emit, "sig long, sid long, first long")
+    return docs.select("text").mapInArrow(emit, "sig long, sid long, n long, first long, m long")
 
 
 def meeting(rows: DataFrame) -> DataFrame:
     """The index rows of buckets with two members or more, each with its bucket's first."""
-    plain = rows.filter("first is null").drop("first").repartition("sig").sortWithinPartitions("sig", "sid")
+    plain = rows.filter("first is null").drop("first", "m").repartition("sig").sortWithinPartitions("sig", "sid")
 
     def several(batches):
-        tail_sig, tail_sid, first, open_ = None, None, None, False  # the last row so far, its bucket's first, whether it went out
+        tail, first, open_ = None, None, False  # the last row so far, its bucket's first row, whether it went out
         for b in batches:
-            sig, sid = (b.column(i).to_numpy(zero_copy_only=False) for i in (0, 1))
+            sig, sid, n = (b.column(i).to_numpy(zero_copy_only=False) for i in range(3))
             if not len(sig):
                 continue
             fresh = np.concatenate([[True], (sig[1:] != sig[:-1]) | (sid[1:] != sid[:-1])])
-            fresh[0] = (sig[0], sid[0]) != (tail_sig, tail_sid)
-            sig, sid = sig[fresh], sid[fresh]
+            fresh[0] = tail is None or (sig[0], sid[0]) != tail[:2]
+            sig, sid, n = sig[fresh], sid[fresh], n[fresh]
             if not len(sig):
                 continue
-            begins = np.concatenate([[sig[0] != tail_sig], sig[1:] != sig[:-1]])
+            begins = np.concatenate([[tail is None or sig[0] != tail[0]], sig[1:] != sig[:-1]])
             start = np.maximum.accumulate(np.where(begins, np.arange(len(sig)), 0))
-            firsts = sid[start]
+            f, m = sid[start], n[start]
             goes_on = int(np.argmax(begins)) if begins.any() else len(sig)  # rows of the bucket that was open
-            firsts[:goes_on] = first if goes_on else firsts[:goes_on]
-            more = np.append(~begins[1:], False)
-            out = ~begins | more
-            s, d, f = sig[out], sid[out], firsts[out]
+            if goes_on:
+                f[:goes_on], m[:goes_on] = first[1:]
+            out = ~begins | np.append(~begins[1:], False)
+            cols = [x[out] for x in (sig, sid, n, f, m)]
             if goes_on and not open_:
-                s, d, f = np.append(s, tail_sig), np.append(d, tail_sid), np.append(f, first)
-            yield pa.RecordBatch.from_arrays([pa.array(s), pa.array(d), pa.array(f)], names=["sig", "sid", "first"])
-            tail_sig, tail_sid, first, open_ = int(sig[-1]), int(sid[-1]), int(firsts[-1]), bool(out[-1])
+                cols = [np.append(x, y) for x, y in zip(cols, (*tail, *first[1:]), strict=True)]
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in cols], names=["sig", "sid", "n", "first", "m"])
+            tail, first, open_ = (int(sig[-1]), int(sid[-1]), int(n[-1])), (int(sig[-1]), int(f[-1]), int(m[-1])), bool(out[-1])
+
+    return plain.mapInArrow(several, "sig long, sid long, n long, first long, m long").unionByName(rows.filter("first is not null"))
 
-    return plain.mapInArrow(several, "sig long, sid long, first long").unionByName(rows.filter("first is not null"))
+
+def enough(shared, n, m):
+    """Whether sets of sizes n and m (negative where single shingles don't tell all) that share so many index keys may link.
+
+    They link with t = 3 * (n + m) / 7 shingles in common or more, and n - t of the first's aren't in the second. Of the prefix that ends
+    first in the order, of n - 3 * n / 4 + 1 shingles, the others are in both prefixes.
+    """
+    x, y = F.abs(n), F.abs(m)
+    need = F.ceil(3 * (x + y) / 7) - F.greatest(F.ceil(3 * x / 4), F.ceil(3 * y / 4)) + 1
+    return (4 * F.least(x, y) >= 3 * F.greatest(x, y)) & ((n < 0) | (m < 0) | (shared >= need))
 
 
 def set_rows(docs: DataFrame, wanted: Broadcast, words: int = WORDS) -> DataFrame:
@@ -308,20 +331,36 @@ def links(docs: DataFrame, words: int = WORDS) -> tuple[DataFrame, DataFrame]:
     docs: uid, doc_id, text.
     """
     spark = docs.sparkSession
-    classes, frequent = frequent_shingles(docs, words)
-    rows = stored(meeting(index_rows(docs, spark.sparkContext.broadcast(frequent), words)), "index-rows")
-    wanted = spark.sparkContext.broadcast(bitmap(rows.select("sid"), FILTER_BITS))
-    held = stored(set_rows(docs, wanted, words), "shingle-sets")
-    # each class with the first member that it meets most often
-    met = rows.filter("sid <> first").groupBy("sid", "first").agg(F.count("*").alias("n"))
-    best = met.groupBy("sid").agg(F.max(F.struct("n", "first")).alias("top")).select(F.col("top.first").alias("a"), F.col("sid").alias("b"))
-    good = cut(compare(best, held))
-    labels = components(good)
-    own = rows.select("sig", "sid").join(labels, "sid", "left").select("sig", "sid", F.coalesce("comp", "sid").alias("comp"))
-    several = own.groupBy("sig").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo <> hi").select("sig")
-    left = cut(own.join(several, "sig", "left_semi"))
-    pairs = left.alias("l").join(left.alias("r"), (F.col("l.sig") == F.col("r.sig")) & (F.col("l.comp") < F.col("r.comp"))).select(F.col("l.sid").alias("a"), F.col("r.sid").alias("b")).distinct()
-    return classes, cut(good.unionByName(compare(pairs, held)))
+    share = spark.sparkContext.broadcast
+    classes, *order = frequent_shingles(docs, words)
+    rows = stored(meeting(index_rows(docs, share(order), words)), "index-rows")
+
+    def linked(pairs: DataFrame, name: str) -> DataFrame:
+        """Of the pairs (a, b) those that link; the sets are made again from the texts of the classes in pairs."""
+        pairs = stored(pairs, f"{name}-pairs")
+        wanted = bitmap(pairs.select(F.explode(F.array("a", "b")).alias("sid")), FILTER_BITS)
+        return compare(pairs, stored(set_rows(docs, share(wanted), words), f"{name}-sets"))
+
+    good, left = None, rows
+    for turn in range(TURNS):
+        if turn:  # with several members of each bucket, the same ones in all buckets that they share
+            some = F.array_distinct(F.array(*(F.min_by(F.struct("sid", "n", "comp"), F.xxhash64("sid", F.lit(PIVOTS * turn + k))) for k in range(PIVOTS))))
+            pivots = left.groupBy("sig").agg(some.alias("pivots"))
+            met = left.join(pivots, "sig").select("sid", "n", "comp", F.explode("pivots").alias("pivot")).filter("comp <> pivot.comp").select("sid", "n", F.col("pivot.sid").alias("first"), F.col("pivot.n").alias("m"))
+        else:
+            met = left.filter("sid <> first")
+        # each class with those of its buckets' firsts that it meets most often
+        met = met.groupBy("sid", "first").agg(F.count("*").alias("shared"), F.max("n").alias("n"), F.max("m").alias("m")).filter(enough(F.col("shared"), F.col("n"), F.col("m")))
+        best = met.groupBy("sid").agg(F.slice(F.sort_array(F.collect_list(F.struct("shared", "first")), False), 1, BEST if turn else 1).alias("top")).select(F.explode("top.first").alias("a"), F.col("sid").alias("b"))
+        found = linked(best, f"turn{turn}")
+        good = stored(found if good is None else good.unionByName(found), "links")
+        labels = components(good)
+        own = rows.select("sig", "sid", "n").distinct().join(labels, "sid", "left").select("sig", "sid", "n", F.coalesce("comp", "sid").alias("comp"))
+        several = own.groupBy("sig").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo <> hi").select("sig")
+        left = stored(own.join(several, "sig", "left_semi"), "left")
+    pairs = left.alias("l").join(left.alias("r"), (F.col("l.sig") == F.col("r.sig")) & (F.col("l.comp") < F.col("r.comp")) & (4 * F.least(F.abs("l.n"), F.abs("r.n")) >= 3 * F.greatest(F.abs("l.n"), F.abs("r.n"))))
+    counts = pairs.groupBy(F.col("l.sid").alias("a"), F.col("r.sid").alias("b")).agg(F.count("*").alias("shared"), F.max("l.n").alias("n"), F.max("r.n").alias("m"))
+    return classes, stored(good.unionByName(linked(counts.filter(enough(F.col("shared"), F.col("n"), F.col("m"))).select("a", "b"), "rest")), "all-links")
 
 
 def join_classes(docs: DataFrame, words: int = WORDS) -> DataFrame:
