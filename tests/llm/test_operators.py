@@ -180,7 +180,7 @@ def joined(rows):
 
 @pytest.mark.parametrize("frequent,local,hot,turns", [(64, 2, 32, 2), (3, 2, 2, 0), (2, 1, 1, 2)])
 def test_jaccard(docs, empty, monkeypatch, frequent, local, hot, turns):
-    for name, value in (("FREQUENT", frequent), ("LOCAL", local), ("HOT", hot), ("TURNS", max(1, turns)), ("SEEN_BITS", 18), ("FILTER_BITS", 18)):
+    for name, value in (("FREQUENT", frequent), ("LOCAL", local), ("HOT", hot), ("TURNS", max(1, turns)), ("PIVOTS", 2), ("BEST", 1), ("SEEN_BITS", 18), ("FILTER_BITS", 18)):
         monkeypatch.setattr(jaccard, name, value)
     same(jaccard.join_classes(docs).select("doc_id", "n_shingles", "component_id").collect(), joined(ROWS))
     assert jaccard.join_classes(empty).count() == 0
@@ -229,7 +229,7 @@ def test_decontaminate(spark, docs, empty, monkeypatch):
 
 def test_warc(spark):
     pages = [(1, "u", "a"), (2, None, "a"), (3, "u\r\nx", None), (4, "u", ""), (5, "é", "é\r\n\r\nWARC/1.1\r\n"), (0, "v", "é\r\n\r\nWARC/1.1\r\n"), (None, "w", "a"), (5, "é", "é\r\n\r\nWARC/1.1\r\n"), (9, "z", "x" * 200_000)]
-    df = spark.createDataFrame([(*p, "c") for p in pages], "page_id long, url string, html string, digest string").repartition(3)
+    df = spark.createDataFrame([(*p, "c") for p in pages], "page_id long, url string, html string, digest string").repartition(3).cache()
     first = {}
     for i, _, h in pages:
         if i is not None:

@@ -7,6 +7,8 @@ merged for each document.
 
 The benchmark is read in blocks of bounded size, each broadcast in turn; with one block, documents are read once.
 
+Rows are numbered more than once, so the input must be a table as read, stored or cached, not a plan whose row order may change.
+
 Rows: null or wordless text has no words and no hits; items without words have no windows; items with a null id count
 for hits but aren't listed; repeated ids and rows are kept; further columns are ignored or passed through. Memory: one
 batch of text and the index of one shard.
@@ -18,7 +20,6 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -256,17 +257,15 @@ def find(docs: DataFrame, benchmark: DataFrame, width: int = WINDOW) -> DataFram
         windows = sc.broadcast(Windows(items, width))
 
         def search(batches, windows=windows):
-            uid = TaskContext.get().partitionId() << 36
             for b in batches:
-                data, at = text_parts(b.column(1))
-                names, rows = b.column(0).to_pylist(), []
+                data, at = text_parts(b.column(2))
+                uids, names, rows = b.column(0).to_pylist(), b.column(1).to_pylist(), []
                 for k, n, n_hit, found, cuts in scan(data, at, windows.value):
-                    rows.append((uid, names[k], n, sorted(found), [{"begin": x, "end": y} for x, y in cuts], n_hit))
-                    uid += 1
+                    rows.append((uids[k], names[k], n, sorted(found), [{"begin": x, "end": y} for x, y in cuts], n_hit))
                 if rows:
                     yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), FOUND_ARROW, strict=True)], schema=FOUND_ARROW)
 
-        part = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(search, FOUND)
+        part = docs.select(F.monotonically_increasing_id().alias("uid"), F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(search, FOUND)
         out = part if out is None else out.unionByName(part)
     return out
 
@@ -308,13 +307,7 @@ def merged(docs: DataFrame, found: DataFrame) -> DataFrame:
         own = (rows[0]["uid"], rows[0]["doc_id"], rows[0]["n_words"], sorted({i for r in rows for i in r["items"]}), [{"begin": x, "end": y} for x, y in out], hit)
         return pa.Table.from_arrays([pa.array([c], f.type) for c, f in zip(own, FOUND_ARROW, strict=True)], schema=FOUND_ARROW)
 
-    def numbered(batches):
-        uid = TaskContext.get().partitionId() << 36
-        for b in batches:
-            yield pa.RecordBatch.from_arrays([pa.array(np.arange(uid, uid + b.num_rows)), b.column(0)], names=["uid", "text"])
-            uid += b.num_rows
-
-    texts = docs.select(F.col("text").cast("string")).mapInArrow(numbered, "uid long, text string")
+    texts = docs.select(F.monotonically_increasing_id().alias("uid"), F.col("text").cast("string").alias("text"))
     return found.join(texts, "uid").groupBy("uid").applyInArrow(join, FOUND)
 
 
