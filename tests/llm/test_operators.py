@@ -192,6 +192,25 @@ def test_jaccard(docs, empty, monkeypatch, frequent, local, hot, turns):
     assert kept.count() == len({c for _, n, c in joined(ROWS) if n}) + sum(n == 0 for _, n, _ in joined(ROWS))
 
 
+def test_jaccard_hot_bucket(spark):
+    """The first of crowded buckets, which no other task holds, links with one class alone, and that one meets another first more often."""
+    words = [f"w{k}" for k in range(140)]
+    base = " ".join(words)
+    near = [" ".join([*words[:k], f"x{k}", *words[k + 1 :]]) for k in range(6, 134, 3)]
+
+    def key(text):
+        value, offs = jaccard.sets(np.frombuffer(text.encode(), np.uint8), np.array([0, len(text)]))
+        return int(jaccard.keys_of(value, offs)[0])
+
+    least = min(map(key, [base, *near]))
+    outlier = next(t for j in range(10_000) if key(t := " ".join([*words, *(f"y{j}z{k}" for k in range(43))])) < least)
+    assert 0.75 <= len(shingles(base) & shingles(outlier)) / len(shingles(base) | shingles(outlier)) < 0.77
+    assert len(near) > 40 and all(len(shingles(t) & shingles(outlier)) / len(shingles(t) | shingles(outlier)) < 0.75 for t in near)
+    rows = list(enumerate([*near, base, outlier]))
+    found = jaccard.join_classes(spark.createDataFrame(rows, "doc_id long, text string").repartition(1).cache())
+    same(found.select("doc_id", "n_shingles", "component_id").collect(), joined(rows))
+
+
 def test_decontaminate(spark, docs, empty, monkeypatch):
     texts = [t for _, t in ROWS]
     items = [(1, texts[8][:300]), (2, "The the the"), (3, None), (4, " . "), (5, texts[9]), (None, texts[6]), (5, "word word"), (10, "Word")]

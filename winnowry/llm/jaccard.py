@@ -165,6 +165,7 @@ def frequent_shingles(docs: DataFrame, words: int = WORDS) -> tuple[DataFrame, n
 
 def index_rows(docs: DataFrame, order: Broadcast, words: int = WORDS) -> DataFrame:
     """Index rows (sig, sid, n); for buckets that are large within a task: pairs with the first (sig, sid, n, first, m) of all others.
+    The first of such a bucket is a row of both kinds, so that it stays in the bucket if no other task has rows of it.
 
     n is the set's size, negative where its prefix reaches frequent shingles, so that single ones don't tell all it shares.
     """
@@ -182,10 +183,15 @@ def index_rows(docs: DataFrame, order: Broadcast, words: int = WORDS) -> DataFra
             sig, sid, n = sig[fresh], sid[fresh], n[fresh]
             _, start, many = np.unique(sig, return_index=True, return_counts=True)
             start, many = np.repeat(start, many), np.repeat(many, many)
-            spare = (many > HOT) & (np.arange(len(sig)) > start)
+            hot = many > HOT
+            # the firsts of hot buckets twice: alone, to meet rows of other tasks, and with themselves
+            rows = np.concatenate([np.arange(len(sig)), np.flatnonzero(hot & (np.arange(len(sig)) == start))])
+            spare = hot[rows] & (rows > start[rows])
+            spare[len(sig) :] = True
+            sig, sid, n, first, m = sig[rows], sid[rows], n[rows], sid[start[rows]], n[start[rows]]
             for lo in range(0, len(sig), 1 << 17):
                 own = slice(lo, lo + (1 << 17))
-                yield pa.RecordBatch.from_arrays([_long(sig[own]), _long(sid[own]), pa.array(n[own]), pa.array(sid[start[own]].view(np.int64), mask=~spare[own]), pa.array(n[start[own]], mask=~spare[own])], names=["sig", "sid", "n", "first", "m"])
+                yield pa.RecordBatch.from_arrays([_long(sig[own]), _long(sid[own]), pa.array(n[own]), pa.array(first[own].view(np.int64), mask=~spare[own]), pa.array(m[own], mask=~spare[own])], names=["sig", "sid", "n", "first", "m"])
 
         for b in batches:
             data, at = text_parts(b.column(0))
