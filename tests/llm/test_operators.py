@@ -246,6 +246,28 @@ def test_decontaminate(spark, docs, empty, monkeypatch):
     same(decontaminate.report(docs, bench.limit(0)).select("doc_id", "n_hit").collect(), [(i, 0) for i, _ in ROWS])
 
 
+def test_decontaminate_blocks(spark, monkeypatch):
+    """remove() gives the same texts however many blocks the benchmark is in: windows overlap, adjoin and share words over items."""
+    w = [f"w{k}" for k in range(60)]
+    items = [(1, " ".join(w[:20])), (2, " ".join(w[12:30])), (3, " ".join(w[30:45])), (4, " ".join([*w[50:55], *w[5:10]])), (5, " ".join(w[17:28])), (6, " ".join(w[40:52]))]
+    texts = [" ".join(w), ", ".join(w[:30]), "a " + ". ".join(w[12:45]) + " b", " ".join([*w[50:55], *w[20:30], *w[5:10]]), " ".join(w[8:19]), None, "", "é " + " ".join(w[25:55])]
+    docs = spark.createDataFrame([(k, t, 0, "x") for k, t in enumerate(texts)], "doc_id long, text string, n_chars long, spans string").repartition(2).cache()
+    bench = spark.createDataFrame(items, "item_id long, text string").cache()
+    want = decontaminate.remove(docs, bench).collect()
+    windows = {tuple(t.split()[k : k + 10]) for _, t in items for k in range(len(t.split()) - 9)}
+    for r in want:
+        own = re.findall(r"[a-zé0-9]+", texts[r.doc_id] or "")
+        hit = {j for k in range(len(own) - 9) if tuple(own[k : k + 10]) in windows for j in range(k, k + 10)}
+        assert re.findall(r"[a-zé0-9]+", r.text or "") == [x for j, x in enumerate(own) if j not in hit]
+    own = decontaminate.blocks
+    for limit in (150, 40):
+        assert len(list(own(bench, limit))) > 2
+        monkeypatch.setattr(decontaminate, "blocks", lambda b, limit=limit: own(b, limit))
+        found = decontaminate.remove(docs, bench)
+        assert found.schema == docs.schema
+        same(found.collect(), want)
+
+
 def test_warc(spark):
     pages = [(1, "u", "a"), (2, None, "a"), (3, "u\r\nx", None), (4, "u", ""), (5, "é", "é\r\n\r\nWARC/1.1\r\n"), (0, "v", "é\r\n\r\nWARC/1.1\r\n"), (None, "w", "a"), (5, "é", "é\r\n\r\nWARC/1.1\r\n"), (9, "z", "x" * 200_000)]
     df = spark.createDataFrame([(*p, "c") for p in pages], "page_id long, url string, html string, digest string").repartition(3).cache()

@@ -312,32 +312,64 @@ def merged(docs: DataFrame, found: DataFrame) -> DataFrame:
 
 
 def remove(docs: DataFrame, benchmark: DataFrame, width: int = WINDOW) -> DataFrame:
-    """docs with the words of test windows cut out of the texts; n_chars, where there, is counted anew."""
-    out = docs
-    names, schema = docs.columns, docs.schema
-    where = names.index("text")
-    for items in blocks(benchmark):
-        windows = docs.sparkSession.sparkContext.broadcast(Windows(items, width))
+    """docs with the words of test windows cut out of the texts; n_chars, where there, is counted anew.
 
-        def clean(batches, windows=windows):
+    All blocks of the benchmark are searched in the texts as they came; their spans are carried along and cut at the end.
+    """
+    names, schema = docs.columns, docs.schema
+    where, kind = names.index("text"), pa.list_(pa.int64())
+    held = "spans"
+    while held.lower() in {c.lower() for c in names}:
+        held += "_"
+    out = docs.withColumn(held, F.lit(None).cast("array<long>"))
+    wide = out.schema
+    parts = blocks(benchmark)
+    items = next(parts)
+    while items is not None:
+        windows, after = docs.sparkSession.sparkContext.broadcast(Windows(items, width)), next(parts, None)
+
+        def search(batches, windows=windows, last=after is None):
             for b in batches:
                 data, at = text_parts(b.column(where))
-                texts = b.column(where).to_pylist()
+                found = b.column(len(names)).to_pylist()
                 for k, _, n_hit, _, cuts in scan(data, at, windows.value):
                     if n_hit:
-                        raw, last, keep = data[at[k] : at[k + 1]].tobytes(), 0, []
-                        for x, y in cuts:
-                            keep.append(raw[last:x])
-                            last = y
-                        texts[k] = b"".join([*keep, raw[last:]]).decode("utf-8")
-                cols = list(b.columns)
-                cols[where] = pa.array(texts, b.schema.field(where).type)
-                if "n_chars" in names:
-                    i = names.index("n_chars")
-                    cols[i] = pa.array([None if t is None else len(t) for t in texts], b.schema.field(i).type)
-                yield pa.RecordBatch.from_arrays(cols, schema=b.schema)
-
-        out = out.mapInArrow(clean, schema)
+                        found[k] = [*(found[k] or []), *(x for c in cuts for x in c)]
+                if last:
+                    yield clean(b, found)
+                else:
+                    yield pa.RecordBatch.from_arrays([*b.columns[: len(names)], pa.array(found, kind)], names=[*names, held])
+
+        def clean(b, found):
+            texts = b.column(where).to_pylist()
+            for k, own in enumerate(found):
+                if own:
+                    raw, end, keep = texts[k].encode(), 0, []
+                    part = ALNUM[LOWER[np.frombuffer(raw, np.uint8)]]
+                    for x, y in joined(sorted(zip(own[::2], own[1::2], strict=True)), part):
+                        keep.append(raw[end:x])
+                        end = y
+                    texts[k] = b"".join([*keep, raw[end:]]).decode("utf-8")
+            cols = list(b.columns[: len(names)])
+            cols[where] = pa.array(texts, b.schema.field(where).type)
+            if "n_chars" in names:
+                i = names.index("n_chars")
+                cols[i] = pa.array([None if t is None else len(t) for t in texts], b.schema.field(i).type)
+            return pa.RecordBatch.from_arrays(cols, names=names)
+
+        out = out.mapInArrow(search, schema if after is None else wide)
+        items = after
+    return out
+
+
+def joined(cuts: list[tuple[int, int]], part: np.ndarray) -> list[list[int]]:
+    """Spans, in order, with those that meet or have no word between them made one; part tells which bytes are of words."""
+    out: list[list[int]] = []
+    for x, y in cuts:
+        if out and (x <= out[-1][1] or not part[out[-1][1] : x].any()):
+            out[-1][1] = max(out[-1][1], y)
+        else:
+            out.append([x, y])
     return out
 
 
