@@ -102,6 +102,39 @@ def test_refine_groups(spark):
     assert {r.domain: r.group_dirty for r in refine.screen_bad_words(docs, hits, first=100).collect()} == {"d": True, "e": False}
 
 
+def test_dedup_blocks_brute(spark):
+    """All shared blocks count, at every place: runs of just the block's length, and one character short of it, in both lengths."""
+    import collections
+    import math
+    import random
+
+    r = random.Random(3)
+    draw = lambda n, zh: "".join(chr(r.randrange(0x4E00, 0x9000)) if zh else r.choice("abcdefghij é") for _ in range(n))
+    rows = []
+    for domain, zh in (("d", False), ("c", True)):
+        n = 30 if zh else 50
+        runs = [(draw(n + d, zh), k) for d in (-1, 0, 0, 0, 0, 3, 40) for k in (2, 3, 4, 8)]
+        for k in range(12):
+            own = [draw(r.randrange(0, 40), zh) + x + draw(r.randrange(0, 40), zh) for x, m in runs if k < m]
+            rows.append((k + 100 * zh, "\n".join([*own, draw(n - 1, zh), "", draw(200, zh)]), domain, "zh" if zh else "en"))
+    rows += [(900 + k, rows[0][1], "small", "en") for k in range(6)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, domain string, language string").repartition(3).cache()
+    seen = collections.defaultdict(set)
+    blocks = lambda p, g: {p[k : k + (30 if g == "zh" else 50)] for k in range(len(p) - (29 if g == "zh" else 49))}
+    for i, t, d, g in rows:
+        for p in t.split("\n"):
+            for b in blocks(p, g):
+                seen[d, b].add(i)
+    sizes = collections.Counter(x[2] for x in rows)
+    least = {d: max(3, math.ceil(n / math.sqrt(max(20, min(500, n // 5))))) for d, n in sizes.items()}
+    want = {}
+    for i, t, d, g in rows:
+        kept = [p for p in t.split("\n") if sizes[d] < 7 or not any(len(seen[d, b]) >= least[d] for b in blocks(p, g))]
+        want[i] = ("\n".join(kept), t.count("\n") + 1 - len(kept))
+    assert {x.doc_id: (x.text, x.n_removed) for x in refine.dedup_blocks(docs).collect()} == want
+    assert refine.block_patterns(docs).count() == sum(sizes[d] >= 7 and len(x) >= least[d] for (d, _), x in seen.items())
+
+
 def test_components(spark):
     links = spark.createDataFrame([(k, k + 1) for k in range(40)] + [(100, 101), (101, 99)], "a long, b long")
     found = {r.id: r.component for r in graph.components(links).collect()}

@@ -5,13 +5,20 @@ Input rows are doc_id, text, domain, language; every stage is a DataFrame to Dat
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as T
 
+#: Bits of the filter of shared anchors; beyond what these can tell apart, more blocks are counted, with the same result.
+ANCHOR_BITS = 22
+
 
 @dataclass(frozen=True)
 class Config:
@@ -23,8 +30,9 @@ class Config:
     gate: float = 0.6
     final_gate: float = 0.4
     block: int = 50
-    #: Blocks whose digest has this many zero bits stand for all; the same are chosen in every document.
-    block_bits: int = 2
+    block_zh: int = 30
+    #: Only blocks whose hash ends in so many zero bits are looked at; 0: all.
+    block_bits: int = 0
 
 
 def extract(docs: DataFrame, cfg: Config = Config(), languages: list[str] | None = None, blacklist: DataFrame | None = None) -> DataFrame:
@@ -61,26 +69,103 @@ def dedup_paragraphs(docs: DataFrame, cfg: Config = Config()) -> DataFrame:
     return own.select(*keys, "doc_id", F.array_join(F.transform("kept", lambda k: k["para"]), "\n").alias("text"), "n_removed")
 
 
-def block_patterns(docs: DataFrame, cfg: Config = Config()) -> DataFrame:
-    """keys, block, support: newline-free character blocks that enough documents share.
+def _folded(x: np.ndarray, n: int, join: Callable) -> np.ndarray:
+    """Each n neighbours of x joined, in steps that double."""
+    p = 1
+    while p * 2 <= n:
+        x, p = join(x[:-p], x[p:]), p * 2
+    return join(x[: p - n], x[n - p :]) if p < n else x
+
+
+def _hash(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    x = a * np.uint64(0x9E3779B97F4A7C15) + b + np.uint64(1)
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
+
+
+def _blocks(paras: list[str], n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of each block of n characters: its paragraph, its hash, and the least hash of the pieces of n // 2 characters in it."""
+    codes = np.frombuffer("".join(paras).encode("utf-32-le"), np.uint32).astype(np.uint64)
+    if len(codes) < n:
+        return np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, np.uint64)
+    owner = np.repeat(np.arange(len(paras)), [len(p) for p in paras])
+    own = owner[: len(owner) - n + 1] == owner[n - 1 :]
+    anchor = _folded(_folded(codes, max(1, n // 2), _hash), n - max(1, n // 2) + 1, np.minimum)
+    return owner[: len(own)][own], _folded(codes, n, _hash)[own], anchor[own]
+
+
+def _hashed(rows: DataFrame, cfg: Config, shared: Broadcast | None = None) -> DataFrame:
+    """keys, doc_id, pos and hash, once a paragraph: of anchors, or of the blocks whose anchors are in the filter `shared`."""
+    names = [*cfg.keys, "doc_id", "pos"]
+    kinds = rows.select(*names).withColumn("hash", F.lit(0).cast("long")).schema
+    zeros = np.uint64((1 << cfg.block_bits) - 1)
+
+    def emit(batches):
+        for b in batches:
+            sizes, texts = b.column("size").to_pylist(), b.column("para").to_pylist()
+            for n in set(sizes):
+                at, total = [], 0
+                todo = [k for k, x in enumerate(sizes) if x == n]
+                for k in todo:
+                    at.append(k)
+                    total += len(texts[k])
+                    if total < 1 << 19 and k != todo[-1]:
+                        continue
+                    of, block, anchor = _blocks([texts[x] for x in at], n)
+                    keep = block & zeros == 0
+                    of, block, anchor = of[keep], block[keep], anchor[keep]
+                    if shared is not None:
+                        keep = shared.value[(anchor & np.uint64((1 << ANCHOR_BITS) - 1)).astype(np.int64)]
+                        of, block = of[keep], block[keep]
+                    value = anchor if shared is None else block
+                    by = np.lexsort((value, of))
+                    of, value = of[by], value[by]
+                    fresh = np.ones(len(of), bool)
+                    fresh[1:] = (of[1:] != of[:-1]) | (value[1:] != value[:-1])
+                    of, value = of[fresh], value[fresh]
+                    for lo in range(0, len(of), 1 << 16):
+                        take = pa.array(np.array(at, np.int64)[of[lo : lo + (1 << 16)]])
+                        yield pa.RecordBatch.from_arrays([*(b.column(x).take(take) for x in names), pa.array(value[lo : lo + (1 << 16)].view(np.int64))], names=[*names, "hash"])
+                    at, total = [], 0
+
+    return rows.mapInArrow(emit, kinds)
+
+
+def _shared(hashes: DataFrame, docs: DataFrame, cfg: Config) -> DataFrame:
+    """keys, hash, support of the hashes that enough documents of a group share."""
+    keys = list(cfg.keys)
+    support = hashes.select(*keys, "doc_id", "hash").distinct().groupBy(*keys, "hash").agg(F.count("*").alias("support"))
+    sizes = docs.groupBy(*keys).agg(F.count("*").alias("group_docs")).filter(F.col("group_docs") >= cfg.least_group)
+    return support.filter(F.col("support") >= cfg.least_support).join(sizes, keys).filter(F.col("support") >= support_needed(F.col("group_docs"), cfg.least_support)).select(*keys, "hash", "support")
+
+
+def _candidates(docs: DataFrame, cfg: Config) -> DataFrame:
+    """keys, doc_id, pos, hash of all blocks that enough documents may share.
 
-    All blocks of cfg.block characters whose digest ends in cfg.block_bits zero bits are candidates, at every place, so that a
-    shared passage offers the same ones in each document.
+    A block's anchor is decided by its characters alone, so documents that share the block share its anchor: only blocks whose
+    anchors enough documents have are counted, and no other can be shared by as many.
     """
-    keys, n = list(cfg.keys), cfg.block
-    paras = docs.select(*keys, "doc_id", F.explode(T.paragraphs(F.col("text"))).alias("para")).filter(F.length("para") >= n)
-    grams = paras.select(*keys, "doc_id", F.explode(T.ngrams(F.col("para"), n, 1)).alias("block")).filter(F.crc32(F.col("block").cast("binary")).bitwiseAND((1 << cfg.block_bits) - 1) == 0)
-    support = grams.select(*keys, "doc_id", "block").distinct().groupBy(*keys, "block").agg(F.count("*").alias("support"))
-    sizes = docs.groupBy(*keys).agg(F.count("*").alias("group_docs")).filter(F.col("group_docs") >= cfg.least_group)
-    return support.filter(F.col("support") >= cfg.least_support).join(sizes, keys).filter(F.col("support") >= support_needed(F.col("group_docs"), cfg.least_support)).select(*keys, "block", "support")
+    keys = list(cfg.keys)
+    size = F.when(F.col("language") == "zh", cfg.block_zh).otherwise(cfg.block)
+    rows = docs.select(*keys, "doc_id", size.alias("size"), F.posexplode(T.paragraphs(F.col("text"))).alias("pos", "para")).filter(F.length("para") >= F.col("size"))
+    bits = _shared(_hashed(rows, cfg), docs, cfg).select(F.col("hash").bitwiseAND((1 << ANCHOR_BITS) - 1).alias("bit")).distinct().toArrow().column(0).to_numpy()
+    shared = np.zeros(1 << ANCHOR_BITS, bool)
+    shared[bits] = True
+    return _hashed(rows, cfg, docs.sparkSession.sparkContext.broadcast(shared))
+
+
+def block_patterns(docs: DataFrame, cfg: Config = Config()) -> DataFrame:
+    """keys, hash, support: newline-free blocks of cfg.block characters (Chinese: cfg.block_zh), at every place, that enough documents share."""
+    return _shared(_candidates(docs, cfg), docs, cfg)
 
 
 def dedup_blocks(docs: DataFrame, cfg: Config = Config()) -> DataFrame:
     """docs without the paragraphs that hold a shared block, and n_removed."""
-    keys, n = list(cfg.keys), cfg.block
+    keys = list(cfg.keys)
     rows = docs.select(*keys, "doc_id", F.posexplode(T.paragraphs(F.col("text"))).alias("pos", "para"))
-    grams = rows.filter(F.length("para") >= n).select(*keys, "doc_id", "pos", F.explode(T.ngrams(F.col("para"), n, 1)).alias("block")).filter(F.crc32(F.col("block").cast("binary")).bitwiseAND((1 << cfg.block_bits) - 1) == 0)
-    hit = grams.join(block_patterns(docs, cfg).select(*keys, "block"), [*keys, "block"], "left_semi").select(*keys, "doc_id", "pos").distinct().withColumn("drop", F.lit(True))
+    blocks = _candidates(docs, cfg)
+    hit = blocks.join(_shared(blocks, docs, cfg).select(*keys, "hash"), [*keys, "hash"], "left_semi").select(*keys, "doc_id", "pos").distinct().withColumn("drop", F.lit(True))
     own = rows.join(hit, [*keys, "doc_id", "pos"], "left").groupBy(*keys, "doc_id").agg(F.array_sort(F.collect_list(F.when(F.col("drop").isNull(), F.struct("pos", "para")))).alias("kept"), F.count("drop").alias("n_removed"))
     return own.select(*keys, "doc_id", F.array_join(F.transform("kept", lambda k: k["para"]), "\n").alias("text"), "n_removed")
 
