@@ -27,7 +27,6 @@ class Config:
     least_support: int = 3
     least_bytes: int = 200
     least_paralen: int = 10
-    gate: float = 0.6
     final_gate: float = 0.4
     block: int = 50
     block_zh: int = 30
@@ -177,7 +176,7 @@ def flagged(docs: DataFrame, cfg: Config = Config()) -> DataFrame:
 
 
 def stats(docs: DataFrame, cfg: Config = Config()) -> DataFrame:
-    """One row for each group: documents before and after the screens, and what each screen dropped, in its turn."""
+    """One row for each group: documents before and after the four screens of flagged(), and what each dropped, in its turn; no bad-word gate or dedup."""
     f = flagged(docs, cfg)
     span, text, lines, paras = (F.col(c) for c in ("span_repeat", "short_text", "short_lines", "short_paras"))
     kept = ~span & ~text & ~lines & ~paras
@@ -195,7 +194,7 @@ def stats(docs: DataFrame, cfg: Config = Config()) -> DataFrame:
 
 
 def refine(docs: DataFrame, cfg: Config = Config()) -> DataFrame:
-    """Documents that pass all screens, of groups of which enough is left."""
+    """Documents that pass the four screens of flagged(), of groups of which enough is left; no bad-word gate or dedup."""
     f = flagged(docs, cfg)
     kept = f.filter("not span_repeat and not short_text and not short_lines and not short_paras")
     clean = stats(docs, cfg).filter("not dirty").select(*cfg.keys)
