@@ -158,7 +158,8 @@ def shingles(t):
     return frozenset(tuple(w[k : k + 5]) for k in range(len(w) - 4)) if len(w) >= 5 else frozenset([tuple(w)] if w else [])
 
 
-def joined(rows):
+def roots(rows):
+    """The sets, and for each row one that stands for its component."""
     s = [shingles(t) for _, t in rows]
     up = list(range(len(rows)))
 
@@ -171,25 +172,61 @@ def joined(rows):
         for b in range(a):
             if s[a] and 100 * len(s[a] & s[b]) >= 75 * len(s[a] | s[b]):
                 up[top(a)] = top(b)
+    return s, [top(k) for k in range(len(rows))]
+
+
+def joined(rows):
+    s, top = roots(rows)
     least = {}
     for k, (i, _) in enumerate(rows):
         if i is not None:
-            least[top(k)] = min(i, least.get(top(k), i))
-    return [(i, len(s[k]), least.get(top(k))) for k, (i, _) in enumerate(rows)]
+            least[top[k]] = min(i, least.get(top[k], i))
+    return [(i, len(s[k]), least.get(top[k])) for k, (i, _) in enumerate(rows)]
 
 
-@pytest.mark.parametrize("frequent,local,hot,turns", [(64, 2, 32, 2), (3, 2, 2, 0), (2, 1, 1, 2)])
-def test_jaccard(docs, empty, monkeypatch, frequent, local, hot, turns):
-    for name, value in (("FREQUENT", frequent), ("LOCAL", local), ("HOT", hot), ("TURNS", max(1, turns)), ("PIVOTS", 2), ("BEST", 1), ("SEEN_BITS", 18), ("FILTER_BITS", 18)):
+@pytest.mark.parametrize("few,many,hot,chunk,turns", [(56, 88, 4, 1 << 21, 10), (8, 13, 2, 500, 1), (8, 1 << 20, 100, 2000, 2), (0, 0, 1, 1, 2)])
+def test_jaccard(docs, empty, monkeypatch, few, many, hot, chunk, turns):
+    for name, value in (("FEW", few), ("MANY", many), ("HOT", hot), ("CHUNK", chunk), ("TURNS", turns), ("PIVOTS", 2), ("BEST", 1), ("LEFT", 0)):
         monkeypatch.setattr(jaccard, name, value)
     same(jaccard.join_classes(docs).select("doc_id", "n_shingles", "component_id").collect(), joined(ROWS))
     assert jaccard.join_classes(empty).count() == 0
     kept = jaccard.keep_one(docs)
     assert kept.columns == docs.columns
-    groups = collections.defaultdict(list)
-    for i, n, c in joined(ROWS):
-        groups[(c, n == 0 and i)].append(i)
-    assert kept.count() == len({c for _, n, c in joined(ROWS) if n}) + sum(n == 0 for _, n, _ in joined(ROWS))
+    assert kept.count() == len(set(roots(ROWS)[1]))  # repeated ids don't make two components one
+
+
+@pytest.mark.parametrize("few,many", [(56, 88), (8, 16), (0, 16), (0, 0)])
+def test_jaccard_signatures(few, many, monkeypatch):
+    """Any two sets that link share an index key, at all sizes, in all mixes of rare and frequent shingles."""
+    monkeypatch.setattr(jaccard, "FEW", few)
+    monkeypatch.setattr(jaccard, "MANY", many)
+    g = np.random.default_rng(few + many)
+    level = g.choice([0, 8, 12, 20, 60, 90], 4000)
+    key = g.permutation(4000) * 7919 + 11
+    linked = 0
+    for trial in range(600):
+        n = int(g.choice([3, 4, 5, 6, 7, 8, 9, 11, 16, 17, 21, 22, 30, 43, 60, 90, 180, 400]))
+        common = g.choice(4000, n, replace=False)
+        lost = int(g.integers(0, n // 4 + 1))
+        more = int(g.integers(0, n // 3 + 1))
+        rest = np.setdiff1d(g.choice(4000, min(4000, n + 8 * more + 40), replace=False), common)
+        a, b = common, np.concatenate([common[lost:], rest[:more]])
+        if 100 * (n - lost) < 75 * (n + more):
+            continue
+        linked += 1
+        got = []
+        for x, p in ((a, b), (b, a)):
+            own = x[(level[x] > 0) | np.isin(x, p)]  # shared shingles are never alone
+            lev, k = np.maximum(level[own], 8), key[own]
+            by = np.lexsort((k, lev))
+            lev, k, size, offs = lev[by], k[by], np.array([len(x)]), np.array([0, len(own)])
+            sigs = set(jaccard.tiny(k, offs, size)[0].tolist())
+            for groups in {int(jaccard.groups_of(size)[0]), int(jaccard.groups_of(size * 4 // 3)[0])}:
+                if len(x) >= 5:
+                    sigs |= set(jaccard.signatures(k, lev, offs, size, np.array([groups]))[0].tolist())
+            got.append(sigs)
+        assert a.size == b.size == n and lost == 0 or got[0] & got[1], (n, lost, more)
+    assert linked > 100
 
 
 def test_jaccard_hot_bucket(spark):
@@ -199,8 +236,8 @@ def test_jaccard_hot_bucket(spark):
     near = [" ".join([*words[:k], f"x{k}", *words[k + 1 :]]) for k in range(6, 134, 3)]
 
     def key(text):
-        value, offs = jaccard.sets(np.frombuffer(text.encode(), np.uint8), np.array([0, len(text)]))
-        return int(jaccard.keys_of(value, offs)[0])
+        value, owner = jaccard.distinct(*jaccard.shingles(np.frombuffer(text.encode(), np.uint8), np.array([0, len(text)])))
+        return int(jaccard.keys_of(value, owner, 1)[0][0])
 
     least = min(map(key, [base, *near]))
     outlier = next(t for j in range(10_000) if key(t := " ".join([*words, *(f"y{j}z{k}" for k in range(43))])) < least)

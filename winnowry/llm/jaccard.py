@@ -1,58 +1,59 @@
 """Jaccard join of documents on word shingles, by token-combination prefixes.
 
-Documents with equal shingle sets are one class, and classes are joined. Shingles that hold many documents are frequent; in
-the order of all shingles they stand last, and those seen twice before them. Two sets that link share a shingle in the prefixes of their orders; where a
-prefix reaches frequent shingles it is extended by one for each of GROUPS groups of them, so that the two share a rare
-shingle or two frequent ones of a group. Rare shingles are indexed alone, frequent ones in pairs; classes that meet in the
-index are compared exactly.
-
-A bucket of the index isn't expanded into all pairs. Each class is compared with the bucket's first that it meets most often,
-then, in rounds, with some of a few other members; components of the links found so far are formed; then only members of different components
-that share enough of their prefixes to link are compared. No link between different sets is lost to this: pairs within a
-component add nothing to components.
+Texts are read once. Shingles are dealt by their hashes and counted over the whole corpus; those that only one set holds can't
+be shared, so only the others go back to their sets, each with a level of how many sets hold it. They are the sets' prefixes,
+buckets and what is compared in the end: single ones count only by their number.
+
+Shingles are ordered by level, rare ones first, and by hash. Rare ones are indexed alone, frequent ones (from level FEW on) in
+pairs, very frequent ones (from MANY on) in triples, within groups by hash. A set's prefix is extended until those of its
+shingles that can't be left out of combinations outnumber those that a linked set may lack: two sets that link then share a rare
+shingle or a combination of one group. The number of groups grows with the set's size, so that combinations stay few; sets
+whose linked ones may have more groups are indexed with both numbers. Sets of three to five shingles are indexed whole and with
+each one left out.
+
+A bucket of the index isn't expanded into all pairs. Each class (documents with equal sets) is compared with few others that it
+meets, chosen anew in rounds; components of the links found so far are formed; then only members of different components whose
+sizes, places and shared levels allow a link are compared. No link between different sets is lost to this: pairs within a component
+add nothing to components.
 
 Rows are numbered more than once, so the input must be a table as read, stored or cached, not a plan whose row order may change.
 
 Rows: null, empty or wordless text has no shingles and links with nothing; fewer words than a shingle's are one shingle;
 null doc_ids are kept, and stand for no component unless all of it have null; repeated doc_ids are kept row by row; further
-columns are ignored or passed through. Memory: one batch of text; buckets are streamed in sorted order.
+columns are ignored or passed through. Shingles are told apart by 40 bits of their hash and those that choose the part, which
+grow with the corpus. Memory: a chunk of about CHUNK shingles, or those of one longer text, or one part of the counts; shingles in HOT
+sets of a chunk go to their part once for the chunk.
 """
 
 from __future__ import annotations
 
+from itertools import combinations
+
 import numpy as np
 import pyarrow as pa
-from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import chunks, cut, stored, table, text_parts
-from .filters import bitmap, has
+from .common import chunks, cut, ranges, stored, table, text_parts
 from .hashing import mix
 from .words import LOWER, VISIBLE, hashes, spans
 
 WORDS = 5
-#: Groups of frequent shingles, and the largest set whose prefix can't be extended by as many.
-GROUPS = 16
-SMALL = 21
-#: A shingle is frequent if it is in FREQUENT documents and in one of 2**FEW of all shingles, at least.
-FREQUENT, FEW = 64, 20
-#: Documents of a flush in which a shingle must be for its count to be passed on.
-LOCAL = 2
-#: Bits of the filter of shingles seen twice; it orders shingles and decides nothing.
-SEEN_BITS = 27
-#: Signatures that a task holds; from a bucket with more than HOT members in a task, only the first and pairs go on.
-FLUSH, HOT = 1 << 21, 32
-#: Bits of the filter for the sets to be compared; bits beyond what these can tell apart cost only time.
-FILTER_BITS = 24
+#: Shingles and documents of a chunk, sets of a chunk from which a shingle is sent once, bytes of text for each part of the counts.
+CHUNK, DOCS, HOT, PART = 1 << 21, 60_000, 4, 8 << 20
+#: Levels are 8 * log2 of the number of sets: 128 sets and 2,048.
+FEW, MANY = 56, 88
+#: Sets of 2**k * BAND shingles have 2**k groups of combinations.
+BAND = 5.5
+#: Members that stand for a bucket in a round, those of them that a class is compared with, and the most rounds.
+PIVOTS, BEST, TURNS = 4, 3, 10
+#: Pairs of different components left for each class with which rounds end.
+LEFT = 2
 NONE = (1 << 63) - 1
-#: Rounds of comparisons with a bucket's first before members of different components are compared pair by pair; members of a
-#: bucket that stand for it from the second round on, and how many of them a class is compared with.
-TURNS, PIVOTS, BEST = 4, 8, 4
 
 
-def sets(data: np.ndarray, at: np.ndarray, words: int = WORDS):
-    """The rows' shingle hashes, ascending and distinct in each row, and the rows' offsets into them."""
+def shingles(data: np.ndarray, at: np.ndarray, words: int = WORDS) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of all shingles of the rows, with repeats, and the rows they are of, ascending."""
     n = len(at) - 1
     base = int(at[0])
     lower = LOWER[data[base : at[-1]]]
@@ -61,13 +62,13 @@ def sets(data: np.ndarray, at: np.ndarray, words: int = WORDS):
     first = np.searchsorted(begin, at - base)
     count = np.diff(first)
     row = np.repeat(np.arange(n), count)
-    place = np.arange(len(keys)) - first[row]
-    full = place + words <= count[row]
-    ks = np.flatnonzero(full)
+    ks = np.flatnonzero(np.arange(len(keys)) - first[row] + words <= count[row])
     total = np.zeros(len(ks), np.uint64)
     for k in range(words):
         total = mix(total + keys[ks + k] + np.uint64(k + 1))
     short = np.flatnonzero((count > 0) & (count < words))
+    if not len(short):
+        return total, row[ks]
     rest = np.zeros(len(short), np.uint64)
     for i, r in enumerate(short.tolist()):
         x = np.full(1, 7919, np.uint64)
@@ -75,249 +76,326 @@ def sets(data: np.ndarray, at: np.ndarray, words: int = WORDS):
             x = mix(keys[k : k + 1] + x * np.uint64(31))
         rest[i] = x[0]
     value, owner = np.concatenate([total, rest]), np.concatenate([row[ks], short])
-    by = np.lexsort((value, owner))
+    by = np.argsort(owner, kind="stable")
+    return value[by], owner[by]
+
+
+def distinct(value: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The different (value, owner), by value and then owner."""
+    by = np.argsort(value)
     value, owner = value[by], owner[by]
-    fresh = np.ones(len(value), bool)
-    fresh[1:] = (value[1:] != value[:-1]) | (owner[1:] != owner[:-1])
-    value, owner = value[fresh], owner[fresh]
-    return value, np.searchsorted(owner, np.arange(n + 1))
-
-
-def keys_of(value: np.ndarray, offs: np.ndarray) -> np.ndarray:
-    """A 64-bit key for each set."""
-    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mix(value ^ np.uint64(0x5BD1E995)), dtype=np.uint64)])
-    count = np.diff(offs).astype(np.uint64)
-    return mix(mix(sums[offs[1:]] - sums[offs[:-1]]) + count)
-
-
-def signatures(value: np.ndarray, offs: np.ndarray, frequent: np.ndarray, seen: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The index keys of each set, the sets they are of, and the sizes as index_rows has them. Order: seen once, seen twice, frequent; each by hash."""
-    n = np.diff(offs)
-    owner = np.repeat(np.arange(len(n)), n)
-    if len(frequent):
-        place = np.searchsorted(frequent, value)
-        often = frequent[np.minimum(place, len(frequent) - 1)] == value
-    else:
-        often = np.zeros(len(value), bool)
-    by = np.argsort(owner * 3 + np.where(often, 2, has(seen, value)), kind="stable")  # each part ascending
-    value, often = value[by], often[by]
-    rare = n - np.bincount(owner[often], minlength=len(n)) if len(value) else n
-    prefix = n - (3 * n + 3) // 4 + 1
-    at = np.arange(len(value)) - offs[:-1][owner]
-    single = (at < prefix[owner]) & (~often | (n <= (SMALL * 4) // 3)[owner])
-    keys, of = [value[single]], [owner[single]]
-    pairs = np.flatnonzero((prefix > rare) & (n > SMALL))
-    if len(pairs):
-        last = prefix + GROUPS
-        own = np.isin(owner, pairs) & often & (at < last[owner])
-        v, o = value[own], owner[own]
-        cell = o * GROUPS + (mix(v) % np.uint64(GROUPS)).astype(np.int64)
-        by = np.argsort(cell, kind="stable")
-        v, o, cell = v[by], o[by], cell[by]
-        k = 1
-        while k < len(v):
-            same = cell[k:] == cell[:-k]
-            if not same.any():
-                break
-            keys.append(mix(v[:-k][same] * np.uint64(0x9E3779B97F4A7C15) + v[k:][same]))
-            of.append(o[k:][same])
-            k += 1
-    return np.concatenate(keys), np.concatenate(of), np.where((prefix > rare) & (n > (SMALL * 4) // 3), -n, n)
+    same = np.zeros(len(value) + 1, bool)
+    same[1:-1] = value[1:] == value[:-1]
+    many = np.flatnonzero(same[1:] | same[:-1])
+    owner[many] = owner[many][np.lexsort((owner[many], value[many]))]
+    fresh = ~same[:-1]
+    fresh[1:] |= owner[1:] != owner[:-1]
+    return value[fresh], owner[fresh]
 
 
-def _long(x: np.ndarray) -> pa.Array:
-    return pa.array(np.ascontiguousarray(x).view(np.int64))
+def keys_of(value: np.ndarray, owner: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """A 64-bit key for each of n sets, and the sets' sizes."""
+    count = np.bincount(owner, minlength=n).astype(np.int64)
+    sums = np.zeros(n, np.uint64)
+    np.add.at(sums, owner, mix(value ^ np.uint64(0x5BD1E995)))
+    return mix(mix(sums) + count.astype(np.uint64)), count
 
 
-def frequent_shingles(docs: DataFrame, words: int = WORDS) -> tuple[DataFrame, np.ndarray, np.ndarray]:
-    """Class rows (uid, doc_id, sid, n) of all documents; the frequent shingles, ascending, 2**FEW of them at most; a filter of those seen twice."""
+def pack(*arrays: np.ndarray) -> bytes:
+    return b"".join([np.array([len(arrays), *map(len, arrays)], np.int64).tobytes(), *(np.ascontiguousarray(a).astype(np.int64, copy=False).tobytes() for a in arrays)])
 
-    def count(batches):
-        held, size = [], 0
 
-        def often():
-            v, n = np.unique(np.concatenate(held), return_counts=True)
-            keep = n >= LOCAL
-            return pa.RecordBatch.from_arrays([pa.nulls(keep.sum(), pa.int64()), pa.nulls(keep.sum(), pa.int64()), _long(v[keep]), pa.array(n[keep].astype(np.int64)), pa.array(np.full(keep.sum(), 1, np.int32))], names=["uid", "doc_id", "sid", "n", "kind"])
+def unpack(data: bytes) -> list[np.ndarray]:
+    x = np.frombuffer(data, np.int64)
+    ends = np.cumsum(x[1 : 1 + x[0]]) + 1 + x[0]
+    return [x[e - n : e] for e, n in zip(ends, x[1 : 1 + x[0]], strict=True)]
 
-        for b in batches:
-            data, at = text_parts(b.column(2))
-            for lo, hi in chunks(at):
-                value, offs = sets(data, at[lo : hi + 1], words)
-                held.append(value)
-                size += len(value)
-                n = np.diff(offs)
-                yield pa.RecordBatch.from_arrays([b.column(0).slice(lo, hi - lo), b.column(1).slice(lo, hi - lo), _long(keys_of(value, offs)), pa.array(n), pa.array(np.zeros(hi - lo, np.int32))], names=["uid", "doc_id", "sid", "n", "kind"])
-                if size > FLUSH:
-                    yield often()
-                    held, size = [], 0
-        if held:
-            yield often()
-
-    rows = stored(docs.mapInArrow(count, "uid long, doc_id long, sid long, n long, kind int"), "shingle-counts")
-    classes = rows.filter("kind = 0").drop("kind")
-    total = classes.agg(F.sum("n")).first()[0] or 0
-    least = max(FREQUENT, total // (1 << FEW) + 1)
-    often = rows.filter("kind = 1").groupBy("sid").agg(F.sum("n").alias("n")).filter(F.col("n") >= least).select("sid")
-    held = often.toArrow().column(0).to_numpy()
-    return classes, np.sort(held.view(np.uint64)), bitmap(rows.filter("kind = 1").select("sid"), SEEN_BITS)
-
-
-def index_rows(docs: DataFrame, order: Broadcast, words: int = WORDS) -> DataFrame:
-    """Index rows (sig, sid, n); for buckets that are large within a task: pairs with the first (sig, sid, n, first, m) of all others.
-    The first of such a bucket is a row of both kinds, so that it stays in the bucket if no other task has rows of it.
-
-    n is the set's size, negative where its prefix reaches frequent shingles, so that single ones don't tell all it shares.
-    """
 
-    def emit(batches):
-        seen: set[int] = set()
-        held: list[tuple[np.ndarray, np.ndarray]] = []
-        size = 0
+def _split(key: np.ndarray) -> bytes:
+    """40-bit numbers as their lower 32 bits and then their upper 8."""
+    return (key & 0xFFFFFFFF).astype("<u4").tobytes() + (key >> 32).astype(np.uint8).tobytes()
 
-        def flush():
-            sig, sid, n = (np.concatenate(x) for x in zip(*held, strict=True))
-            by = np.lexsort((sid, sig))
-            sig, sid, n = sig[by], sid[by], n[by]
-            fresh = np.concatenate([[True], (sig[1:] != sig[:-1]) | (sid[1:] != sid[:-1])]) if len(sig) else np.zeros(0, bool)
-            sig, sid, n = sig[fresh], sid[fresh], n[fresh]
-            _, start, many = np.unique(sig, return_index=True, return_counts=True)
-            start, many = np.repeat(start, many), np.repeat(many, many)
-            hot = many > HOT
-            # the firsts of hot buckets twice: alone, to meet rows of other tasks, and with themselves
-            rows = np.concatenate([np.arange(len(sig)), np.flatnonzero(hot & (np.arange(len(sig)) == start))])
-            spare = hot[rows] & (rows > start[rows])
-            spare[len(sig) :] = True
-            sig, sid, n, first, m = sig[rows], sid[rows], n[rows], sid[start[rows]], n[start[rows]]
-            for lo in range(0, len(sig), 1 << 17):
-                own = slice(lo, lo + (1 << 17))
-                yield pa.RecordBatch.from_arrays([_long(sig[own]), _long(sid[own]), pa.array(n[own]), pa.array(first[own].view(np.int64), mask=~spare[own]), pa.array(m[own], mask=~spare[own])], names=["sig", "sid", "n", "first", "m"])
 
-        for b in batches:
-            data, at = text_parts(b.column(0))
-            for lo, hi in chunks(at):
-                value, offs = sets(data, at[lo : hi + 1], words)
-                key = keys_of(value, offs)
-                sig, of, size_of = signatures(value, offs, *order.value)
-                fresh = np.zeros(hi - lo, bool)
-                for i, k in enumerate(key.tolist()):
-                    if k not in seen:
-                        seen.add(k)
-                        fresh[i] = True
-                if len(seen) > 1_000_000:
-                    seen.clear()
-                own = fresh[of]
-                held.append((sig[own], key[of[own]], size_of[of[own]]))
-                size += int(own.sum())
-                if size > FLUSH:
-                    yield from flush()
-                    held, size = [], 0
-        if held:
-            yield from flush()
-
-    return docs.select("text").mapInArrow(emit, "sig long, sid long, n long, first long, m long")
-
-
-def meeting(rows: DataFrame) -> DataFrame:
-    """The index rows of buckets with two members or more, each with its bucket's first."""
-    plain = rows.filter("first is null").drop("first", "m").repartition("sig").sortWithinPartitions("sig", "sid")
-
-    def several(batches):
-        tail, first, open_ = None, None, False  # the last row so far, its bucket's first row, whether it went out
-        for b in batches:
-            sig, sid, n = (b.column(i).to_numpy(zero_copy_only=False) for i in range(3))
-            if not len(sig):
-                continue
-            fresh = np.concatenate([[True], (sig[1:] != sig[:-1]) | (sid[1:] != sid[:-1])])
-            fresh[0] = tail is None or (sig[0], sid[0]) != tail[:2]
-            sig, sid, n = sig[fresh], sid[fresh], n[fresh]
-            if not len(sig):
-                continue
-            begins = np.concatenate([[tail is None or sig[0] != tail[0]], sig[1:] != sig[:-1]])
-            start = np.maximum.accumulate(np.where(begins, np.arange(len(sig)), 0))
-            f, m = sid[start], n[start]
-            goes_on = int(np.argmax(begins)) if begins.any() else len(sig)  # rows of the bucket that was open
-            if goes_on:
-                f[:goes_on], m[:goes_on] = first[1:]
-            out = ~begins | np.append(~begins[1:], False)
-            cols = [x[out] for x in (sig, sid, n, f, m)]
-            if goes_on and not open_:
-                cols = [np.append(x, y) for x, y in zip(cols, (*tail, *first[1:]), strict=True)]
-            yield pa.RecordBatch.from_arrays([pa.array(x) for x in cols], names=["sig", "sid", "n", "first", "m"])
-            tail, first, open_ = (int(sig[-1]), int(sid[-1]), int(n[-1])), (int(sig[-1]), int(f[-1]), int(m[-1])), bool(out[-1])
-
-    return plain.mapInArrow(several, "sig long, sid long, n long, first long, m long").unionByName(rows.filter("first is not null"))
-
-
-def enough(shared, n, m):
-    """Whether sets of sizes n and m (negative where single shingles don't tell all) that share so many index keys may link.
-
-    They link with t = 3 * (n + m) / 7 shingles in common or more, and n - t of the first's aren't in the second. Of the prefix that ends
-    first in the order, of n - 3 * n / 4 + 1 shingles, the others are in both prefixes.
-    """
-    x, y = F.abs(n), F.abs(m)
-    need = F.ceil(3 * (x + y) / 7) - F.greatest(F.ceil(3 * x / 4), F.ceil(3 * y / 4)) + 1
-    return (4 * F.least(x, y) >= 3 * F.greatest(x, y)) & ((n < 0) | (m < 0) | (shared >= need))
+def _joined(data: bytes, n: int) -> np.ndarray:
+    return np.frombuffer(data, "<u4", n).astype(np.int64) | np.frombuffer(data, np.uint8, n, 4 * n).astype(np.int64) << 32
 
 
-def set_rows(docs: DataFrame, wanted: Broadcast, words: int = WORDS) -> DataFrame:
-    """sid and shingles of the sets in the filter; 5 bytes a shingle, ascending."""
+#: Rows between the steps: of a chunk (kind 1: its documents, sets and lists of sets with frequent shingles) and of a part of its shingles.
+ROW = "part int, chunk long, kind int, data binary, more binary, hot binary"
+ROW_ARROW = pa.schema([("part", pa.int32()), ("chunk", pa.int64()), ("kind", pa.int32()), ("data", pa.binary()), ("more", pa.binary()), ("hot", pa.binary())])
 
-    def emit(batches):
-        seen: set[int] = set()
-        for b in batches:
-            data, at = text_parts(b.column(0))
-            for lo, hi in chunks(at):
-                value, offs = sets(data, at[lo : hi + 1], words)
-                key = keys_of(value, offs)
-                out = []
-                for i in np.flatnonzero(has(wanted.value, key) & (np.diff(offs) > 0)).tolist():
-                    if (k := int(key[i])) not in seen:
-                        seen.add(k)
-                        out.append((i, value[offs[i] : offs[i + 1]].astype(">u8").view(np.uint8).reshape(-1, 8)[:, :5].tobytes()))
-                if out:
-                    yield pa.RecordBatch.from_arrays([_long(key[[i for i, _ in out]]), pa.array([x for _, x in out], pa.binary())], names=["sid", "shingles"])
-
-    def once(batches):
-        seen = set()
-        for b in batches:
-            keep = []
-            for k in b.column(0).to_pylist():
-                keep.append(k not in seen)
-                seen.add(k)
-            yield b.filter(pa.array(keep))
 
-    return docs.select("text").mapInArrow(emit, "sid long, shingles binary").repartition("sid").mapInArrow(once, "sid long, shingles binary")
+def _rows(rows: list[tuple]) -> pa.Table:
+    return pa.Table.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), ROW_ARROW, strict=True)] if rows else [pa.array([], f.type) for f in ROW_ARROW], schema=ROW_ARROW)
+
+
+def dealt(docs: DataFrame, bits: int, words: int = WORDS) -> DataFrame:
+    """The shingles of (uid, doc_id, text) in 2**bits parts, and a row of each chunk's documents and sets."""
+
+    def emit(batches):
+        held: list[tuple[np.ndarray, np.ndarray]] = []
+        ids: list[pa.RecordBatch] = []
+        size = many = 0
 
+        def flush():
+            value, owner = distinct(np.concatenate([v for v, _ in held]), np.concatenate([o for _, o in held]))
+            sid, n = keys_of(value, owner, many)
+            uid = np.concatenate([b.column(0).to_numpy() for b in ids])
+            doc_id = np.concatenate([b.column(1).fill_null(0).to_numpy() for b in ids])
+            null = np.concatenate([b.column(1).is_null().to_numpy(zero_copy_only=False) for b in ids])
+            full = np.flatnonzero(n > 0)
+            sids, first, of = np.unique(sid[full], return_index=True, return_inverse=True)
+            number = np.full(many, -1, np.int64)
+            number[full] = of
+            stays = np.zeros(many, bool)
+            stays[full[first]] = True
+            keep = stays[owner]
+            value, owner = value[keep], number[owner[keep]]
+            short = value >> np.uint64(24 - bits) << np.uint64(24 - bits)
+            if ((short[1:] == short[:-1]) & (value[1:] != value[:-1])).any():
+                short, owner = distinct(short, owner)
+            value = short
+            part = (value >> np.uint64(64 - bits)).astype(np.int64)
+            key = ((value << np.uint64(bits)) >> np.uint64(24)).astype(np.int64)
+            begins = np.flatnonzero(np.concatenate([[True], (key[1:] != key[:-1]) | (part[1:] != part[:-1])])) if len(key) else np.zeros(0, np.int64)
+            count = np.diff(np.append(begins, len(key)))
+            hot = count >= HOT
+            plain = np.repeat(~hot, count)
+            p, k, o = part[plain], key[plain], owner[plain]
+            hp, hk, hn = part[begins[hot]], key[begins[hot]], count[hot]
+            at, hat = np.searchsorted(p, np.arange((1 << bits) + 1)), np.searchsorted(hp, np.arange((1 << bits) + 1))
+            chunk = int(uid[0])
+            yield (int(mix(uid[:1].astype(np.uint64))[0] % np.uint64(1 << bits)), chunk, 1, pack(uid, doc_id, null, number), pack(sids.view(np.int64), n[full[first]]), pack(hp << 40 | hk, hn, owner[~plain]))
+            for i in np.flatnonzero((np.diff(at) > 0) | (np.diff(hat) > 0)).tolist():
+                own, hown = slice(at[i], at[i + 1]), slice(hat[i], hat[i + 1])
+                yield i, chunk, 0, _split(k[own]) + o[own].astype("<u2").tobytes(), None, _split(hk[hown]) + hn[hown].astype("<u4").tobytes()
+
+        def flushed():
+            rows = []
+            for r in flush():
+                rows.append(r)
+                if len(rows) == 4096:
+                    yield from _rows(rows).to_batches()
+                    rows = []
+            yield from _rows(rows).to_batches()
 
-def _numbers(x: bytes) -> np.ndarray:
-    out = np.zeros((len(x) // 5, 8), np.uint8)
-    out[:, 3:] = np.frombuffer(x, np.uint8).reshape(-1, 5)
-    return out.view(">u8").reshape(-1).astype(np.int64)
+        for b in batches:
+            data, at = text_parts(b.column(2))
+            for lo, hi in chunks(at):
+                for x in range(lo, hi, DOCS):
+                    y = min(hi, x + DOCS)
+                    value, owner = shingles(data, at[x : y + 1], words)
+                    if many and (size + len(value) > CHUNK or many + y - x > DOCS):
+                        yield from flushed()
+                        held, ids, size, many = [], [], 0, 0
+                    held.append((value, owner + many))
+                    ids.append(b.select(["uid", "doc_id"]).slice(x, y - x))
+                    size += len(value)
+                    many += y - x
+        if many:
+            yield from flushed()
+
+    return docs.select("uid", "doc_id", "text").mapInArrow(emit, ROW)
+
+
+def counted(rows: DataFrame) -> DataFrame:
+    """For each chunk and part, the shingles that several sets hold and their levels; chunk rows as they are."""
+
+    def count(key, t):
+        rows = [tuple(r.values()) for r in t.to_pylist()]
+        out = [r for r in rows if r[2]]
+        rows = [r for r in rows if not r[2]]
+        if not rows:
+            return _rows(out)
+        n, h = [len(r[3]) // 7 for r in rows], [len(r[5]) // 9 for r in rows]
+        keys = np.concatenate([*(_joined(r[3], k) for r, k in zip(rows, n, strict=True)), *(_joined(r[5], k) for r, k in zip(rows, h, strict=True))])
+        many = np.concatenate([np.ones(sum(n), np.int64), *(np.frombuffer(r[5], "<u4", k, 5 * k).astype(np.int64) for r, k in zip(rows, h, strict=True))])
+        by = np.argsort(keys)
+        ordered = keys[by]
+        begins = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]]))
+        total = np.add.reduceat(many[by], begins)
+        level = np.zeros(len(keys), np.uint8)
+        level[by] = np.repeat(np.minimum(255, np.floor(8 * np.log2(total))).astype(np.uint8), np.diff(np.append(begins, len(keys))))
+        a, z = np.concatenate([[0], np.cumsum(n)]), sum(n) + np.concatenate([[0], np.cumsum(h)])
+        for i, r in enumerate(rows):
+            own, hown = slice(a[i], a[i + 1]), slice(z[i], z[i + 1])
+            keep = level[own] > 0
+            if keep.any() or h[i]:
+                refs = np.frombuffer(r[3], "<u2", n[i], 5 * n[i])
+                out.append((*r[:3], _split(keys[own][keep]) + level[own][keep].tobytes() + refs[keep].tobytes(), None, _split(keys[hown]) + level[hown].tobytes()))
+        return _rows(out)
+
+    return rows.groupBy("part").applyInArrow(count, ROW)
+
+
+def groups_of(n: np.ndarray) -> np.ndarray:
+    """How many groups of combinations sets of these sizes have."""
+    return 1 << np.maximum(0, np.floor(np.log2(np.maximum(n, 1) / BAND))).astype(np.int64)
+
+
+def signatures(key: np.ndarray, level: np.ndarray, offs: np.ndarray, n: np.ndarray, groups: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Index keys of sets, the sets they are of, and the places of single shingles in their sets' orders (0 for combinations).
+
+    key, level: the shingles of each set that others hold too, by level and key; offs: the sets' offsets; n: the sets' sizes.
+    """
+    count = np.diff(offs)
+    owner = np.repeat(np.arange(len(n)), count)
+    place = np.arange(len(key)) - offs[:-1][owner] + (n - count)[owner]
+    kind = 1 + (level >= FEW).astype(np.int64) + (level >= MANY)
+    group = np.where(kind > 1, (mix(key.view(np.uint64) ^ np.uint64(0xA5A5)) % groups.astype(np.uint64)[owner]).astype(np.int64), 0)
+    # the how manieth of its group each is: those before the kind-th don't count
+    cell = np.lexsort((place, group, kind, owner))
+    o, k, g = owner[cell], kind[cell], group[cell]
+    begins = np.concatenate([[True], (o[1:] != o[:-1]) | (k[1:] != k[:-1]) | (g[1:] != g[:-1])]) if len(cell) else np.zeros(0, bool)
+    start = np.maximum.accumulate(np.where(begins, np.arange(len(cell)), 0)) if len(cell) else np.zeros(0, np.int64)
+    nth = np.empty(len(cell), np.int64)
+    nth[cell] = np.arange(len(cell)) - start
+    counts = nth >= kind - 1
+    run = np.concatenate([[0], np.cumsum(counts)])
+    before = run[:-1] - run[offs[:-1]][owner] + (n - count)[owner]
+    need = n - (3 * n + 3) // 4 + 1
+    inside = before < need[owner]
+    single = inside & (kind == 1)
+    sigs, of, at = [mix(key[single].view(np.uint64) ^ np.uint64(0x51))], [owner[single]], [place[single]]
+    cell = cell[inside[cell] & (kind[cell] > 1)]
+    o, k, v = owner[cell], kind[cell], mix(key[cell].view(np.uint64) + np.uint64(0x77))
+    cid = np.cumsum(np.concatenate([[True], (o[1:] != o[:-1]) | (k[1:] != k[:-1]) | (group[cell][1:] != group[cell][:-1])])) if len(cell) else o
+    for i in range(1, len(cell)):
+        two = np.flatnonzero(cid[i:] == cid[:-i])
+        if not len(two):
+            break
+        pair = v[two] * np.uint64(0x9E3779B97F4A7C15) + v[two + i]
+        twos = k[two] == 2
+        sigs.append(mix(pair[twos]))
+        of.append(o[two[twos]])
+        at.append(np.zeros(int(twos.sum()), np.int64))
+        two, pair = two[~twos] + i, pair[~twos]
+        for j in range(1, len(cell)):
+            two, pair = two[two + j < len(cell)], pair[: (two + j < len(cell)).sum()]
+            more = cid[two + j] == cid[two]
+            if not more.any():
+                break
+            sigs.append(mix(mix(pair[more]) * np.uint64(0xC2B2AE3D27D4EB4F) + v[two[more] + j]))
+            of.append(o[two[more]])
+            at.append(np.zeros(int(more.sum()), np.int64))
+    return np.concatenate(sigs), np.concatenate(of), np.concatenate(at)
+
+
+def tiny(key: np.ndarray, offs: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Index keys of sets of three to five shingles, and the sets: whole up to four, and with one left out from four on."""
+    sigs, of = [], []
+    count = np.diff(offs)
+    for i in np.flatnonzero((n >= 3) & (n <= 5) & (count >= np.minimum(n, 4) - (n == 4))).tolist():
+        own = sorted(key[offs[i] : offs[i + 1]].tolist())
+        for size in {int(n[i]), int(n[i]) - 1} & {3, 4}:
+            for x in combinations(own, size):
+                sigs.append(hash((size, x)) & 0xFFFFFFFFFFFFFFFF)  # of integers: the same in every process
+                of.append(i)
+    return mix(np.array(sigs, np.uint64)), np.array(of, np.int64)
+
+
+#: Rows of documents have uid; those of sets have shingles, ascending, signatures and places; rep is the number of shingles.
+SETS = "uid long, doc_id long, sid long, n long, rep long, shingles binary, sigs array<long>, places array<int>"
+SETS_ARROW = pa.schema([("uid", pa.int64()), ("doc_id", pa.int64()), ("sid", pa.int64()), ("n", pa.int64()), ("rep", pa.int64()), ("shingles", pa.binary()), ("sigs", pa.list_(pa.int64())), ("places", pa.list_(pa.int32()))])
+
+
+def indexed(rows: DataFrame) -> DataFrame:
+    """Documents and sets of each chunk, with the sets' signatures."""
+
+    def index(key, t):
+        refs, keys, levels = [], [], []
+        hot_keys, hot_levels = [np.zeros(0, np.int64)], [np.zeros(0, np.uint8)]
+        for r in t.to_pylist():
+            if r["kind"]:
+                uid, doc_id, null, number = unpack(r["data"])
+                sids, n = unpack(r["more"])
+                listed, many, lists = unpack(r["hot"])
+                continue
+            top = r["part"] << 40
+            m, h = len(r["data"]) // 8, len(r["hot"]) // 6
+            keys.append(_joined(r["data"], m) | top)
+            levels.append(np.frombuffer(r["data"], np.uint8, m, 5 * m))
+            refs.append(np.frombuffer(r["data"], "<u2", m, 6 * m).astype(np.int64))
+            hot_keys.append(_joined(r["hot"], h) | top)
+            hot_levels.append(np.frombuffer(r["hot"], np.uint8, h, 5 * h))
+        hk, hl = np.concatenate(hot_keys), np.concatenate(hot_levels)
+        place = np.searchsorted(listed, hk)
+        ends = np.cumsum(many)
+        own = ranges(ends[place] - many[place], many[place])
+        key = np.concatenate([*keys, np.repeat(hk, many[place])]) if keys or len(hk) else np.zeros(0, np.int64)
+        level = np.concatenate([*levels, np.repeat(hl, many[place])]).astype(np.int64) if keys or len(hk) else np.zeros(0, np.int64)
+        ref = np.concatenate([*refs, lists[own]]) if keys or len(hk) else np.zeros(0, np.int64)
+        by = np.lexsort((key, level, ref))
+        key, level, ref = key[by], level[by], ref[by]
+        count = np.bincount(ref, minlength=len(sids))
+        offs = np.concatenate([[0], np.cumsum(count)])
+        sigs, of, at = signatures(key, level, offs, n, groups_of(n))
+        wider = np.flatnonzero((groups_of(n * 4 // 3) > groups_of(n)) & (count > 0))
+        if len(wider):  # sets that may link with some of more groups
+            sub = ranges(offs[:-1][wider], count[wider])
+            s, o, a = signatures(key[sub], level[sub], np.concatenate([[0], np.cumsum(count[wider])]), n[wider], 2 * groups_of(n[wider]))
+            sigs, of, at = np.concatenate([sigs, s]), np.concatenate([of, wider[o]]), np.concatenate([at, a])
+        s, o = tiny(key, offs, n)
+        sigs, of, at = np.concatenate([sigs, s]).view(np.int64), np.concatenate([of, o]), np.concatenate([at, np.zeros(len(s), np.int64)])
+        large = n >= 5
+        keep = large[of]
+        keep[len(keep) - len(s) :] = True
+        sigs, of, at = sigs[keep], of[keep], at[keep]
+        by = np.lexsort((sigs, of))
+        sigs, of, at = sigs[by], of[by], at[by]
+        fresh = np.concatenate([[True], (sigs[1:] != sigs[:-1]) | (of[1:] != of[:-1])]) if len(sigs) else np.zeros(0, bool)
+        sigs, of, at = sigs[fresh], of[fresh], at[fresh]
+        by = np.lexsort((key, ref))  # compared in the order of keys
+        key = key[by]
+        some = np.flatnonzero(np.bincount(of, minlength=len(sids)) > 0)
+        blobs = [key[offs[i] : offs[i + 1]].tobytes() for i in some.tolist()]
+        many = np.bincount(of, minlength=len(sids))[some]
+        lists_at = pa.array(np.concatenate([[0], np.cumsum(many)]).astype(np.int32))
+        none = number < 0
+        docs = pa.Table.from_arrays([pa.array(uid), pa.array(doc_id, mask=null != 0), pa.array(np.append(sids, 0)[number], mask=none), pa.array(np.append(n, 0)[number]), pa.nulls(len(uid), pa.int64()), *(pa.nulls(len(uid), f.type) for f in list(SETS_ARROW)[5:])], schema=SETS_ARROW)
+        lists_ = [pa.ListArray.from_arrays(lists_at, pa.array(x)) for x in (sigs, at.astype(np.int32))]
+        sets = pa.Table.from_arrays([pa.nulls(len(some), pa.int64()), pa.nulls(len(some), pa.int64()), pa.array(sids[some]), pa.array(n[some]), pa.array(count[some].astype(np.int64)), pa.array(blobs, pa.binary()), *lists_], schema=SETS_ARROW)
+        return pa.concat_tables([docs, sets])
+
+    return rows.groupBy("chunk").applyInArrow(index, SETS)
+
+
+def class_rows(docs: DataFrame, words: int = WORDS) -> DataFrame:
+    """SETS of docs (uid, doc_id, text)."""
+    total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    bits = max(3, int(total // PART).bit_length())
+    return stored(indexed(counted(dealt(docs, bits, words))), "shingle-sets")
+
+
+def may(x: str, y: str):
+    """Whether sets of such sizes, shared shingles at most, and places may link; they share 3 * (n + m) / 7 shingles then."""
+    n, m = F.col(f"{x}.n"), F.col(f"{y}.n")
+    least = F.least(F.col(f"{x}.rep"), F.col(f"{y}.rep"), n - F.col(f"{x}.place"), m - F.col(f"{y}.place"))
+    return (4 * F.least(n, m) >= 3 * F.greatest(n, m)) & (7 * least >= 3 * (n + m))
 
 
 def compare(pairs: DataFrame, held: DataFrame) -> DataFrame:
-    """Of the pairs (a, b) those whose sets link: 100 * intersection >= 75 * union."""
+    """Of the pairs (a, b, ...) those whose sets link: 100 * intersection >= 75 * union. held: sid, n and shingles, with repeats."""
 
     def check(batches):
         for b in batches:
             keep = []
-            for x, y in zip(b.column(2).to_pylist(), b.column(3).to_pylist(), strict=True):
-                n, m = len(x) // 5, len(y) // 5
-                both = 0
-                if 100 * min(n, m) >= 75 * max(n, m):
-                    both = n + m - len(np.unique(np.concatenate([_numbers(x), _numbers(y)])))
+            for n, m, x, y in zip(*(b.column(i).to_pylist() for i in range(b.num_columns - 4, b.num_columns)), strict=True):
+                both = len(np.intersect1d(np.frombuffer(x, np.int64), np.frombuffer(y, np.int64), assume_unique=True))
                 keep.append(100 * both >= 75 * (n + m - both))
-            yield b.select(["a", "b"]).filter(pa.array(keep))
+            yield b.select(list(range(b.num_columns - 4))).filter(pa.array(keep, pa.bool_()))
 
-    one = held.select(F.col("sid").alias("a"), F.col("shingles").alias("x"))
-    two = held.select(F.col("sid").alias("b"), F.col("shingles").alias("y"))
-    return pairs.join(one, "a").join(two, "b").select("a", "b", "x", "y").mapInArrow(check, "a long, b long")
+    wanted = pairs.select(F.explode(F.array("a", "b")).alias("sid")).distinct()
+    held = held.join(wanted, "sid", "left_semi").groupBy("sid").agg(F.first("n").alias("n"), F.first("shingles").alias("shingles"))
+    one = held.select(F.col("sid").alias("a"), F.col("n").alias("_n"), F.col("shingles").alias("_x"))
+    two = held.select(F.col("sid").alias("b"), F.col("n").alias("_m"), F.col("shingles").alias("_y"))
+    own = pairs.columns
+    return pairs.join(one, "a").join(two, "b").select(*own, "_n", "_m", "_x", "_y").mapInArrow(check, pairs.schema)
 
 
 def components(links: DataFrame) -> DataFrame:
     """sid, comp: the smallest sid that links (a, b) reach, for all sids in links. Rounds until nothing changes."""
-    both = cut(links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct())
+    both = cut(links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct())
     labels = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("label"))
     labels = cut(labels.select(F.col("a").alias("sid"), "label"))
     while True:
@@ -331,66 +409,62 @@ def components(links: DataFrame) -> DataFrame:
             return labels.withColumnRenamed("label", "comp")
 
 
-def links(docs: DataFrame, words: int = WORDS) -> tuple[DataFrame, DataFrame]:
-    """Class rows of all documents (uid, doc_id, sid, n), and links (a, b) of classes that span all components.
-
-    docs: uid, doc_id, text.
-    """
-    spark = docs.sparkSession
-    share = spark.sparkContext.broadcast
-    classes, *order = frequent_shingles(docs, words)
-    rows = stored(meeting(index_rows(docs, share(order), words)), "index-rows")
-
-    def linked(pairs: DataFrame, name: str) -> DataFrame:
-        """Of the pairs (a, b) those that link; the sets are made again from the texts of the classes in pairs."""
-        pairs = stored(pairs, f"{name}-pairs")
-        wanted = bitmap(pairs.select(F.explode(F.array("a", "b")).alias("sid")), FILTER_BITS)
-        return compare(pairs, stored(set_rows(docs, share(wanted), words), f"{name}-sets"))
-
-    good, left = None, rows
+def links(sets: DataFrame) -> DataFrame:
+    """Links (a, b) of the classes in SETS rows that span all components."""
+    spark = sets.sparkSession
+    sets = sets.filter("uid is null")
+    held = sets.select("sid", "n", "shingles")
+    rows = sets.select("sid", "n", "rep", F.explode(F.arrays_zip("sigs", "places")).alias("s")).select(F.col("s.sigs").alias("sig"), F.struct("sid", "n", "rep", F.col("s.places").alias("place"), F.col("sid").alias("comp")).alias("x"))
+    several = rows.groupBy("sig").agg(F.min("x.sid").alias("lo"), F.max("x.sid").alias("hi")).filter("lo <> hi").select("sig")
+    left = stored(rows.join(several, "sig", "left_semi").distinct(), "index")
+    found = spark.createDataFrame([], "a long, b long")
     for turn in range(TURNS):
-        if turn:  # with several members of each bucket, the same ones in all buckets that they share
-            some = F.array_distinct(F.array(*(F.min_by(F.struct("sid", "n", "comp"), F.xxhash64("sid", F.lit(PIVOTS * turn + k))) for k in range(PIVOTS))))
-            pivots = left.groupBy("sig").agg(some.alias("pivots"))
-            met = left.join(pivots, "sig").select("sid", "n", "comp", F.explode("pivots").alias("pivot")).filter("comp <> pivot.comp").select("sid", "n", F.col("pivot.sid").alias("first"), F.col("pivot.n").alias("m"))
-        else:
-            met = left.filter("sid <> first")
-        # each class with those of its buckets' firsts that it meets most often
-        met = met.groupBy("sid", "first").agg(F.count("*").alias("shared"), F.max("n").alias("n"), F.max("m").alias("m")).filter(enough(F.col("shared"), F.col("n"), F.col("m")))
-        best = met.groupBy("sid").agg(F.slice(F.sort_array(F.collect_list(F.struct("shared", "first")), False), 1, BEST if turn else 1).alias("top")).select(F.explode("top.first").alias("a"), F.col("sid").alias("b"))
-        found = linked(best, f"turn{turn}")
-        good = stored(found if good is None else good.unionByName(found), "links")
-        labels = components(good)
-        own = rows.select("sig", "sid", "n").distinct().join(labels, "sid", "left").select("sig", "sid", "n", F.coalesce("comp", "sid").alias("comp"))
-        several = own.groupBy("sig").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo <> hi").select("sig")
-        left = stored(own.join(several, "sig", "left_semi"), "left")
-    pairs = left.alias("l").join(left.alias("r"), (F.col("l.sig") == F.col("r.sig")) & (F.col("l.comp") < F.col("r.comp")) & (4 * F.least(F.abs("l.n"), F.abs("r.n")) >= 3 * F.greatest(F.abs("l.n"), F.abs("r.n"))))
-    counts = pairs.groupBy(F.col("l.sid").alias("a"), F.col("r.sid").alias("b")).agg(F.count("*").alias("shared"), F.max("l.n").alias("n"), F.max("r.n").alias("m"))
-    return classes, stored(good.unionByName(linked(counts.filter(enough(F.col("shared"), F.col("n"), F.col("m"))).select("a", "b"), "rest")), "all-links")
+        # each class with a few of those that it meets most often among the ones that stand for its buckets
+        some = F.array_distinct(F.array(*(F.min_by("x", F.xxhash64("x.sid", F.lit(PIVOTS * turn + k))) for k in range(PIVOTS if turn else 1))))
+        pivots = left.groupBy("sig").agg(some.alias("pivots"))
+        met = left.join(pivots, "sig").select("x", F.explode("pivots").alias("y")).filter((F.col("x.comp") != F.col("y.comp")) & may("x", "y"))
+        met = met.groupBy(F.col("y.sid").alias("a"), F.col("x.sid").alias("b")).agg(F.count("*").alias("shared"), F.first("y.comp").alias("ca"), F.first("x.comp").alias("cb"))
+        best = met.groupBy("b", F.pmod(F.xxhash64("a"), F.lit(BEST if turn else 1)).alias("slot")).agg(F.max(F.struct("shared", "a", "ca", "cb")).alias("top"))
+        pairs = stored(best.select("top.a", "b", "top.ca", "top.cb").dropDuplicates(["a", "b"]), "pairs")
+        new = stored(compare(pairs, held), "links")
+        found = found.unionByName(new.select("a", "b"))
+        labels = components(new.select(F.col("ca").alias("a"), F.col("cb").alias("b"))).select(F.col("sid").alias("old"), F.col("comp").alias("fresh"))
+        own = left.join(labels, F.col("x.comp") == F.col("old"), "left").select("sig", F.col("x").withField("comp", F.coalesce("fresh", "x.comp")).alias("x"))
+        own = stored(own, "labelled")
+        sizes = own.groupBy("sig", F.col("x.comp").alias("comp")).agg(F.count("*").alias("n"))
+        mixed = stored(sizes.groupBy("sig").agg(F.count("*").alias("comps"), F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("squares")).filter("comps > 1"), "mixed")
+        left = stored(own.join(mixed.select("sig"), "sig", "left_semi"), "left")
+        open_pairs = mixed.agg(F.sum((F.col("n") * F.col("n") - F.col("squares")) / 2)).first()[0] or 0
+        if open_pairs <= LEFT * left.count():
+            break
+    both = left.alias("l").join(left.alias("r"), (F.col("l.sig") == F.col("r.sig")) & (F.col("l.x.comp") < F.col("r.x.comp")) & may("l.x", "r.x"))
+    pairs = stored(both.select(F.col("l.x.sid").alias("a"), F.col("r.x.sid").alias("b")).distinct(), "rest")
+    return stored(found.unionByName(compare(pairs, held)), "all-links")
 
 
 def join_classes(docs: DataFrame, words: int = WORDS) -> DataFrame:
-    """uid, doc_id, n_shingles, sid and component_id of all documents (doc_id, text), and n_links of their classes."""
+    """uid, doc_id, n_shingles, sid, comp (the smallest sid that links reach) and component_id of all documents (doc_id, text)."""
     own = docs.select(F.monotonically_increasing_id().alias("uid"), F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    classes, found = links(own, words)
+    sets = class_rows(own, words)
+    classes = sets.filter("uid is not null").select("uid", "doc_id", "sid", "n")
+    labels = components(links(sets))
     first = cut(classes.filter("n > 0").groupBy("sid").agg(F.min("doc_id").alias("first")))
-    labels = components(found)
-    known = labels.join(first, "sid")
-    least = known.groupBy("comp").agg(F.min("first").alias("least"))
-    of = cut(labels.join(least, "comp").select("sid", "least"))
-    ids = cut(first.join(of, "sid", "left").select("sid", F.coalesce("least", "first").alias("component_id")))
-    full = classes.filter("n > 0").join(ids, "sid").select("uid", "doc_id", F.col("n").alias("n_shingles"), "sid", "component_id")
-    bare = classes.filter("n = 0").select("uid", "doc_id", F.col("n").alias("n_shingles"), F.lit(None).cast("long").alias("sid"), F.col("doc_id").alias("component_id"))
-    return full.unionByName(bare)
+    comps = cut(first.join(labels, "sid", "left").select("sid", "first", F.coalesce("comp", "sid").alias("comp")))
+    ids = comps.join(comps.groupBy("comp").agg(F.min("first").alias("component_id")), "comp").select("sid", "comp", "component_id")
+    full = classes.filter("n > 0").join(ids, "sid").select("uid", "doc_id", F.col("n").alias("n_shingles"), "sid", "comp", "component_id")
+    none = F.lit(None).cast("long")
+    return full.unionByName(classes.filter("n = 0").select("uid", "doc_id", F.col("n").alias("n_shingles"), none.alias("sid"), none.alias("comp"), F.col("doc_id").alias("component_id")))
 
 
 def keep_one(docs: DataFrame, words: int = WORDS) -> DataFrame:
     """docs without near copies: of each component of links, the row with the smallest doc_id stays, the first of equals."""
-    uid = F.monotonically_increasing_id()
+    name = "_uid"
+    while name.lower() in {c.lower() for c in docs.columns}:
+        name += "_"
     groups = join_classes(docs, words)
-    found = groups.filter("n_shingles > 0").groupBy("component_id").agg(F.min(F.struct(F.coalesce("doc_id", F.lit(NONE)), "uid")).alias("top")).select(F.col("top.uid").alias("_uid"))
-    bare = groups.filter("n_shingles = 0").select(F.col("uid").alias("_uid"))
-    return docs.withColumn("_uid", uid).join(found.unionByName(bare), "_uid", "left_semi").select(*docs.columns)
+    found = groups.filter("n_shingles > 0").groupBy("comp").agg(F.min(F.struct(F.coalesce("doc_id", F.lit(NONE)), "uid")).alias("top")).select(F.col("top.uid").alias(name))
+    bare = groups.filter("n_shingles = 0").select(F.col("uid").alias(name))
+    return docs.withColumn(name, F.monotonically_increasing_id()).join(found.unionByName(bare), name, "left_semi").select(*docs.columns)
 
 
 def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
