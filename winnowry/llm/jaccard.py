@@ -1,11 +1,11 @@
 """Jaccard join of documents on word shingles, by token-combination prefixes.
 
 Texts are read once. Shingles are dealt by their hashes and counted over the whole corpus; those that only one set holds can't
-be shared, so only the others go back to their sets, each with a level of how many sets hold it. They are the sets' prefixes,
+be shared, so only the others go back to their sets, each with the number of sets that hold it. They are the sets' prefixes,
 buckets and what is compared in the end: single ones count only by their number.
 
-Shingles are ordered by level, rare ones first, and by hash. Rare ones are indexed alone, frequent ones (from level FEW on) in
-pairs, very frequent ones (from MANY on) in triples, within groups by hash. A set's prefix is extended until those of its
+Shingles are ordered by how many sets hold them, rare ones first, and by hash. Rare ones are indexed alone, frequent ones (FEW sets) in
+pairs, very frequent ones (MANY sets) in triples, within groups by hash. A set's prefix is extended until those of its
 shingles that can't be left out of combinations outnumber those that a linked set may lack: two sets that link then share a rare
 shingle or a combination of one group. The number of groups grows with the set's size, so that combinations stay few; sets
 whose linked ones may have more groups are indexed with both numbers. Sets of three to five shingles are indexed whole and with
@@ -13,7 +13,7 @@ each one left out.
 
 A bucket of the index isn't expanded into all pairs. Each class (documents with equal sets) is compared with few others that it
 meets, chosen anew in rounds; components of the links found so far are formed; then only members of different components whose
-sizes, places and shared levels allow a link are compared. No link between different sets is lost to this: pairs within a component
+sizes, places and shared shingles allow a link are compared. No link between different sets is lost to this: pairs within a component
 add nothing to components.
 
 Rows are numbered more than once, so the input must be a table as read, stored or cached, not a plan whose row order may change.
@@ -41,14 +41,14 @@ from .words import LOWER, VISIBLE, hashes, spans
 WORDS = 5
 #: Shingles and documents of a chunk, sets of a chunk from which a shingle is sent once, bytes of text for each part of the counts.
 CHUNK, DOCS, HOT, PART = 1 << 21, 60_000, 4, 8 << 20
-#: Levels are 8 * log2 of the number of sets: 128 sets and 2,048.
-FEW, MANY = 56, 88
+#: Shingles in FEW sets are indexed in pairs, those in MANY in triples; beyond MOST, sets aren't told apart by how many hold a shingle.
+FEW, MANY, MOST = 1024, 16384, 65535
 #: Sets of 2**k * BAND shingles have 2**k groups of combinations.
 BAND = 5.5
 #: Members that stand for a bucket in a round, those of them that a class is compared with, and the most rounds.
-PIVOTS, BEST, TURNS = 4, 3, 10
-#: Pairs of different components left for each class with which rounds end.
-LEFT = 2
+PIVOTS, BEST, TURNS = 4, 3, 12
+#: Rounds end with so few pairs of different components for each row of the index that is left, or where one finds no link.
+LEFT = 0.1
 NONE = (1 << 63) - 1
 
 
@@ -199,7 +199,7 @@ def dealt(docs: DataFrame, bits: int, words: int = WORDS) -> DataFrame:
 
 
 def counted(rows: DataFrame) -> DataFrame:
-    """For each chunk and part, the shingles that several sets hold and their levels; chunk rows as they are."""
+    """For each chunk and part, the shingles that several sets hold and by how many, MOST at most; chunk rows as they are."""
 
     def count(key, t):
         rows = [tuple(r.values()) for r in t.to_pylist()]
@@ -214,15 +214,15 @@ def counted(rows: DataFrame) -> DataFrame:
         ordered = keys[by]
         begins = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]]))
         total = np.add.reduceat(many[by], begins)
-        level = np.zeros(len(keys), np.uint8)
-        level[by] = np.repeat(np.minimum(255, np.floor(8 * np.log2(total))).astype(np.uint8), np.diff(np.append(begins, len(keys))))
+        held = np.zeros(len(keys), "<u2")
+        held[by] = np.repeat(np.minimum(MOST, total).astype("<u2"), np.diff(np.append(begins, len(keys))))
         a, z = np.concatenate([[0], np.cumsum(n)]), sum(n) + np.concatenate([[0], np.cumsum(h)])
         for i, r in enumerate(rows):
             own, hown = slice(a[i], a[i + 1]), slice(z[i], z[i + 1])
-            keep = level[own] > 0
+            keep = held[own] > 1
             if keep.any() or h[i]:
                 refs = np.frombuffer(r[3], "<u2", n[i], 5 * n[i])
-                out.append((*r[:3], _split(keys[own][keep]) + level[own][keep].tobytes() + refs[keep].tobytes(), None, _split(keys[hown]) + level[hown].tobytes()))
+                out.append((*r[:3], _split(keys[own][keep]) + held[own][keep].tobytes() + refs[keep].tobytes(), None, _split(keys[hown]) + held[hown].tobytes()))
         return _rows(out)
 
     return rows.groupBy("part").applyInArrow(count, ROW)
@@ -233,16 +233,20 @@ def groups_of(n: np.ndarray) -> np.ndarray:
     return 1 << np.maximum(0, np.floor(np.log2(np.maximum(n, 1) / BAND))).astype(np.int64)
 
 
-def signatures(key: np.ndarray, level: np.ndarray, offs: np.ndarray, n: np.ndarray, groups: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Index keys of sets, the sets they are of, and the places of single shingles in their sets' orders (0 for combinations).
+def signatures(key: np.ndarray, many: np.ndarray, offs: np.ndarray, n: np.ndarray, groups: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Index keys of sets, the sets they are of, and places: of a single shingle in its set's order, of a combination the first frequent one's.
 
-    key, level: the shingles of each set that others hold too, by level and key; offs: the sets' offsets; n: the sets' sizes.
+    The first shingle that two sets share, if it is rare, is an index key of both, as all before it are among those that a set may lack; if it is frequent,
+    they share no rare ones. So sets that link meet in a bucket from whose places on both have as many shingles as they share.
+
+    key, many: the shingles of each set that others hold too and how many hold them, by many and key; offs: the sets' offsets; n: the sets' sizes.
     """
     count = np.diff(offs)
     owner = np.repeat(np.arange(len(n)), count)
     place = np.arange(len(key)) - offs[:-1][owner] + (n - count)[owner]
-    kind = 1 + (level >= FEW).astype(np.int64) + (level >= MANY)
+    kind = 1 + (many >= FEW).astype(np.int64) + (many >= MANY)
     group = np.where(kind > 1, (mix(key.view(np.uint64) ^ np.uint64(0xA5A5)) % groups.astype(np.uint64)[owner]).astype(np.int64), 0)
+    rare = n - np.bincount(owner[kind > 1], minlength=len(n))
     # the how manieth of its group each is: those before the kind-th don't count
     cell = np.lexsort((place, group, kind, owner))
     o, k, g = owner[cell], kind[cell], group[cell]
@@ -268,7 +272,7 @@ def signatures(key: np.ndarray, level: np.ndarray, offs: np.ndarray, n: np.ndarr
         twos = k[two] == 2
         sigs.append(mix(pair[twos]))
         of.append(o[two[twos]])
-        at.append(np.zeros(int(twos.sum()), np.int64))
+        at.append(rare[of[-1]])
         two, pair = two[~twos] + i, pair[~twos]
         for j in range(1, len(cell)):
             two, pair = two[two + j < len(cell)], pair[: (two + j < len(cell)).sum()]
@@ -277,7 +281,7 @@ def signatures(key: np.ndarray, level: np.ndarray, offs: np.ndarray, n: np.ndarr
                 break
             sigs.append(mix(mix(pair[more]) * np.uint64(0xC2B2AE3D27D4EB4F) + v[two[more] + j]))
             of.append(o[two[more]])
-            at.append(np.zeros(int(more.sum()), np.int64))
+            at.append(rare[of[-1]])
     return np.concatenate(sigs), np.concatenate(of), np.concatenate(at)
 
 
@@ -294,77 +298,104 @@ def tiny(key: np.ndarray, offs: np.ndarray, n: np.ndarray) -> tuple[np.ndarray,
     return mix(np.array(sigs, np.uint64)), np.array(of, np.int64)
 
 
-#: Rows of documents have uid; those of sets have shingles, ascending, signatures and places; rep is the number of shingles.
-SETS = "uid long, doc_id long, sid long, n long, rep long, shingles binary, sigs array<long>, places array<int>"
-SETS_ARROW = pa.schema([("uid", pa.int64()), ("doc_id", pa.int64()), ("sid", pa.int64()), ("n", pa.int64()), ("rep", pa.int64()), ("shingles", pa.binary()), ("sigs", pa.list_(pa.int64())), ("places", pa.list_(pa.int32()))])
+#: Rows of documents have uid; those of sets that may link have shingles, ascending, and how many sets hold each.
+SETS = "uid long, doc_id long, sid long, n long, shingles binary, many binary"
+SETS_ARROW = pa.schema([("uid", pa.int64()), ("doc_id", pa.int64()), ("sid", pa.int64()), ("n", pa.int64()), ("shingles", pa.binary()), ("many", pa.binary())])
 
 
-def indexed(rows: DataFrame) -> DataFrame:
-    """Documents and sets of each chunk, with the sets' signatures."""
+def gathered(rows: DataFrame) -> DataFrame:
+    """Documents of each chunk, and its sets of which other sets hold enough shingles for a link."""
 
-    def index(key, t):
-        refs, keys, levels = [], [], []
-        hot_keys, hot_levels = [np.zeros(0, np.int64)], [np.zeros(0, np.uint8)]
+    def gather(key, t):
+        refs, keys, counts = [], [], []
+        hot_keys, hot_counts = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
         for r in t.to_pylist():
             if r["kind"]:
                 uid, doc_id, null, number = unpack(r["data"])
                 sids, n = unpack(r["more"])
-                listed, many, lists = unpack(r["hot"])
+                listed, size, lists = unpack(r["hot"])
                 continue
             top = r["part"] << 40
-            m, h = len(r["data"]) // 8, len(r["hot"]) // 6
+            m, h = len(r["data"]) // 9, len(r["hot"]) // 7
             keys.append(_joined(r["data"], m) | top)
-            levels.append(np.frombuffer(r["data"], np.uint8, m, 5 * m))
-            refs.append(np.frombuffer(r["data"], "<u2", m, 6 * m).astype(np.int64))
+            counts.append(np.frombuffer(r["data"], "<u2", m, 5 * m).astype(np.int64))
+            refs.append(np.frombuffer(r["data"], "<u2", m, 7 * m).astype(np.int64))
             hot_keys.append(_joined(r["hot"], h) | top)
-            hot_levels.append(np.frombuffer(r["hot"], np.uint8, h, 5 * h))
-        hk, hl = np.concatenate(hot_keys), np.concatenate(hot_levels)
-        place = np.searchsorted(listed, hk)
-        ends = np.cumsum(many)
-        own = ranges(ends[place] - many[place], many[place])
-        key = np.concatenate([*keys, np.repeat(hk, many[place])]) if keys or len(hk) else np.zeros(0, np.int64)
-        level = np.concatenate([*levels, np.repeat(hl, many[place])]).astype(np.int64) if keys or len(hk) else np.zeros(0, np.int64)
-        ref = np.concatenate([*refs, lists[own]]) if keys or len(hk) else np.zeros(0, np.int64)
-        by = np.lexsort((key, level, ref))
-        key, level, ref = key[by], level[by], ref[by]
+            hot_counts.append(np.frombuffer(r["hot"], "<u2", h, 5 * h).astype(np.int64))
+        hk, hc = np.concatenate(hot_keys), np.concatenate(hot_counts)
+        place, ends = np.searchsorted(listed, hk), np.cumsum(size)
+        key = np.concatenate([*keys, np.repeat(hk, size[place])])
+        many = np.concatenate([*counts, np.repeat(hc, size[place])])
+        ref = np.concatenate([*refs, lists[ranges(ends[place] - size[place], size[place])]])
+        by = np.lexsort((key, ref))
+        key, many, ref = key[by], many[by].astype("<u2"), ref[by]
         count = np.bincount(ref, minlength=len(sids))
         offs = np.concatenate([[0], np.cumsum(count)])
-        sigs, of, at = signatures(key, level, offs, n, groups_of(n))
-        wider = np.flatnonzero((groups_of(n * 4 // 3) > groups_of(n)) & (count > 0))
+        some = np.flatnonzero((n >= 3) & (4 * count >= 3 * n))
+        blobs = [[x[offs[i] : offs[i + 1]].tobytes() for i in some.tolist()] for x in (key, many)]
+        docs = pa.Table.from_arrays([pa.array(uid), pa.array(doc_id, mask=null != 0), pa.array(np.append(sids, 0)[number], mask=number < 0), pa.array(np.append(n, 0)[number]), *(pa.nulls(len(uid), pa.binary()) for _ in range(2))], schema=SETS_ARROW)
+        sets = pa.Table.from_arrays([*(pa.nulls(len(some), pa.int64()) for _ in range(2)), pa.array(sids[some]), pa.array(n[some]), *(pa.array(x, pa.binary()) for x in blobs)], schema=SETS_ARROW)
+        return pa.concat_tables([docs, sets])
+
+    return rows.groupBy("chunk").applyInArrow(gather, SETS)
+
+
+INDEX = "sid long, n long, rep long, sigs array<long>, places array<int>"
+
+
+def indexed(sets: DataFrame) -> DataFrame:
+    """INDEX rows of the sets in SETS rows; rep is how many of a set's shingles other sets hold.
+
+    Copies of a set in several chunks are counted as many sets. A shingle that just so many hold is in no other set.
+    """
+    once = sets.groupBy("sid").agg(F.count("*").alias("copies"), F.first("n").alias("n"), F.first("shingles").alias("shingles"), F.first("many").alias("many"))
+
+    def index(batches):
+        for b in batches:
+            blobs, counts = b.column(3).to_pylist(), b.column(4).to_pylist()
+            sizes = np.cumsum([len(x) for x in counts])
+            lo = 0
+            while lo < len(blobs):
+                hi = max(lo + 1, int(np.searchsorted(sizes, (sizes[lo - 1] if lo else 0) + CHUNK)))
+                yield signed(b.slice(lo, hi - lo), blobs[lo:hi], counts[lo:hi])
+                lo = hi
+
+    def signed(b, blobs, counts):
+        sid, copies, n = (b.column(i).to_numpy() for i in range(3))
+        key, many = np.frombuffer(b"".join(blobs), np.int64), np.frombuffer(b"".join(counts), "<u2").astype(np.int64)
+        ref = np.repeat(np.arange(len(n)), [len(x) // 8 for x in blobs])
+        shared = (many > copies[ref]) | (many == MOST)
+        key, many, ref = key[shared], many[shared], ref[shared]
+        by = np.lexsort((key, many, ref))
+        key, many, ref = key[by], many[by], ref[by]
+        rep = np.bincount(ref, minlength=len(n))
+        offs = np.concatenate([[0], np.cumsum(rep)])
+        own = groups_of(n)
+        found = [signatures(key, many, offs, n, own)]
+        wider = np.flatnonzero(groups_of(n * 4 // 3) > own)
         if len(wider):  # sets that may link with some of more groups
-            sub = ranges(offs[:-1][wider], count[wider])
-            s, o, a = signatures(key[sub], level[sub], np.concatenate([[0], np.cumsum(count[wider])]), n[wider], 2 * groups_of(n[wider]))
-            sigs, of, at = np.concatenate([sigs, s]), np.concatenate([of, wider[o]]), np.concatenate([at, a])
+            s, o, a = signatures(key[ranges(offs[:-1][wider], rep[wider])], many[ranges(offs[:-1][wider], rep[wider])], np.concatenate([[0], np.cumsum(rep[wider])]), n[wider], 2 * own[wider])
+            found.append((s, wider[o], a))
+        found = [tuple(x[n[o] >= 5] for x in (s, o, a)) for s, o, a in found]
         s, o = tiny(key, offs, n)
-        sigs, of, at = np.concatenate([sigs, s]).view(np.int64), np.concatenate([of, o]), np.concatenate([at, np.zeros(len(s), np.int64)])
-        large = n >= 5
-        keep = large[of]
-        keep[len(keep) - len(s) :] = True
-        sigs, of, at = sigs[keep], of[keep], at[keep]
+        sigs, of, at = (np.concatenate(x) for x in zip(*found, (s, o, np.zeros(len(s), np.int64)), strict=True))
         by = np.lexsort((sigs, of))
         sigs, of, at = sigs[by], of[by], at[by]
-        fresh = np.concatenate([[True], (sigs[1:] != sigs[:-1]) | (of[1:] != of[:-1])]) if len(sigs) else np.zeros(0, bool)
+        fresh = np.ones(len(sigs), bool)
+        fresh[1:] = (sigs[1:] != sigs[:-1]) | (of[1:] != of[:-1])
         sigs, of, at = sigs[fresh], of[fresh], at[fresh]
-        by = np.lexsort((key, ref))  # compared in the order of keys
-        key = key[by]
-        some = np.flatnonzero(np.bincount(of, minlength=len(sids)) > 0)
-        blobs = [key[offs[i] : offs[i + 1]].tobytes() for i in some.tolist()]
-        many = np.bincount(of, minlength=len(sids))[some]
-        lists_at = pa.array(np.concatenate([[0], np.cumsum(many)]).astype(np.int32))
-        none = number < 0
-        docs = pa.Table.from_arrays([pa.array(uid), pa.array(doc_id, mask=null != 0), pa.array(np.append(sids, 0)[number], mask=none), pa.array(np.append(n, 0)[number]), pa.nulls(len(uid), pa.int64()), *(pa.nulls(len(uid), f.type) for f in list(SETS_ARROW)[5:])], schema=SETS_ARROW)
-        lists_ = [pa.ListArray.from_arrays(lists_at, pa.array(x)) for x in (sigs, at.astype(np.int32))]
-        sets = pa.Table.from_arrays([pa.nulls(len(some), pa.int64()), pa.nulls(len(some), pa.int64()), pa.array(sids[some]), pa.array(n[some]), pa.array(count[some].astype(np.int64)), pa.array(blobs, pa.binary()), *lists_], schema=SETS_ARROW)
-        return pa.concat_tables([docs, sets])
+        ends = pa.array(np.concatenate([[0], np.cumsum(np.bincount(of, minlength=len(n)))]).astype(np.int32))
+        lists = [pa.ListArray.from_arrays(ends, pa.array(x)) for x in (sigs.view(np.int64), at.astype(np.int32))]
+        return pa.RecordBatch.from_arrays([b.column(0), b.column(2), pa.array(rep.astype(np.int64)), *lists], names=["sid", "n", "rep", "sigs", "places"])
 
-    return rows.groupBy("chunk").applyInArrow(index, SETS)
+    return once.mapInArrow(index, INDEX)
 
 
 def class_rows(docs: DataFrame, words: int = WORDS) -> DataFrame:
     """SETS of docs (uid, doc_id, text)."""
     total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     bits = max(3, int(total // PART).bit_length())
-    return stored(indexed(counted(dealt(docs, bits, words))), "shingle-sets")
+    return stored(gathered(counted(dealt(docs, bits, words))), "shingle-sets")
 
 
 def may(x: str, y: str):
@@ -414,13 +445,16 @@ def links(sets: DataFrame) -> DataFrame:
     spark = sets.sparkSession
     sets = sets.filter("uid is null")
     held = sets.select("sid", "n", "shingles")
-    rows = sets.select("sid", "n", "rep", F.explode(F.arrays_zip("sigs", "places")).alias("s")).select(F.col("s.sigs").alias("sig"), F.struct("sid", "n", "rep", F.col("s.places").alias("place"), F.col("sid").alias("comp")).alias("x"))
-    several = rows.groupBy("sig").agg(F.min("x.sid").alias("lo"), F.max("x.sid").alias("hi")).filter("lo <> hi").select("sig")
-    left = stored(rows.join(several, "sig", "left_semi").distinct(), "index")
+    rows = stored(indexed(sets), "signatures").select("sid", "n", "rep", F.explode(F.arrays_zip("sigs", "places")).alias("s")).select(F.col("s.sigs").alias("sig"), F.struct("sid", "n", "rep", F.col("s.places").alias("place"), F.col("sid").alias("comp")).alias("x"))
+    several = rows.groupBy("sig").agg(F.min("x.sid").alias("lo"), F.max("x.sid").alias("hi"), F.min("x.n").alias("least")).filter("lo <> hi").select("sig", "least")
+    # without those that can't link with the smallest set of the bucket, as far as sizes and places tell
+    most = F.least("x.rep", F.col("x.n") - F.col("x.place"))
+    left = stored(rows.join(several, "sig").filter(7 * most >= 3 * (F.col("x.n") + F.greatest("least", F.ceil(3 * F.col("x.n") / 4)))).select("sig", "x"), "index")
     found = spark.createDataFrame([], "a long, b long")
     for turn in range(TURNS):
-        # each class with a few of those that it meets most often among the ones that stand for its buckets
-        some = F.array_distinct(F.array(*(F.min_by("x", F.xxhash64("x.sid", F.lit(PIVOTS * turn + k))) for k in range(PIVOTS if turn else 1))))
+        # each class with a few of those that it meets most often among the ones that stand for its buckets: every other with least of its own
+        order = [F.struct(F.col("x.place") * F.lit(1 - k % 2), F.xxhash64("x.sid", F.lit(PIVOTS * turn + k))) for k in range(PIVOTS if turn else 1)]
+        some = F.array_distinct(F.array(*(F.min_by("x", o) for o in order)))
         pivots = left.groupBy("sig").agg(some.alias("pivots"))
         met = left.join(pivots, "sig").select("x", F.explode("pivots").alias("y")).filter((F.col("x.comp") != F.col("y.comp")) & may("x", "y"))
         met = met.groupBy(F.col("y.sid").alias("a"), F.col("x.sid").alias("b")).agg(F.count("*").alias("shared"), F.first("y.comp").alias("ca"), F.first("x.comp").alias("cb"))
@@ -430,12 +464,11 @@ def links(sets: DataFrame) -> DataFrame:
         found = found.unionByName(new.select("a", "b"))
         labels = components(new.select(F.col("ca").alias("a"), F.col("cb").alias("b"))).select(F.col("sid").alias("old"), F.col("comp").alias("fresh"))
         own = left.join(labels, F.col("x.comp") == F.col("old"), "left").select("sig", F.col("x").withField("comp", F.coalesce("fresh", "x.comp")).alias("x"))
-        own = stored(own, "labelled")
         sizes = own.groupBy("sig", F.col("x.comp").alias("comp")).agg(F.count("*").alias("n"))
         mixed = stored(sizes.groupBy("sig").agg(F.count("*").alias("comps"), F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("squares")).filter("comps > 1"), "mixed")
         left = stored(own.join(mixed.select("sig"), "sig", "left_semi"), "left")
-        open_pairs = mixed.agg(F.sum((F.col("n") * F.col("n") - F.col("squares")) / 2)).first()[0] or 0
-        if open_pairs <= LEFT * left.count():
+        rows_left, pairs_left = mixed.agg(F.sum("n"), F.sum((F.col("n") * F.col("n") - F.col("squares")) / 2)).first()
+        if not rows_left or pairs_left <= LEFT * rows_left or not new.limit(1).count():
             break
     both = left.alias("l").join(left.alias("r"), (F.col("l.sig") == F.col("r.sig")) & (F.col("l.x.comp") < F.col("r.x.comp")) & may("l.x", "r.x"))
     pairs = stored(both.select(F.col("l.x.sid").alias("a"), F.col("r.x.sid").alias("b")).distinct(), "rest")
