@@ -117,12 +117,22 @@ class Encoder:
         begin, row = self.pretokens(data, at)
         ends = np.append(begin[1:], at[-1])
         keys = span_hashes(data[at[0] : at[-1]], begin - at[0], ends - at[0])
+        parts = []
+        for lo in range(0, len(keys), CACHE // 2):
+            own = slice(lo, lo + CACHE // 2)
+            place = self._places(data, keys[own], begin[own], ends[own])
+            lens = self.length[place].astype(np.int64)
+            parts.append((self.flat[ranges(self.first[place], lens)], lens))
+        ids, lens = (np.concatenate(x) for x in zip(*parts, strict=True))
+        total = np.concatenate([[0], np.cumsum(lens)])
+        return ids, total[np.append(row, len(begin))]
+
+    def _places(self, data: np.ndarray, keys: np.ndarray, begin: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """Numbers in the table of at most CACHE pretokens, which are added where it lacks them."""
         place = self.table.find(keys)
         if len(miss := np.flatnonzero(place < 0)):
             new, where = np.unique(keys[miss], return_index=True)
             if self.table.n + len(new) > CACHE:
-                if len(new) > CACHE:
-                    raise MemoryError("more distinct pretokens in one piece of text than the cache holds")
                 self.reset()
                 miss, place = np.arange(len(keys)), np.full(len(keys), -1, np.int32)
                 new, where = np.unique(keys, return_index=True)
@@ -136,10 +146,7 @@ class Encoder:
             for i in np.flatnonzero(lines):
                 self._add_line(new[i : i + 1], words[i])
             place[miss] = self.table.find(keys[miss])
-        lens = self.length[place].astype(np.int64)
-        ids = self.flat[ranges(self.first[place], lens)]
-        total = np.concatenate([[0], np.cumsum(lens)])
-        return ids, total[np.append(row, len(begin))]
+        return place
 
     def _add_line(self, key: np.ndarray, word: bytes) -> None:
         ids = np.array([t.id for t in self.joined.model.tokenize(word.decode("latin-1").translate(self.signs))], self.flat.dtype)
