@@ -11,7 +11,7 @@ block, and these are merged in a shuffle by query.
 
 Rows: vectors that are null or hold null or non-finite components take no part; neither do rows with a null id; repeated ids
 are candidates row by row, except for a query's own id; vectors of other lengths than a query's aren't its candidates; further columns
-are ignored. Scores are 64-bit integers: components up to 2**24 times some hundred are exact.
+are ignored. Scores are exact 64-bit integers; components whose scores might not fit these raise an error.
 """
 
 from __future__ import annotations
@@ -44,6 +44,8 @@ def integers(col: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     lens = sizes[rows]
     parts = np.floor(np.where(good, values, 0) * SCALE)
     keep = np.repeat(ok, sizes)
+    if len(rows) and np.abs(parts[keep]).max(initial=0) ** 2 * lens.max() >= 2.0**63:
+        raise ValueError("components so large that a score may not fit 64 bits")
     return rows, lens, parts[keep].astype(np.int64)
 
 
@@ -109,7 +111,7 @@ NONE = (np.zeros(0, np.int64),) * 3
 def top_k(candidates: DataFrame, queries: DataFrame, k: int = 10, block: int = BLOCK) -> DataFrame:
     """query_id, rank, vec_id, score: each query's k best candidates; ties to smaller ids. Rows: vec_id, embedding."""
     sc = candidates.sparkSession.sparkContext
-    cols = lambda df: df.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<float>").alias("embedding")).filter("vec_id is not null and embedding is not null")
+    cols = lambda df: df.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("embedding")).filter("vec_id is not null and embedding is not null")
     candidates, queries = cols(candidates), cols(queries)
     blocks = -(-queries.count() * 4 // (3 * block))  # three quarters full on average
     hashed = F.pmod(F.xxhash64("vec_id", "embedding"), F.lit(max(1, blocks)))
