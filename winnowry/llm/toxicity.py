@@ -14,6 +14,7 @@ at most, and nine numbers for each of the DOCS documents learnt from.
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from collections import Counter
 
 import numpy as np
@@ -36,9 +37,10 @@ MOD, REST = 5, 0
 STATES = 200_000
 
 WORD = re.compile(r"[^\W_]+")
-QUOTES = frozenset("\"“”„«»‘’‹›`")
-OPENS = re.compile("[\"“„«‘‹`][^\"“”„«»‘’‹›`\n]{0,400}$")
-CLOSES = re.compile("^[^\"“”„«»‘’‹›`\n]{0,400}[\"”“»’›`]")
+#: What begins and ends a quotation; lines end it, too.
+MARKS, OPENS, CLOSES = re.compile("[\"“”„«»‘’‹›`\n]"), frozenset("\"“„«‘‹`"), frozenset("\"”“»’›`")
+#: What a term counts whose every match is quoted.
+QUOTED = 0.25
 
 
 def edits(term: str) -> int:
@@ -154,8 +156,10 @@ def numbers(text: str | None, finder: Automaton) -> np.ndarray:
         return out
     at = [i for i, w in enumerate(words) if w in kinds]
     spots = [m.span() for m in WORD.finditer(low) if m.group() in kinds]
-    quoted = 0
-    densest = 0
+    quoted = densest = 0
+    marks = [(m.start(), m.group()) for m in MARKS.finditer(low)]
+    places = [p for p, _ in marks]
+    bare = set()
     j = 0
     for k, i in enumerate(at):
         while at[j] < i - CONTEXT:
@@ -163,15 +167,19 @@ def numbers(text: str | None, finder: Automaton) -> np.ndarray:
         densest = max(densest, k - j + 1)
         _, far = kinds[words[i]]
         x, y = spots[k]
-        inside = bool(OPENS.search(low[max(0, x - 400) : x])) and bool(CLOSES.match(low[y : y + 401]))
+        before, after = bisect_left(places, x) - 1, bisect_left(places, y)
+        inside = before >= 0 and after < len(marks) and marks[before][1] in OPENS and marks[after][1] in CLOSES
         quoted += inside
+        if not inside:
+            bare.add(words[i])
         out[(2 if far else 0) + inside] += 1
-    weight = max(finder.weights[t] / (1 + d) for t, d in kinds.values())
+    share = {w: 1.0 if w in bare else QUOTED for w in kinds}
+    weight = max(share[w] * finder.weights[t] / (1 + d) for w, (t, d) in kinds.items())
     out[:4] = np.log1p(out[:4])
     out[4] = weight / 5
     out[5] = densest / len(at)
     out[6] = quoted / len(at)
-    out[7] = np.log1p(len(kinds))
+    out[7] = np.log1p(sum(share.values()))
     return out
 
 
@@ -217,23 +225,24 @@ def lexicon(rows: DataFrame, most: int = TERMS) -> tuple[dict[str, float], set[s
     least = max(SUPPORT, SHARE * whole["yes"])
     best = sums.filter("term <> ''").withColumn("odds", odds).filter((F.col("yes") >= least) & (F.col("odds") >= ODDS)).orderBy(F.desc("yes"), "term").limit(most)
     found = {r["term"]: (r["yes"], float(r["odds"])) for r in best.collect()}
-    # a beginning goes where a longer term holds nearly as many toxic documents, a longer term where its beginning stays
+    # a beginning goes where a longer term holds nearly as many toxic documents, a longer beginning where a shorter one stays;
+    # whole words stay beside their beginnings, since only they match with edits
     longer = Counter()
     for t, (yes, _) in found.items():
         for k in STEMS:
             if len(t.rstrip("*")) > k or (t[-1] != "*" and len(t) >= k):
                 longer[t[:k] + "*"] = max(longer[t[:k] + "*"], yes)
     stems = {t for t, (yes, _) in found.items() if t[-1] == "*" and longer[t] < 0.9 * yes}
-    terms = {t: o for t, (_, o) in found.items() if (t[-1] != "*" or t in stems) and not any(t[:k] + "*" in stems and t != t[:k] + "*" for k in STEMS)}
+    terms = {t: o for t, (_, o) in found.items() if t[-1] != "*" or (t in stems and not any(t[:k] + "*" in stems and t != t[:k] + "*" for k in STEMS))}
 
     def near(batches):
         finder = Automaton(terms)
         for b in batches:
-            own = [w for w in b.column(0).to_pylist() if (m := finder.match(w)) and m[1]]
-            yield pa.RecordBatch.from_arrays([pa.array(own, pa.string())], names=["term"])
+            own = [bool((m := finder.match(w)) and m[1]) for w in b.column(0).to_pylist()]
+            yield b.filter(pa.array(own, pa.bool_()))
 
-    plain = sums.filter((F.col("no") >= 2) & (F.col("no") >= F.col("yes")) & (F.right("term", F.lit(1)) != "*")).select("term")
-    return terms, {r["term"] for r in plain.mapInArrow(near, "term string").limit(PLAIN).collect()}
+    plain = sums.filter((F.col("no") >= 2) & (F.col("no") >= F.col("yes")) & (F.right("term", F.lit(1)) != "*")).select("term", "no")
+    return terms, {r["term"] for r in plain.mapInArrow(near, "term string, no long").orderBy(F.desc("no"), "term").limit(PLAIN).collect()}
 
 
 class Model:
@@ -266,7 +275,8 @@ def train(docs: DataFrame, labels: DataFrame, docs_most: int = DOCS) -> Model:
             x = [numbers(t, finder).tobytes() for t in b.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), pa.array(x, pa.binary())], names=["doc_id", "label", "x"])
 
-    got = sorted((r["doc_id"], r["label"], bytes(r["x"])) for r in rows.mapInArrow(encode, "doc_id long, label int, x binary").limit(2 * docs_most).collect())
+    once = rows.mapInArrow(encode, "doc_id long, label int, x binary").groupBy("doc_id").agg(F.min(F.struct("label", "x")).alias("own")).select("doc_id", "own.*")  # one row of each id, the same on every run
+    got = sorted((r["doc_id"], r["label"], bytes(r["x"])) for r in once.collect())
     x = np.stack([np.frombuffer(x, np.float64) for *_, x in got])
     return Model(terms, plain, fit(x, np.array([y for _, y, _ in got], float)))
 
