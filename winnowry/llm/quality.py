@@ -169,21 +169,30 @@ def train(docs: DataFrame, labels: DataFrame, docs_most: int = DOCS, bag_most: i
 
     chosen = stored(sample(labels, "quality", MOD, REST, docs_most), "quality-sample")
     rows = texts(docs, chosen).select("doc_id", "text", "label").mapInArrow(encode, "doc_id long, label int, x binary")
-    got = sorted((r["doc_id"], r["label"], bytes(r["x"])) for r in rows.limit(2 * docs_most).collect())
+    once = rows.groupBy("doc_id").agg(F.min(F.struct("label", "x")).alias("own")).select("doc_id", "own.*")  # one row of each id, the same on every run
+    got = sorted((r["doc_id"], r["label"], bytes(r["x"])) for r in once.collect())
     return Model(WIDTH).fit([np.frombuffer(x, np.float32).reshape(-1, WIDTH) for *_, x in got], np.array([y for _, y, _ in got], float))
 
 
+def extra(docs: DataFrame) -> str:
+    """A column name that docs lacks."""
+    name = "quality_"
+    while name in {c.lower() for c in docs.columns}:
+        name += "_"
+    return name
+
+
 def scored(docs: DataFrame, model: Model) -> DataFrame:
-    """docs with a column _quality."""
-    model = docs.sparkSession.sparkContext.broadcast(model)
+    """docs with one more column, named by extra(docs)."""
+    model, added = docs.sparkSession.sparkContext.broadcast(model), extra(docs)
     names = docs.columns
     where = names.index("text")
-    schema = T.StructType([*docs.schema.fields, T.StructField("_quality", T.DoubleType())])
+    schema = T.StructType([*docs.schema.fields, T.StructField(added, T.DoubleType())])
 
     def score(batches):
         for b in batches:
             out = model.value.score(*text_parts(b.column(where)))
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(out)], names=[*names, "_quality"])
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(out)], names=[*names, added])
 
     return docs.mapInArrow(score, schema)
 
@@ -192,12 +201,12 @@ def report(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """doc_id, held_out, score, predicted of all documents."""
     own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     out = scored(own, train(docs, labels))
-    return out.select("doc_id", held_out(MOD, REST).alias("held_out"), F.col("_quality").alias("score"), (F.col("_quality") >= LIMIT).cast("int").alias("predicted"))
+    return out.select("doc_id", held_out(MOD, REST).alias("held_out"), F.col("quality_").alias("score"), (F.col("quality_") >= LIMIT).cast("int").alias("predicted"))
 
 
 def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """docs that the classifier accepts."""
-    return scored(docs, train(docs, labels)).filter(F.col("_quality") >= LIMIT).drop("_quality")
+    return scored(docs, train(docs, labels)).filter(F.col(extra(docs)) >= LIMIT).select(*docs.columns)
 
 
 def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
