@@ -97,7 +97,7 @@ def blocks(page: str) -> list[tuple[str, tuple[int, ...], int]]:
         attributes = m.group(3) if m.group(2) else m.group(6)
         if name in RAW and not ends and not attributes.rstrip().endswith("/"):
             skip = re.compile(f"</{name}\\s*>", re.I).search(page, at)
-            at = skip.end() if skip else len(page)
+            at = skip.end() if skip else len(page) if name in ("script", "style", "textarea") else at
             continue
         if name == "br":
             text.append(" ")
@@ -120,8 +120,7 @@ def blocks(page: str) -> list[tuple[str, tuple[int, ...], int]]:
                 stack.pop()
         if name == "a":
             links += 1
-        if len(stack) < 200:
-            stack.append((name, marks(name, attributes)))
+        stack.append((name, marks(name, attributes)))
     if at < len(page):
         text.append(page[at:])
     flush()
@@ -143,7 +142,7 @@ def vectors(found: list[tuple[str, tuple[int, ...], int]]) -> np.ndarray:
     for k, (t, path, linked) in enumerate(found):
         x[k, list(path)] = 1
         m = len(t)
-        x[k, PATH + HASHED :] = (np.log1p(m) / 5, np.log1p(words[k]) / 3, linked / m, min(1, len(ENDS.findall(t)) * 20 / m), min(1, t.count(",") * 20 / m), k / n, (n - k) / n, 1, sum(c.isupper() for c in t[:400]) / min(m, 400), "©" in t)
+        x[k, PATH + HASHED :] = (np.log1p(m) / 5, np.log1p(words[k]) / 3, linked / m, min(1, len(ENDS.findall(t)) * 20 / m), min(1, t.count(",") * 20 / m), k / n, (n - k) / n, 1, sum(c.isupper() for c in t) / m, "©" in t)
     return x
 
 
