@@ -12,7 +12,7 @@ Rows are numbered more than once, so the input must be a table as read, stored o
 
 Rows: a null payload is empty; a null url is an empty target; rows with a null id are responses that none refer to; of rows with
 one id and equal payloads the first met is the response, the others revisit it; further columns are ignored; an empty
-table gives an empty archive. Memory: one archive file of at most RECORDS records at a time.
+table gives an empty archive. Memory: one archive file of FILE bytes and RECORDS records, or one longer page, at a time.
 """
 
 from __future__ import annotations
@@ -27,8 +27,8 @@ from pyspark.sql import functions as F
 
 from .common import fresh_path, stored, table
 
-#: Records of an archive file; a reader holds one file at a time.
-RECORDS = 2000
+#: Bytes and records of an archive file at most; a reader holds one file at a time. Payloads of up to LIMITS bytes share files, longer ones have their own.
+FILE, RECORDS, LIMITS = 128 << 20, 2000, (64 << 10, 1 << 20, 16 << 20)
 DATE = "2024-01-01T00:00:00Z"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
@@ -76,7 +76,13 @@ def write_archives(pages: DataFrame, path: str, least: int = 0) -> None:
     )
     body = F.when(again, F.lit(b"").cast("binary")).otherwise(F.col("payload"))
     record = F.concat(header.cast("binary"), body).cast("string")  # the cast keeps the bytes as they are
-    rows.select(record.alias("value")).write.option("lineSep", "\r\n\r\n").option("maxRecordsPerFile", RECORDS).text(path)
+    size = F.when(again, 0).otherwise(F.col("bytes"))
+    kind = sum(((size > x).cast("int") for x in LIMITS), F.lit(0))
+    lines = rows.select(record.alias("value"), kind.alias("kind"))
+    kinds = own.select(sum(((F.col("bytes") > x).cast("int") for x in LIMITS), F.lit(0)).alias("kind")).distinct()
+    for k in sorted({0, *(r["kind"] for r in kinds.collect())}):  # few
+        most = max(1, min(RECORDS, FILE // (LIMITS[k] if k < len(LIMITS) else FILE)))
+        lines.filter(F.col("kind") == k).select("value").write.mode("append").option("lineSep", "\r\n\r\n").option("maxRecordsPerFile", most).text(path)
 
 
 FIELD = re.compile(rb"([!-9;-~]+):[ \t]*(.*?)\r\n")
