@@ -184,7 +184,7 @@ def joined(rows):
     return [(i, len(s[k]), least.get(top[k])) for k, (i, _) in enumerate(rows)]
 
 
-@pytest.mark.parametrize("few,many,hot,chunk,turns", [(56, 88, 4, 1 << 21, 10), (8, 13, 2, 500, 1), (8, 1 << 20, 100, 2000, 2), (0, 0, 1, 1, 2)])
+@pytest.mark.parametrize("few,many,hot,chunk,turns", [(1024, 16384, 4, 1 << 21, 10), (2, 3, 2, 500, 1), (2, 1 << 20, 100, 2000, 2), (0, 0, 1, 1, 2)])
 def test_jaccard(docs, empty, monkeypatch, few, many, hot, chunk, turns):
     for name, value in (("FEW", few), ("MANY", many), ("HOT", hot), ("CHUNK", chunk), ("TURNS", turns), ("PIVOTS", 2), ("BEST", 1), ("LEFT", 0)):
         monkeypatch.setattr(jaccard, name, value)
@@ -195,13 +195,13 @@ def test_jaccard(docs, empty, monkeypatch, few, many, hot, chunk, turns):
     assert kept.count() == len(set(roots(ROWS)[1]))  # repeated ids don't make two components one
 
 
-@pytest.mark.parametrize("few,many", [(56, 88), (8, 16), (0, 16), (0, 0)])
+@pytest.mark.parametrize("few,many", [(1024, 2048), (3, 4), (0, 4), (0, 0)])
 def test_jaccard_signatures(few, many, monkeypatch):
     """Any two sets that link share an index key, at all sizes, in all mixes of rare and frequent shingles."""
     monkeypatch.setattr(jaccard, "FEW", few)
     monkeypatch.setattr(jaccard, "MANY", many)
     g = np.random.default_rng(few + many)
-    level = g.choice([0, 8, 12, 20, 60, 90], 4000)
+    level = g.choice([1, 2, 3, 4, 5000], 4000)
     key = g.permutation(4000) * 7919 + 11
     linked = 0
     for trial in range(600):
@@ -216,16 +216,18 @@ def test_jaccard_signatures(few, many, monkeypatch):
         linked += 1
         got = []
         for x, p in ((a, b), (b, a)):
-            own = x[(level[x] > 0) | np.isin(x, p)]  # shared shingles are never alone
-            lev, k = np.maximum(level[own], 8), key[own]
+            own = x[(level[x] > 1) | np.isin(x, p)]  # shared shingles are never alone
+            lev, k = np.maximum(level[own], 2), key[own]
             by = np.lexsort((k, lev))
             lev, k, size, offs = lev[by], k[by], np.array([len(x)]), np.array([0, len(own)])
-            sigs = set(jaccard.tiny(k, offs, size)[0].tolist())
+            sigs = dict.fromkeys(jaccard.tiny(k, offs, size)[0].tolist(), 0)
             for groups in {int(jaccard.groups_of(size)[0]), int(jaccard.groups_of(size * 4 // 3)[0])}:
                 if len(x) >= 5:
-                    sigs |= set(jaccard.signatures(k, lev, offs, size, np.array([groups]))[0].tolist())
+                    found = jaccard.signatures(k, lev, offs, size, np.array([groups]))
+                    sigs |= dict(zip(found[0].tolist(), found[2].tolist(), strict=True))
             got.append(sigs)
-        assert a.size == b.size == n and lost == 0 or got[0] & got[1], (n, lost, more)
+        least = -(-3 * (len(a) + len(b)) // 7)
+        assert more == lost == 0 or any(min(len(a) - got[0][x], len(b) - got[1][x]) >= least for x in got[0].keys() & got[1].keys()), (n, lost, more)
     assert linked > 100
 
 
@@ -493,3 +495,62 @@ def test_pipeline(spark, sf):
     out = corpus_pipeline.run(spark, sf).collect()
     ids = encoded()
     assert sum(r.length for r in out) == sum(len(ids(r.text)) + 1 for r in own.select("text").collect())
+
+
+@pytest.mark.parametrize("name", ["op5_warc", "op6_top_k", "op7_decontaminate", "op9_jaccard_join"])
+def test_equals_sql(spark, sf, name):
+    import duckdb
+
+    from winnowry.llm.registry import ORACLE_SQL, QUERIES
+
+    c = duckdb.connect()
+    for t in ("documents", "pages", "embeddings", "benchmark"):
+        c.execute(f"CREATE VIEW {t} AS SELECT * FROM '{sf}/{t}.parquet'")
+    want = c.execute(ORACLE_SQL[name])
+    names = [d[0] for d in want.description]
+    found = QUERIES[name](spark, sf)
+    assert sorted(found.columns) == sorted(names)
+    same(found.select(*names).collect(), want.fetchall())
+
+
+def test_top_k_takes_doubles(spark):
+    """floor(1024 * x) of x as double: a float would round it up."""
+    x = (307 - 1e-7) / 1024
+    rows = spark.createDataFrame([(0, [x] * 4), (1, [1.0] * 4), (2, [1e-3] * 4)], "vec_id long, embedding array<double>")
+    found = topk.top_k(rows, rows.filter("vec_id = 0")).collect()
+    assert [tuple(r) for r in found] == [(0, 1, 1, 4 * 306 * 1024), (0, 2, 2, 4 * 306 * 1)]
+
+
+def test_tokens_of_a_long_text_without_spaces(monkeypatch):
+    from winnowry.llm import tokens
+    from winnowry.llm.common import text_parts
+    import pyarrow as pa
+
+    monkeypatch.setattr(tokens, "CACHE", 2000)
+    text = ",".join(str(k) for k in range(40_000)) + "ab" * 3000
+    e = tokens.Encoder(packing.vocabulary_path())
+    ids, offs = e.encode(*text_parts(pa.array([text])))
+    assert ids.tolist() == encoded()(text) and offs.tolist() == [0, len(ids)]
+
+
+def test_long_quotation_counts():
+    finder = toxicity.Automaton({"vileword": 4.0})
+    told = toxicity.numbers('he said "' + "and so on " * 150 + "vileword " + "and so on " * 150 + '" then', finder)
+    bare = toxicity.numbers("he said " + "and so on " * 150 + "vileword " + "and so on " * 150 + " then", finder)
+    assert told[6] == 1 and bare[6] == 0 and told[4] < bare[4] and told[7] < bare[7]
+
+
+def test_deep_pages_and_unclosed_elements():
+    deep = "<div>" * 260 + "<p>inner text</p>" + "</div>" * 260
+    assert [t for t, *_ in html_blocks.blocks(deep)] == ["inner text"]
+    assert [t for t, *_ in html_blocks.blocks("<p>one</p><svg><p>two</p>")] == ["one", "two"]
+
+
+def test_archives_of_long_pages(spark, monkeypatch):
+    monkeypatch.setattr(warc, "LIMITS", (10, 100, 1000))
+    monkeypatch.setattr(warc, "FILE", 200)
+    pages = spark.createDataFrame([(i, f"u{i}", "x" * (i * 37 % 1500) + str(i % 7)) for i in range(60)], "page_id long, url string, html string").cache()
+    path = fresh_path(spark, "warc-long")
+    warc.write_archives(pages, path)
+    sizes = [len(r[0]) for r in spark.read.format("binaryFile").load(path).select("content").collect()]
+    assert max(sizes) < 4000 and sum(1 for r in warc.resolved(spark, path).collect()) == 60
