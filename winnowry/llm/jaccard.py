@@ -31,7 +31,7 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import chunks, cut, ranges, stored, table, text_parts
@@ -398,10 +398,10 @@ def class_rows(docs: DataFrame, words: int = WORDS) -> DataFrame:
     return stored(gathered(counted(dealt(docs, bits, words))), "shingle-sets")
 
 
-def may(x: str, y: str):
+def may(x: Column, y: Column) -> Column:
     """Whether sets of such sizes, shared shingles at most, and places may link; they share 3 * (n + m) / 7 shingles then."""
-    n, m = F.col(f"{x}.n"), F.col(f"{y}.n")
-    least = F.least(F.col(f"{x}.rep"), F.col(f"{y}.rep"), n - F.col(f"{x}.place"), m - F.col(f"{y}.place"))
+    n, m = x["n"], y["n"]
+    least = F.least(x["rep"], y["rep"], n - x["place"], m - y["place"])
     return (4 * F.least(n, m) >= 3 * F.greatest(n, m)) & (7 * least >= 3 * (n + m))
 
 
@@ -451,12 +451,15 @@ def links(sets: DataFrame) -> DataFrame:
     most = F.least("x.rep", F.col("x.n") - F.col("x.place"))
     left = stored(rows.join(several, "sig").filter(7 * most >= 3 * (F.col("x.n") + F.greatest("least", F.ceil(3 * F.col("x.n") / 4)))).select("sig", "x"), "index")
     found = spark.createDataFrame([], "a long, b long")
+    other = lambda p: (p["comp"] != F.col("x")["comp"]) & may(F.col("x"), p)
     for turn in range(TURNS):
         # each class with a few of those that it meets most often among the ones that stand for its buckets: every other with least of its own
         order = [F.struct(F.col("x.place") * F.lit(1 - k % 2), F.xxhash64("x.sid", F.lit(PIVOTS * turn + k))) for k in range(PIVOTS if turn else 1)]
         some = F.array_distinct(F.array(*(F.min_by("x", o) for o in order)))
         pivots = left.groupBy("sig").agg(some.alias("pivots"))
-        met = left.join(pivots, "sig").select("x", F.explode("pivots").alias("y")).filter((F.col("x.comp") != F.col("y.comp")) & may("x", "y"))
+        # one of them in each bucket, so that rows stay as many as the index has
+        fit = left.join(pivots, "sig").select("sig", "x", F.filter("pivots", other).alias("fit")).filter(F.size("fit") > 0)
+        met = fit.select("x", F.get("fit", F.pmod(F.xxhash64("sig", "x.sid"), F.size("fit")).cast("int")).alias("y"))
         met = met.groupBy(F.col("y.sid").alias("a"), F.col("x.sid").alias("b")).agg(F.count("*").alias("shared"), F.first("y.comp").alias("ca"), F.first("x.comp").alias("cb"))
         best = met.groupBy("b", F.pmod(F.xxhash64("a"), F.lit(BEST if turn else 1)).alias("slot")).agg(F.max(F.struct("shared", "a", "ca", "cb")).alias("top"))
         pairs = stored(best.select("top.a", "b", "top.ca", "top.cb").dropDuplicates(["a", "b"]), "pairs")
@@ -470,7 +473,7 @@ def links(sets: DataFrame) -> DataFrame:
         rows_left, pairs_left = mixed.agg(F.sum("n"), F.sum((F.col("n") * F.col("n") - F.col("squares")) / 2)).first()
         if not rows_left or pairs_left <= LEFT * rows_left or not new.limit(1).count():
             break
-    both = left.alias("l").join(left.alias("r"), (F.col("l.sig") == F.col("r.sig")) & (F.col("l.x.comp") < F.col("r.x.comp")) & may("l.x", "r.x"))
+    both = left.alias("l").join(left.alias("r"), (F.col("l.sig") == F.col("r.sig")) & (F.col("l.x.comp") < F.col("r.x.comp")) & may(F.col("l.x"), F.col("r.x")))
     pairs = stored(both.select(F.col("l.x.sid").alias("a"), F.col("r.x.sid").alias("b")).distinct(), "rest")
     return stored(found.unionByName(compare(pairs, held)), "all-links")
 
