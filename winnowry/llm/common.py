@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import os
 import tempfile
 import uuid
@@ -15,6 +16,20 @@ from pyspark.sql import DataFrame, SparkSession
 CHUNK = 1 << 21
 
 
+def lean() -> None:
+    """Has large arrays and Arrow buffers go back to the system when they are freed: a worker is kept for later tasks, and would keep its peak."""
+    try:
+        libc = ctypes.CDLL("libc.so.6")
+        libc.mallopt(-3, 1 << 20)  # M_MMAP_THRESHOLD
+        libc.mallopt(-1, 1 << 20)  # M_TRIM_THRESHOLD
+    except (OSError, AttributeError):  # another C library
+        return
+    pa.set_memory_pool(pa.system_memory_pool())
+
+
+lean()
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder of spark.checkpoint.dir; a local one of our own only where that setting is absent."""
     sc = spark.sparkContext

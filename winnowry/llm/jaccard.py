@@ -40,7 +40,7 @@ from .words import LOWER, VISIBLE, hashes, spans
 
 WORDS = 5
 #: Shingles and documents of a chunk, sets of a chunk from which a shingle is sent once, bytes of text for each part of the counts.
-CHUNK, DOCS, HOT, PART = 1 << 21, 60_000, 4, 8 << 20
+CHUNK, DOCS, HOT, PART = 1 << 20, 60_000, 4, 8 << 20
 #: Shingles in FEW sets are indexed in pairs, those in MANY in triples; beyond MOST, sets aren't told apart by how many hold a shingle.
 FEW, MANY, MOST = 1024, 16384, 65535
 #: Sets of 2**k * BAND shingles have 2**k groups of combinations.
