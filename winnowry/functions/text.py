@@ -28,7 +28,9 @@ def is_readable(text: Column, most: int = 5) -> Column:
 
 def clean(text: Column) -> Column:
     """Text without boilerplate lines, phone numbers, e-mail addresses and QQ numbers; classes are Unicode-aware."""
-    return F.regexp_replace(text, "(?U)" + CLEAN_PATTERN, "")
+    # without an @ no address matches: its branch, which reads each word anew from every place, is left out
+    plain = "|".join(x for x in CLEAN_PATTERN.split("|") if "@" not in x)
+    return F.when(F.contains(text, F.lit("@")), F.regexp_replace(text, "(?U)" + CLEAN_PATTERN, "")).otherwise(F.regexp_replace(text, "(?U)" + plain, ""))
 
 
 def split_spans(text: Column) -> Column:

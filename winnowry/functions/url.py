@@ -40,7 +40,10 @@ def segment_of(link: Column) -> Column:
 
 
 def flat_name(link: Column) -> Column:
-    return F.replace(link, F.lit("/"), F.lit("-"))
+    """What stands between "crawl-data/" and the sign before "warc" (the last two characters where that is missing), with - for /."""
+    end = F.when(F.instr(link, "warc") > 0, F.instr(link, "warc") - 2).otherwise(F.length(link) - 2)
+    begin = F.instr(link, "crawl-data/") + 10
+    return F.replace(F.substr(link, begin + 1, F.greatest(F.lit(0), end - begin)), F.lit("/"), F.lit("-"))
 
 
 def basename(link: Column) -> Column:

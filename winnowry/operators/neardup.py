@@ -10,8 +10,8 @@ from .graph import components
 
 
 def first_of_hash(hashes: DataFrame) -> DataFrame:
-    """hi, lo, doc_id: the smallest doc_id of each hash, and how many have it."""
-    return hashes.groupBy("hi", "lo").agg(F.min("doc_id").alias("doc_id"), F.count("*").alias("copies"))
+    """hi, lo, doc_id: the smallest doc_id of each hash, and how many have it; rows without a hash are left out."""
+    return hashes.filter("hi is not null").groupBy("hi", "lo").agg(F.min("doc_id").alias("doc_id"), F.count("*").alias("copies"))
 
 
 def pairs(hashes: DataFrame, most: int = 2) -> DataFrame:
@@ -31,11 +31,12 @@ def pairs(hashes: DataFrame, most: int = 2) -> DataFrame:
 
 
 def keep(hashes: DataFrame, most: int = 2) -> DataFrame:
-    """doc_id, component, kept: components of pairs and repeats; the smallest doc_id of each is kept."""
+    """doc_id, component, kept: components of pairs and repeats; the smallest doc_id of each is kept, and so are rows without a hash."""
     firsts = first_of_hash(hashes)
     linked = components(pairs(hashes, most))
     named = firsts.join(linked.withColumnRenamed("id", "doc_id"), "doc_id", "left").select("hi", "lo", F.coalesce("component", "doc_id").alias("component"))
-    return hashes.join(named, ["hi", "lo"]).select("doc_id", "component", (F.col("doc_id") == F.col("component")).alias("kept"))
+    own = hashes.join(named, ["hi", "lo"], "left").withColumn("component", F.coalesce("component", "doc_id"))
+    return own.select("doc_id", "component", F.coalesce(F.col("doc_id") == F.col("component"), F.lit(True)).alias("kept"))
 
 
 def neighbours(hashes: DataFrame, near: int = 3) -> DataFrame:
@@ -45,7 +46,7 @@ def neighbours(hashes: DataFrame, near: int = 3) -> DataFrame:
     """
     from ..plans.session import stored
 
-    ranged = stored(hashes.repartitionByRange("hi", "lo", "doc_id").withColumn("part", F.spark_partition_id()), "neighbours")
+    ranged = stored(hashes.filter("hi is not null").repartitionByRange("hi", "lo", "doc_id").withColumn("part", F.spark_partition_id()), "neighbours")
     order = Window.partitionBy("part").orderBy("hi", "lo", "doc_id")
     ends = ranged.groupBy("part").agg(F.max(F.struct("hi", "lo", "doc_id")).alias("end"))  # a row for each partition
     before = ends.select("part", F.lag("end").over(Window.orderBy("part")).alias("end"))
@@ -56,3 +57,9 @@ def neighbours(hashes: DataFrame, near: int = 3) -> DataFrame:
 
 def drop_rows(rows: DataFrame, bad: DataFrame, keys: list[str]) -> DataFrame:
     return rows.join(bad.select(*keys), keys, "left_anti")
+
+
+def bad_rows(near: DataFrame, rows_per_file: int) -> DataFrame:
+    """file, row_no, ascending in each file, of rows (doc_id, near) that repeat the one before; files hold rows_per_file ids each."""
+    own = near.filter("near").select(F.floor(F.col("doc_id") / rows_per_file).cast("long").alias("file"), F.pmod("doc_id", F.lit(rows_per_file)).cast("long").alias("row_no"))
+    return own.repartition("file").sortWithinPartitions("file", "row_no")

@@ -27,6 +27,7 @@ class Config:
     least_support: int = 3
     least_bytes: int = 200
     least_paralen: int = 10
+    gate: float = 0.6
     final_gate: float = 0.4
     block: int = 50
     block_zh: int = 30
@@ -59,13 +60,31 @@ def paragraph_patterns(docs: DataFrame, cfg: Config = Config()) -> DataFrame:
     return support.filter(F.col("support") >= cfg.least_support).join(sizes, keys).filter(F.col("support") >= support_needed(F.col("group_docs"), cfg.least_support)).select(*keys, "para_md5", "support")
 
 
+def _numbered(docs: DataFrame) -> DataFrame:
+    """docs with a number of each row, `_row`; docs must be a table as read, stored or cached, as it is numbered more than once."""
+    return docs.withColumn("_row", F.monotonically_increasing_id())
+
+
+def _without(own: DataFrame, hits: DataFrame, columns: list[str]) -> DataFrame:
+    """Numbered rows without the paragraphs at places hits (_row, pos), and n_removed; texts are cut within their rows."""
+    drop = hits.groupBy("_row").agg(F.collect_set("pos").alias("_drop"))
+    found = own.join(drop, "_row", "left")
+    kept = F.filter(T.paragraphs(F.col("text")), lambda p, i: ~F.array_contains("_drop", i))
+    text = F.when(F.col("_drop").isNull(), F.col("text")).otherwise(F.array_join(kept, "\n"))
+    return found.select(*(text.alias(c) if c == "text" else F.col(c) for c in columns), F.coalesce(F.size("_drop"), F.lit(0)).cast("long").alias("n_removed"))
+
+
 def dedup_paragraphs(docs: DataFrame, cfg: Config = Config()) -> DataFrame:
-    """docs with the shared paragraphs taken out, and n_removed."""
+    """docs with the shared paragraphs taken out, and n_removed.
+
+    Each row is a document, repeated ids too; null texts stay null; rows with a null key stay as they are; further columns are kept.
+    """
     keys = list(cfg.keys)
-    rows = docs.select(*keys, "doc_id", F.posexplode(T.paragraphs(F.col("text"))).alias("pos", "para"))
-    found = rows.withColumn("para_md5", F.md5(F.col("para").cast("binary"))).join(paragraph_patterns(docs, cfg).select(*keys, "para_md5", F.lit(True).alias("drop")), [*keys, "para_md5"], "left")
-    own = found.groupBy(*keys, "doc_id").agg(F.array_sort(F.collect_list(F.when(F.col("drop").isNull(), F.struct("pos", "para")))).alias("kept"), F.count("drop").alias("n_removed"))
-    return own.select(*keys, "doc_id", F.array_join(F.transform("kept", lambda k: k["para"]), "\n").alias("text"), "n_removed")
+    own = _numbered(docs)
+    patterns = paragraph_patterns(own.withColumn("doc_id", F.col("_row")), cfg).select(*keys, "para_md5")
+    paras = own.select(*keys, "_row", F.posexplode(T.paragraphs(F.col("text"))).alias("pos", "para")).filter(F.octet_length("para") > 2)
+    hits = paras.select(*keys, "_row", "pos", F.md5(F.col("para").cast("binary")).alias("para_md5")).join(patterns, [*keys, "para_md5"]).select("_row", "pos")
+    return _without(own, hits, docs.columns)
 
 
 def _folded(x: np.ndarray, n: int, join: Callable) -> np.ndarray:
@@ -160,13 +179,13 @@ def block_patterns(docs: DataFrame, cfg: Config = Config()) -> DataFrame:
 
 
 def dedup_blocks(docs: DataFrame, cfg: Config = Config()) -> DataFrame:
-    """docs without the paragraphs that hold a shared block, and n_removed."""
+    """docs without the paragraphs that hold a shared block, and n_removed; rows as in dedup_paragraphs."""
     keys = list(cfg.keys)
-    rows = docs.select(*keys, "doc_id", F.posexplode(T.paragraphs(F.col("text"))).alias("pos", "para"))
-    blocks = _candidates(docs, cfg)
-    hit = blocks.join(_shared(blocks, docs, cfg).select(*keys, "hash"), [*keys, "hash"], "left_semi").select(*keys, "doc_id", "pos").distinct().withColumn("drop", F.lit(True))
-    own = rows.join(hit, [*keys, "doc_id", "pos"], "left").groupBy(*keys, "doc_id").agg(F.array_sort(F.collect_list(F.when(F.col("drop").isNull(), F.struct("pos", "para")))).alias("kept"), F.count("drop").alias("n_removed"))
-    return own.select(*keys, "doc_id", F.array_join(F.transform("kept", lambda k: k["para"]), "\n").alias("text"), "n_removed")
+    own = _numbered(docs)
+    plain = own.withColumn("doc_id", F.col("_row"))
+    blocks = _candidates(plain, cfg)
+    hits = blocks.join(_shared(blocks, plain, cfg).select(*keys, "hash"), [*keys, "hash"], "left_semi").select(F.col("doc_id").alias("_row"), "pos").distinct()
+    return _without(own, hits, docs.columns)
 
 
 def flagged(docs: DataFrame, cfg: Config = Config()) -> DataFrame:
@@ -194,13 +213,61 @@ def stats(docs: DataFrame, cfg: Config = Config()) -> DataFrame:
 
 
 def refine(docs: DataFrame, cfg: Config = Config()) -> DataFrame:
-    """Documents that pass the four screens of flagged(), of groups of which enough is left; no bad-word gate or dedup."""
-    f = flagged(docs, cfg)
-    kept = f.filter("not span_repeat and not short_text and not short_lines and not short_paras")
-    clean = stats(docs, cfg).filter("not dirty").select(*cfg.keys)
+    """Documents that pass the four screens of flagged(), of groups of which enough is left; no bad-word gate or dedup (see rounds)."""
+    from ..plans.session import stored
+
+    f = stored(flagged(docs, cfg), "flagged")  # the screens run once
+    left = ~F.col("span_repeat") & ~F.col("short_text") & ~F.col("short_lines") & ~F.col("short_paras")
+    kept = f.filter(left)
+    clean = f.groupBy(*cfg.keys).agg(F.count("*").alias("orig_len"), F.count_if(left).alias("len")).filter(F.col("len") >= cfg.final_gate * F.col("orig_len")).select(*cfg.keys)
     return kept.join(clean, list(cfg.keys), "left_semi").select(*docs.columns, "paralen")
 
 
+def rounds(docs: DataFrame, hits: Column, cfg: Config = Config(), most: int = 2, sens_gate: float = 0.1) -> dict[str, DataFrame]:
+    """The whole refinement, step by step: what is left of docs after each of the steps, by name, the last one "kept".
+
+    hits: how many bad words a row has. Repeated spans go; then rows of more than `most` bad words, and groups of which they are more than sens_gate;
+    then short texts. Groups of which less than cfg.gate is left go before shared paragraphs and before shared blocks are taken
+    out, with short texts after each. At last short lines and short paragraphs go, and groups of which less than cfg.final_gate is left.
+    """
+    from ..plans.session import stored
+
+    keys, t = list(cfg.keys), F.col("text")
+    full = T.textlen_bytes(t) >= T.least_textlen(F.col("language"))
+    totals = docs.groupBy(*keys).agg(F.count("*").alias("_all"))
+
+    def gated(rows: DataFrame, share: float) -> DataFrame:
+        groups = rows.groupBy(*keys).agg(F.count("*").alias("_n")).join(totals, keys).filter(F.col("_n") >= share * F.col("_all")).select(*keys)
+        return rows.join(groups, keys, "left_semi")
+
+    own = docs.select("*", hits.alias("n_hits"), T.textlen_bytes(t).alias("orig_textlen"))
+    span = stored(own.filter(~T.has_repeated_spans(t)), "round-span")
+    clean = span.groupBy(*keys).agg((F.count_if(F.col("n_hits") > most) / F.count("*")).alias("_share")).filter(F.col("_share") <= sens_gate).select(*keys)
+    sens = span.filter(F.col("n_hits") <= most).join(clean, keys, "left_semi")
+    text = sens.filter(full)
+    paras = stored(dedup_paragraphs(stored(gated(text, cfg.gate), "round-text"), cfg).withColumnRenamed("n_removed", "para_removed").filter(full), "round-paras")
+    blocks = stored(dedup_blocks(stored(gated(paras, cfg.gate), "round-gate"), cfg).withColumnRenamed("n_removed", "block_removed").filter(full), "round-blocks")
+    lines = blocks.filter(~T.has_short_lines(t))
+    ends = lines.filter(T.paralen(t) > cfg.least_paralen)
+    out = gated(ends, cfg.final_gate).select("*", T.paralen(t).alias("paralen"), T.textlen_bytes(t).alias("textlen"), (F.octet_length("text") / F.col("orig_textlen")).alias("text_ret_rate"))
+    return {"all": docs, "span": span, "sens": sens, "text": text, "paras": paras, "blocks": blocks, "lines": lines, "paralen": ends, "kept": out}
+
+
+def round_stats(steps: dict[str, DataFrame], cfg: Config = Config()) -> DataFrame:
+    """For each group: rows left after each step (n_<step>), paragraphs and blocks taken out, and means over the rows kept."""
+    keys = list(cfg.keys)
+    out = steps["all"].groupBy(*keys).agg(F.count("*").alias("orig_len"))
+    for name, rows in steps.items():
+        if name not in ("all", "kept"):
+            out = out.join(rows.groupBy(*keys).agg(F.count("*").alias(f"n_{name}")), keys, "left")
+    kept = steps["kept"].groupBy(*keys).agg(
+        F.count("*").alias("len"), F.sum("para_removed").alias("num_dedup_para"), F.sum("block_removed").alias("num_dedup_block"),
+        F.round(F.avg("paralen"), 6).alias("avg_paralen"), F.round(F.avg("text_ret_rate"), 6).alias("avg_text_ret_rate"),
+    )
+    counts = ["len", "num_dedup_para", "num_dedup_block", *(f"n_{k}" for k in steps if k not in ("all", "kept"))]
+    return out.join(kept, keys, "left").na.fill(0, counts)
+
+
 def is_dirty(stats_row: dict[str, Column] | None = None) -> Column:
     """The inspection rule over statistics: few documents, low quality, short paragraphs, or little left."""
     return (F.col("len") < 0.1) | (F.col("avg_quality") < 0) | (F.col("avg_paralen") < 20) | (F.col("len") / F.col("orig_len") < 0.3)

@@ -5,14 +5,17 @@ documents stand in for extracted rows: domain = source, language = lang.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import lexicon, scores, url
 from ..functions import text as T
 from ..functions.simhash import simhash as simhash_of
-from ..operators import graph, neardup, paths, refine, sampling  # noqa: F401
-from .session import stored, table
+from ..operators import graph, neardup, paths, predict, refine, sampling  # noqa: F401
+from ..sources import archives
+from .session import shared_folder, stored, table
 
 QUERIES = {}
 SQL: dict[str, str] = {}
@@ -126,7 +129,12 @@ def para_dedup(spark, sf):
     return refine.dedup_paragraphs(documents(spark, sf), BY_LANGUAGE).select("doc_id", md5("text").alias("text_md5"), "n_removed")
 
 
-@query()
+@query(f"""WITH paras AS (SELECT lang, doc_id, unnest({PARAS}) AS para, generate_subscripts({PARAS}, 1) AS pos FROM documents),
+sizes AS (SELECT lang, count(*) AS n FROM documents GROUP BY lang HAVING count(*) >= 7),
+grams AS (SELECT lang, doc_id, pos, substring(para, i, k) AS g FROM (SELECT *, unnest(range(1, length(para) - k + 2)) AS i FROM (SELECT *, CASE WHEN lang = 'zh' THEN 30 ELSE 50 END AS k FROM paras) WHERE length(para) >= k)),
+shared AS (SELECT lang, g FROM (SELECT lang, g, count(DISTINCT doc_id) AS support FROM grams GROUP BY 1, 2 HAVING count(DISTINCT doc_id) >= 3) JOIN sizes USING (lang) WHERE support >= greatest(3, ceil(n / sqrt(greatest(20, least(500, n // 5)))))),
+hit AS (SELECT DISTINCT doc_id, pos FROM grams JOIN shared USING (lang, g)), kept AS (SELECT p.*, h.doc_id IS NULL AS keep FROM paras p LEFT JOIN hit h ON p.doc_id = h.doc_id AND p.pos = h.pos)
+SELECT doc_id, md5(coalesce(string_agg(para, chr(10) ORDER BY pos) FILTER (keep), '')) AS text_md5, count(*) FILTER (NOT keep) AS n_removed FROM kept GROUP BY doc_id""")
 def block_dedup(spark, sf):
     return refine.dedup_blocks(documents(spark, sf), BY_LANGUAGE).select("doc_id", md5("text").alias("text_md5"), "n_removed")
 
@@ -331,7 +339,7 @@ def per_class_sample(spark, sf):
     return sampling.per_class(table(spark, sf, "documents").select("doc_id", "lang"), "lang", "doc_id", 25, 3)
 
 
-@query()
+@query("SELECT doc_id, lang, n_chars::DOUBLE AS weight FROM (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY ln((('0x' || substr(md5('1:' || doc_id::VARCHAR), 1, 8))::BIGINT + 1)::DOUBLE / 4294967297.0::DOUBLE) / n_chars::DOUBLE DESC, doc_id) AS n FROM documents WHERE n_chars > 0) WHERE n <= 20")
 def weighted_sample(spark, sf):
     own = table(spark, sf, "documents").select("doc_id", "lang", F.col("n_chars").cast("double").alias("weight"))
     return sampling.weighted(own, "weight", "doc_id", 20, 1, "lang")
@@ -395,12 +403,173 @@ def label_revision(spark, sf):
     return own.join(changes, "doc_id", "left").select("doc_id", F.coalesce("new", "quality").alias("quality"))
 
 
-@query("SELECT d.doc_id, d.lang, l.quality AS pseudo_label FROM documents d JOIN labels l USING (doc_id) WHERE d.doc_id % 2 = 0")
+@query("SELECT d.doc_id, d.lang, l.quality AS pseudo_label FROM documents d JOIN labels l USING (doc_id) ")
 def pseudo_label_join(spark, sf):
-    own = table(spark, sf, "documents").filter("doc_id % 2 = 0").select("doc_id", "lang")
+    own = table(spark, sf, "documents").select("doc_id", "lang")
     return own.join(table(spark, sf, "labels").select("doc_id", F.col("quality").alias("pseudo_label")), "doc_id")
 
 
 @query("SELECT doc_id, md5(array_to_string(string_split(text, ' ')[1:50], ' ')) AS words_md5, md5(substring(replace(text, ' ', ''), 1, 100)) AS chars_md5 FROM documents")
 def truncate_text(spark, sf):
     return documents(spark, sf).select("doc_id", md5(T.truncate_words(F.col("text"), 50)).alias("words_md5"), md5(T.truncate_chars(F.col("text"), 100)).alias("chars_md5"))
+
+
+def _draw(key: str) -> F.Column:
+    """A made-up score in 0 .. 1 from the id."""
+    return F.conv(F.substring(md5(F.concat(F.lit(key), F.col("doc_id").cast("string"))), 1, 4), 16, 10).cast("double") / 65536.0
+
+
+def _drawn(key: str) -> str:
+    return f"('0x' || substr(md5('{key}' || doc_id::VARCHAR), 1, 4))::INTEGER / 65536.0::DOUBLE"
+
+
+TARGETS = f"SELECT doc_id, lang_after_dedup = 'fr' OR (language = 'fr' AND lang_score > 0.6) AS target FROM (SELECT doc_id, lang AS language, CASE WHEN {_drawn('a')} < 0.2 THEN 'unknown' ELSE lang END AS lang_after_dedup, {_drawn('b')} AS lang_score, {_drawn('c')} AS score FROM documents) WHERE score > 0.6"
+
+
+@query(TARGETS)
+def predict_targets(spark, sf):
+    own = documents(spark, sf).select("doc_id", "language", F.when(_draw("a") < 0.2, "unknown").otherwise(F.col("language")).alias("lang_after_dedup"), _draw("b").alias("lang_score"), _draw("c").alias("dedup_after_lang_score"))
+    score, rest = predict.split(own, "fr")
+    return score.select("doc_id", F.lit(True).alias("target")).unionByName(rest.select("doc_id", F.lit(False).alias("target")))
+
+
+@query("SELECT ceil(max(n_chars / 510.0))::BIGINT AS most_windows FROM documents")
+def windows_needed(spark, sf):
+    return predict.windows_needed(table(spark, sf, "documents").select(F.col("n_chars").alias("n")), 512)
+
+
+@query(f"SELECT l.quality AS pseudo_label, count(*) AS n, round(avg({_drawn('p')}), 6) AS mean_confidence FROM labels l GROUP BY 1")
+def mean_confidence(spark, sf):
+    return table(spark, sf, "labels").groupBy(F.col("quality").alias("pseudo_label")).agg(F.count("*").alias("n"), F.round(F.avg(_draw("p")), 6).alias("mean_confidence"))
+
+
+@query(f"WITH {FIRSTS} SELECT h.doc_id // 100 AS file, h.doc_id % 100 AS row_no FROM h JOIN e ON h.hi = e.hi AND h.lo = e.lo WHERE h.doc_id <> e.doc_id")
+def bad_rows(spark, sf):
+    hashes = stored(simhash_of(table(spark, sf, "documents")), "simhash")
+    first = neardup.first_of_hash(hashes).select("hi", "lo", F.col("doc_id").alias("first"))
+    return neardup.bad_rows(hashes.join(first, ["hi", "lo"]).select("doc_id", (F.col("doc_id") != F.col("first")).alias("near")), 100)
+
+
+@query(f"WITH {FIRSTS} SELECT h.doc_id, h.hi, h.lo FROM h JOIN e ON h.hi = e.hi AND h.lo = e.lo AND h.doc_id = e.doc_id")
+def surviving_hashes(spark, sf):
+    """Hash files written, read, merged, and written without repeated rows."""
+    folder = f"{shared_folder(spark).rstrip('/')}/hashes-{uuid.uuid4().hex}"
+    archives.write_hashes(simhash_of(table(spark, sf, "documents")), folder)
+    own = archives.read_hashes(spark, folder)
+    bad = own.join(neardup.first_of_hash(own).select("hi", "lo", F.col("doc_id").alias("first")), ["hi", "lo"]).filter("doc_id <> first").select("doc_id")
+    archives.write_hashes(neardup.drop_rows(own, bad, ["doc_id"]).orderBy("hi", "lo"), f"{folder}-filtered")
+    return archives.read_hashes(spark, f"{folder}-filtered")
+
+
+@query(f"SELECT link FROM (SELECT page_id, {LINK} AS link FROM pages) WHERE page_id % 5 = 0")
+def links_found(spark, sf):
+    own = links(spark, sf)
+    return own.select("link").join(own.filter("page_id % 5 = 0").select("link"), "link", "left_semi")
+
+
+@query(f"SELECT DISTINCT substr(link, 12, 15) AS corpus FROM (SELECT {LINK} AS link FROM pages) WHERE substr(link, 12, 15) <> 'CC-MAIN-2019-11'")
+def corpora_left(spark, sf):
+    own = links(spark, sf).select(F.substring("link", 12, 15).alias("corpus")).distinct()
+    return paths.difference(own, own.filter("corpus = 'CC-MAIN-2019-11'"), "corpus")
+
+
+@query(f"SELECT page_id, replace(substr(link, 12, strpos(link, 'warc') - 13), '/', '-') AS name, replace(substr(short, 12, length(short) - 13), '/', '-') AS cut FROM (SELECT page_id, {LINK} AS link, 'crawl-data/' || page_id::VARCHAR || '/wet.paths.gz' AS short FROM pages)")
+def flat_names(spark, sf):
+    short = F.concat(F.lit("crawl-data/"), F.col("page_id").cast("string"), F.lit("/wet.paths.gz"))
+    return links(spark, sf).select("page_id", url.flat_name(F.col("link")).alias("name"), url.flat_name(short).alias("cut"))
+
+
+@query("SELECT file, place, doc_id FROM (SELECT doc_id, doc_id // 100 AS file, (row_number() OVER (PARTITION BY doc_id // 100 ORDER BY doc_id) - 1)::BIGINT AS place FROM documents) WHERE place % 7 = file % 7")
+def selected_rows(spark, sf):
+    """Rows at chosen places of each file."""
+    own = table(spark, sf, "documents").select("doc_id", F.floor(F.col("doc_id") / 100).cast("long").alias("file"))
+    from pyspark.sql import Window
+
+    placed = own.withColumn("place", (F.row_number().over(Window.partitionBy("file").orderBy("doc_id")) - 1).cast("long"))
+    chosen = placed.filter("place % 7 = file % 7").select("file", "place")
+    return placed.join(chosen, ["file", "place"], "left_semi").select("file", "place", "doc_id")
+
+
+@query("SELECT doc_id, md5(substring(text, 1, 512)) AS text_md5 FROM documents ORDER BY ('0x' || substr(md5('5:' || doc_id::VARCHAR), 1, 8))::BIGINT, doc_id LIMIT 20")
+def shuffled_view(spark, sf):
+    """Twenty rows in random order, cut for a reader."""
+    own = table(spark, sf, "documents").orderBy(sampling.draw(F.col("doc_id"), 5), "doc_id").limit(20)
+    return own.select("doc_id", md5(F.substring("text", 1, 512)).alias("text_md5"))
+
+
+@query("SELECT doc_id, md5(text) AS text_md5, CASE WHEN n_chars > 1000 THEN 'hq' ELSE 'lowq' END AS bucket FROM documents")
+def buckets_written(spark, sf):
+    """Scored rows written as JSON lines by bucket and read back."""
+    folder = f"{shared_folder(spark).rstrip('/')}/buckets-{uuid.uuid4().hex}"
+    archives.write_buckets(table(spark, sf, "documents").select("doc_id", "text", F.when(F.col("n_chars") > 1000, "hq").otherwise("lowq").alias("bucket")), folder)
+    return spark.read.schema("doc_id long, text string, bucket string").json(folder).select("doc_id", md5("text").alias("text_md5"), "bucket")
+
+
+@query("SELECT source AS domain, doc_id, md5(text) AS text_md5 FROM documents")
+def domain_layout(spark, sf):
+    """Extracted rows written by domain and read back."""
+    folder = f"{shared_folder(spark).rstrip('/')}/domains-{uuid.uuid4().hex}"
+    archives.write_by_domain(documents(spark, sf), folder)
+    return spark.read.parquet(folder).select("domain", "doc_id", md5("text").alias("text_md5"))
+
+
+@query("SELECT DISTINCT source AS domain FROM documents WHERE n_chars > 20000")
+def domains_written(spark, sf):
+    """A domain list written in order and read back, blank lines left out."""
+    folder = f"{shared_folder(spark).rstrip('/')}/list-{uuid.uuid4().hex}"
+    table(spark, sf, "documents").filter("n_chars > 20000").select(F.col("source").alias("value")).distinct().orderBy("value").write.text(folder)
+    return archives.read_lines(spark, folder).select(F.col("value").alias("domain"))
+
+
+@query("SELECT count(*) AS n_records, count(DISTINCT source) AS n_domains, count(*) FILTER (octet_length(encode(text)) < 200) AS n_short, count(*) FILTER (octet_length(encode(text)) >= 200) AS n_kept FROM documents")
+def run_counts(spark, sf):
+    short = F.octet_length("text") < 200
+    return table(spark, sf, "documents").agg(F.count("*").alias("n_records"), F.count_distinct("source").alias("n_domains"), F.count_if(short).alias("n_short"), F.count_if(~short).alias("n_kept"))
+
+
+LEAST = "CASE WHEN lang = 'zh' THEN 150 ELSE 250 END"
+NEEDED = "greatest(3, ceil(n / sqrt(greatest(20, least(500, n // 5)))))"
+FULL = f"strlen(text) - len({PARAS}) + 1 >= {LEAST}"
+
+
+def _gated(rows: str, share: float) -> str:
+    return f"SELECT * FROM {rows} WHERE lang IN (SELECT lang FROM {rows} JOIN tot USING (lang) GROUP BY lang, n0 HAVING count(*) >= {share} * n0)"
+
+
+def _cut(rows: str, shared: str, out: str, removed: str) -> str:
+    """CTEs that take the paragraphs of `shared` (doc_id, pos) out of the texts of `rows`."""
+    return f"""{out}_p AS (SELECT p.doc_id, p.pos, p.para, h.doc_id IS NULL AS keep FROM {rows}_p p LEFT JOIN {shared} h ON p.doc_id = h.doc_id AND p.pos = h.pos),
+{out}_t AS (SELECT doc_id, coalesce(string_agg(para, chr(10) ORDER BY pos) FILTER (keep), '') AS text, count(*) FILTER (NOT keep) AS {removed} FROM {out}_p GROUP BY doc_id)"""
+
+
+ROUNDS = rf"""f AS (SELECT doc_id, lang, text, strlen(text) - len({PARAS}) + 1 AS orig_textlen, {SPANS} AS span, {COUNTS} AS h FROM (SELECT *, string_split_regex(text, '[\p{{P}}\p{{Z}}]+') AS w FROM documents)),
+tot AS (SELECT lang, count(*) AS n0 FROM f GROUP BY lang), a AS (SELECT * FROM f WHERE NOT span), s AS (SELECT * FROM a WHERE h <= 2 AND lang IN (SELECT lang FROM a GROUP BY lang HAVING count(*) FILTER (h > 2) / count(*) <= 0.1)),
+t AS (SELECT * FROM s WHERE {FULL}), g AS ({_gated("t", 0.6)}), g_n AS (SELECT lang, count(*) AS n FROM g GROUP BY lang HAVING count(*) >= 7),
+g_p AS (SELECT lang, doc_id, unnest({PARAS}) AS para, generate_subscripts({PARAS}, 1) AS pos FROM g),
+pat AS (SELECT lang, para FROM (SELECT lang, para, count(DISTINCT doc_id) AS k FROM g_p WHERE strlen(para) > 2 GROUP BY 1, 2) JOIN g_n USING (lang) WHERE k >= 3 AND k >= {NEEDED}),
+hit1 AS (SELECT doc_id, pos FROM g_p JOIN pat USING (lang, para)), {_cut("g", "hit1", "c", "para_removed")},
+c AS (SELECT * FROM (SELECT doc_id, lang, c_t.text, orig_textlen, para_removed FROM g JOIN c_t USING (doc_id)) WHERE {FULL}),
+e AS ({_gated("c", 0.6)}), e_n AS (SELECT lang, count(*) AS n FROM e GROUP BY lang HAVING count(*) >= 7), e_p AS (SELECT lang, doc_id, unnest({PARAS}) AS para, generate_subscripts({PARAS}, 1) AS pos FROM e),
+gr AS (SELECT lang, doc_id, pos, substring(para, i, k) AS x FROM (SELECT *, unnest(range(1, length(para) - k + 2)) AS i FROM (SELECT *, CASE WHEN lang = 'zh' THEN 30 ELSE 50 END AS k FROM e_p) WHERE length(para) >= k)),
+bl AS (SELECT lang, x FROM (SELECT lang, x, count(DISTINCT doc_id) AS k FROM gr GROUP BY 1, 2) JOIN e_n USING (lang) WHERE k >= 3 AND k >= {NEEDED}),
+hit2 AS (SELECT DISTINCT doc_id, pos FROM gr JOIN bl USING (lang, x)), {_cut("e", "hit2", "b", "block_removed")},
+b AS (SELECT * FROM (SELECT doc_id, lang, b_t.text, orig_textlen, para_removed, block_removed FROM e JOIN b_t USING (doc_id)) WHERE {FULL}),
+li AS (SELECT * FROM b WHERE NOT {SHORT}), pl AS (SELECT *, strlen(text) // len({PARAS}) AS paralen FROM li WHERE strlen(text) // len({PARAS}) > 10), k AS ({_gated("pl", 0.4)})"""
+
+
+def _rounds(spark, sf):
+    hits = F.size(lexicon.find_matches(F.col("text"), F.col("language"), tries()))
+    return refine.rounds(documents(spark, sf), hits, BY_LANGUAGE)
+
+
+@query(f"WITH {ROUNDS} SELECT doc_id, lang AS language, md5(text) AS text_md5, para_removed, block_removed, paralen, strlen(text) - len({PARAS}) + 1 AS textlen, round(strlen(text) / orig_textlen, 6) AS text_ret_rate FROM k")
+def refine_rounds(spark, sf):
+    own = _rounds(spark, sf)["kept"]
+    return own.select("doc_id", "language", md5("text").alias("text_md5"), "para_removed", "block_removed", "paralen", F.col("textlen").cast("long").alias("textlen"), F.round("text_ret_rate", 6).alias("text_ret_rate"))
+
+
+@query(f"""WITH {ROUNDS} SELECT lang AS language, n0 AS orig_len, {", ".join(f"(SELECT count(*) FROM {x} WHERE {x}.lang = tot.lang) AS n_{y}" for x, y in (("a", "span"), ("s", "sens"), ("t", "text"), ("c", "paras"), ("b", "blocks"), ("li", "lines"), ("pl", "paralen")))},
+coalesce(len, 0) AS len, coalesce(num_dedup_para, 0) AS num_dedup_para, coalesce(num_dedup_block, 0) AS num_dedup_block, avg_paralen, avg_text_ret_rate FROM tot LEFT JOIN (SELECT lang, count(*) AS len, sum(para_removed)::BIGINT AS num_dedup_para, sum(block_removed)::BIGINT AS num_dedup_block,
+round(avg(paralen), 6) AS avg_paralen, round(avg(strlen(text) / orig_textlen), 6) AS avg_text_ret_rate FROM k GROUP BY lang) USING (lang)""")
+def round_stats(spark, sf):
+    return refine.round_stats(_rounds(spark, sf), BY_LANGUAGE)
