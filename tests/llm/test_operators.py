@@ -554,3 +554,26 @@ def test_archives_of_long_pages(spark, monkeypatch):
     warc.write_archives(pages, path)
     sizes = [len(r[0]) for r in spark.read.format("binaryFile").load(path).select("content").collect()]
     assert max(sizes) < 4000 and sum(1 for r in warc.resolved(spark, path).collect()) == 60
+
+
+def test_open_rows_of_buckets(spark):
+    """Only rows that sizes and places let link with no row of another component go, and none that `may` allows."""
+    rng = random.Random(8)
+    rows = []
+    for sig in range(40):
+        for _ in range(rng.randint(1, 12)):
+            n = rng.randint(5, 40)
+            rows.append((sig, len(rows), n, rng.randint(3 * n // 4, n), rng.randint(0, n // 2), rng.randint(0, 3)))
+    x = F.struct(*(F.col(c) for c in ("sid", "n", "rep", "place", "comp")))
+    own = spark.createDataFrame(rows, "sig long, sid long, n long, rep long, place long, comp long").select("sig", x.alias("x"))
+    kept = {r.sid for r in own.join(jaccard.bounds(own), "sig").filter(jaccard.open_rows()).select("x.sid").collect()}
+    spare = lambda r: 7 * min(r[3], r[2] - r[4]) - 3 * r[2]
+    want, linked = set(), set()
+    for a in rows:
+        others = [b for b in rows if b[0] == a[0] and b[5] != a[5]]
+        if others and max(map(spare, others)) >= 3 * a[2] and spare(a) >= 3 * min(b[2] for b in others):
+            want.add(a[1])
+        for b in others:
+            if 4 * min(a[2], b[2]) >= 3 * max(a[2], b[2]) and spare(a) >= 3 * b[2] and spare(b) >= 3 * a[2]:
+                linked.add(a[1])
+    assert kept == want and linked <= kept and len(kept) < len(rows)

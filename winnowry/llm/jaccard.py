@@ -405,6 +405,28 @@ def may(x: Column, y: Column) -> Column:
     return (4 * F.least(n, m) >= 3 * F.greatest(n, m)) & (7 * least >= 3 * (n + m))
 
 
+def spare() -> Column:
+    """Three times the largest size of a set that a row may link with, as far as its shared shingles and its place tell."""
+    return 7 * F.least("x.rep", F.col("x.n") - F.col("x.place")) - 3 * F.col("x.n")
+
+
+def bounds(rows: DataFrame) -> DataFrame:
+    """For each bucket of several components: the largest spare() and the least size, the components that have them, and the same among all others.
+
+    rows: sig, x.
+    """
+    comps = rows.groupBy("sig", F.col("x.comp").alias("comp")).agg(F.max(spare()).alias("most"), F.min("x.n").alias("least"))
+    one = comps.groupBy("sig").agg(F.max(F.struct("most", "comp")).alias("most_of"), F.min(F.struct("least", "comp")).alias("least_of"), F.count("*").alias("n")).filter("n > 1").drop("n")
+    other = lambda c: F.when(F.col("comp") != F.col(f"{c}_of.comp"), F.col(c))
+    return comps.join(one, "sig").groupBy("sig").agg(F.first("most_of").alias("most_of"), F.first("least_of").alias("least_of"), F.max(other("most")).alias("most_else"), F.min(other("least")).alias("least_else"))
+
+
+def open_rows() -> Column:
+    """Whether a row joined with its bucket's bounds may still link with one of another component; what `may` refuses for all of them is left out."""
+    else_ = lambda c: F.when(F.col("x.comp") != F.col(f"{c}_of.comp"), F.col(f"{c}_of.{c}")).otherwise(F.col(f"{c}_else"))
+    return (else_("most") >= 3 * F.col("x.n")) & (spare() >= 3 * else_("least"))
+
+
 def compare(pairs: DataFrame, held: DataFrame) -> DataFrame:
     """Of the pairs (a, b, ...) those whose sets link: 100 * intersection >= 75 * union. held: sid, n and shingles, with repeats."""
 
@@ -467,9 +489,9 @@ def links(sets: DataFrame) -> DataFrame:
         found = found.unionByName(new.select("a", "b"))
         labels = components(new.select(F.col("ca").alias("a"), F.col("cb").alias("b"))).select(F.col("sid").alias("old"), F.col("comp").alias("fresh"))
         own = left.join(labels, F.col("x.comp") == F.col("old"), "left").select("sig", F.col("x").withField("comp", F.coalesce("fresh", "x.comp")).alias("x"))
-        sizes = own.groupBy("sig", F.col("x.comp").alias("comp")).agg(F.count("*").alias("n"))
-        mixed = stored(sizes.groupBy("sig").agg(F.count("*").alias("comps"), F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("squares")).filter("comps > 1"), "mixed")
-        left = stored(own.join(mixed.select("sig"), "sig", "left_semi"), "left")
+        left = stored(own.join(stored(bounds(own), "bounds"), "sig").filter(open_rows()).select("sig", "x"), "left")
+        sizes = left.groupBy("sig", F.col("x.comp").alias("comp")).agg(F.count("*").alias("n"))
+        mixed = sizes.groupBy("sig").agg(F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("squares"))
         rows_left, pairs_left = mixed.agg(F.sum("n"), F.sum((F.col("n") * F.col("n") - F.col("squares")) / 2)).first()
         if not rows_left or pairs_left <= LEFT * rows_left or not new.limit(1).count():
             break
