@@ -2,6 +2,10 @@
 
 STAGES lists (name, function); each function takes (spark, docs, sf_dir) and returns a DataFrame, which is written as Parquet
 and read again as the next one's docs. All but the last return the columns of documents.
+
+Rows: null and empty texts stay null and empty, and are packed as their end ids; rows with one doc_id or none are kept row by row, but
+of near copies (the same text, too) one row stays, that with the smallest doc_id, a null one last. Without labels of both kinds quality
+accepts or rejects all alike, without benchmark items decontamination changes nothing; empty documents give no rows.
 """
 
 from __future__ import annotations

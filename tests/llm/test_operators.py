@@ -577,3 +577,26 @@ def test_open_rows_of_buckets(spark):
             if 4 * min(a[2], b[2]) >= 3 * max(a[2], b[2]) and spare(a) >= 3 * b[2] and spare(b) >= 3 * a[2]:
                 linked.add(a[1])
     assert kept == want and linked <= kept and len(kept) < len(rows)
+
+
+@pytest.mark.parametrize("some", [False, True])
+def test_pipeline_edges(spark, tmp_path, some):
+    import corpus_pipeline
+
+    text = " ".join(f"word{i}" for i in range(80))
+    rows = [(1, text), (1, text), (2, None), (3, ""), (None, text + " more"), (None, None), (4, "some other words")]
+    tables = {
+        "documents": ([(i, t, "en", "s", 0) for i, t in rows if some], "doc_id long, text string, lang string, source string, n_chars long"),
+        "labels": ([(1, 1, 0), (4, 1, 0), (None, None, None), (9, 0, 1)] if some else [], "doc_id long, quality int, toxic int"),
+        "benchmark": ([(1, None), (None, ""), (2, " ".join(f"word{i}" for i in range(20, 40)))] if some else [], "item_id long, text string"),
+    }
+    for name, (own, schema) in tables.items():
+        spark.createDataFrame(own, schema).write.parquet(f"{tmp_path}/{name}.parquet")
+    own = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        own = stage(spark, own, str(tmp_path)).cache()
+    got = own.select("doc_id", "text").collect()
+    assert collections.Counter(r.doc_id for r in got) == (collections.Counter([1, 2, 3, 4, None]) if some else {})
+    assert all("word19" in r.text and "word20" not in r.text and "word40" in r.text for r in got if r.doc_id == 1)
+    assert {r.doc_id: r.text for r in got if r.doc_id in (2, 3)} == ({2: None, 3: ""} if some else {})
+    assert corpus_pipeline.run(spark, str(tmp_path)).count() == len(got)
