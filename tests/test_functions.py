@@ -213,3 +213,19 @@ def test_stream(spark, tmp_path):
     for _ in range(2):
         ingest.ingest(spark, str(tmp_path / "in"), "doc_id long, text string", step, str(tmp_path / "out"), str(tmp_path / "state")).awaitTermination()
     assert [r.doc_id for r in spark.read.parquet(str(tmp_path / "out")).collect()] == [1]
+
+
+def test_simhash_cost_does_not_grow_with_known_tokens(spark):
+    """Rows after many distinct tokens take as long as rows before them: a row looks at its own tokens alone."""
+    import time
+
+    from winnowry.functions.simhash import simhash
+
+    few = spark.range(3000).select(F.col("id").alias("doc_id"), F.lit("a few words of each row").alias("text"))
+    many = spark.range(40).select((F.col("id") - 100).alias("doc_id"), F.array_join(F.transform(F.sequence(F.col("id") * 8000, F.col("id") * 8000 + 7999), lambda i: F.concat(F.lit("w"), i.cast("string"))), " ").alias("text"))
+    took = []
+    for rows in (few, few, many.unionByName(few).coalesce(1), many):
+        began = time.time()
+        simhash(rows.coalesce(1)).write.format("noop").mode("overwrite").save()
+        took.append(time.time() - began)
+    assert took[2] < took[1] + took[3] + 5  # 3,000 walks over 320,000 known tokens take a minute

@@ -25,7 +25,7 @@ def simhash(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFra
                 tokens = (t or "").encode().split()
                 if len(known) > CACHE:
                     known.clear()
-                for x in set(tokens) - known.keys():
+                for x in [x for x in set(tokens) if x not in known]:
                     known[x] = hashlib.md5(x).digest()[:8]
                 ones = np.zeros(64, np.int64)
                 for at in range(0, len(tokens), 1 << 16):
