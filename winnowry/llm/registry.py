@@ -5,12 +5,16 @@ from __future__ import annotations
 from .decontaminate import op7_decontaminate
 from .html_blocks import op10_html_blocks
 from .jaccard import op9_jaccard_join
+from .merkle import op13_merkle
 from .packing import op8_pack
 from .quality import op4_quality
+from .spelling import op11_spelling
+from .statements import LOW, MERKLE, SPELLING
 from .substrings import op3_substrings
 from .token_store import op2_token_store
 from .topk import op6_top_k
 from .toxicity import op1_toxicity
+from .transducer import op12_transducer
 from .warc import op5_warc
 
 QUERIES = {
@@ -24,10 +28,11 @@ QUERIES = {
     "op8_pack": op8_pack,
     "op9_jaccard_join": op9_jaccard_join,
     "op10_html_blocks": op10_html_blocks,
+    "op11_spelling": op11_spelling,
+    "op12_transducer": op12_transducer,
+    "op13_merkle": op13_merkle,
 }
 
-LOW = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
-
 WARC = """WITH p AS (SELECT page_id, strlen(coalesce(html, '')) AS n, sha1(coalesce(html, '')) AS h FROM pages), f AS (SELECT h, n, min(page_id) AS first FROM p GROUP BY h, n),
 v AS (SELECT page_id, n, h, first, list_transform(range(0, 8), lambda i: ('0x' || substr(h, (5 * i + 1)::BIGINT, 5))::BIGINT) AS v FROM p JOIN f USING (h, n))
 SELECT page_id, n AS payload_bytes, array_to_string(list_transform(v, lambda x: array_to_string(list_transform([15, 10, 5, 0], lambda s: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', ((x >> s) & 31) + 1, 1)), '')), '') AS payload_digest,
@@ -54,4 +59,4 @@ r AS (SELECT doc_id, doc_id AS reached FROM d UNION SELECT r.doc_id, e.b FROM r
 SELECT doc_id, coalesce(any_value(n.n), 0)::BIGINT AS n_shingles, min(reached) AS component_id FROM r LEFT JOIN n USING (doc_id) GROUP BY doc_id"""
 
 #: The others train models, run a tokenizer or compare byte strings at every place, which SQL can't express or not in reasonable time.
-ORACLE_SQL: dict[str, str] = {"op5_warc": WARC, "op6_top_k": TOP_K, "op7_decontaminate": DECONTAMINATE, "op9_jaccard_join": JACCARD}
+ORACLE_SQL: dict[str, str] = {"op5_warc": WARC, "op6_top_k": TOP_K, "op7_decontaminate": DECONTAMINATE, "op9_jaccard_join": JACCARD, "op11_spelling": SPELLING, "op13_merkle": MERKLE}
