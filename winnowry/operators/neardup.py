@@ -58,8 +58,3 @@ def neighbours(hashes: DataFrame, near: int = 3) -> DataFrame:
 def drop_rows(rows: DataFrame, bad: DataFrame, keys: list[str]) -> DataFrame:
     return rows.join(bad.select(*keys), keys, "left_anti")
 
-
-def bad_rows(near: DataFrame, rows_per_file: int) -> DataFrame:
-    """file, row_no, ascending in each file, of rows (doc_id, near) that repeat the one before; files hold rows_per_file ids each."""
-    own = near.filter("near").select(F.floor(F.col("doc_id") / rows_per_file).cast("long").alias("file"), F.pmod("doc_id", F.lit(rows_per_file)).cast("long").alias("row_no"))
-    return own.repartition("file").sortWithinPartitions("file", "row_no")

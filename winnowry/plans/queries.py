@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from ..functions import lexicon, scores, url
 from ..functions import text as T
 from ..functions.simhash import simhash as simhash_of
-from ..operators import graph, neardup, paths, predict, refine, sampling  # noqa: F401
+from ..operators import clusters, neardup, paths, predict, refine, sampling
 from ..sources import archives
 from .session import shared_folder, stored, table
 
@@ -443,11 +443,29 @@ def mean_confidence(spark, sf):
     return table(spark, sf, "labels").groupBy(F.col("quality").alias("pseudo_label")).agg(F.count("*").alias("n"), F.round(F.avg(_draw("p")), 6).alias("mean_confidence"))
 
 
-@query(f"WITH {FIRSTS} SELECT h.doc_id // 100 AS file, h.doc_id % 100 AS row_no FROM h JOIN e ON h.hi = e.hi AND h.lo = e.lo WHERE h.doc_id <> e.doc_id")
+def _near(a: str, b: str) -> str:
+    return f"bit_count(xor({a}.hi, {b}.hi)) + bit_count(xor({a}.lo, {b}.lo)) < 3"
+
+
+#: The walk over the sorted hashes, a row a step: w.ahi, w.alo are the anchor's.
+WALK = f"""{SIMHASH}, o AS (SELECT doc_id, hi, lo, row_number() OVER (ORDER BY hi, lo, doc_id) AS i FROM h),
+w AS (SELECT i, doc_id, hi, lo, doc_id AS cluster, struct_pack(hi := hi, lo := lo) AS a, false AS member FROM o WHERE i = 1
+UNION ALL SELECT o.i, o.doc_id, o.hi, o.lo, CASE WHEN {_near("w.a", "o")} THEN w.cluster WHEN {_near("w", "o")} THEN w.doc_id ELSE o.doc_id END,
+CASE WHEN {_near("w.a", "o")} THEN w.a WHEN {_near("w", "o")} THEN struct_pack(hi := w.hi, lo := w.lo) ELSE struct_pack(hi := o.hi, lo := o.lo) END, ({_near("w.a", "o")}) OR ({_near("w", "o")}) FROM w JOIN o ON o.i = w.i + 1)"""
+
+
+@query(f"WITH RECURSIVE {WALK} SELECT doc_id, cluster, member FROM w")
+def neardup_clusters(spark, sf):
+    """Clusters of the walk with a moving anchor."""
+    return clusters.clusters(simhash_of(table(spark, sf, "documents")))
+
+
+@query(f"WITH RECURSIVE {WALK} SELECT doc_id // 100 AS file, doc_id % 100 AS row_no FROM w WHERE member")
 def bad_rows(spark, sf):
-    hashes = stored(simhash_of(table(spark, sf, "documents")), "simhash")
-    first = neardup.first_of_hash(hashes).select("hi", "lo", F.col("doc_id").alias("first"))
-    return neardup.bad_rows(hashes.join(first, ["hi", "lo"]).select("doc_id", (F.col("doc_id") != F.col("first")).alias("near")), 100)
+    """Lists of the rows that repeat their cluster's anchor, written by file and read back."""
+    folder = f"{shared_folder(spark).rstrip('/')}/bad-rows-{uuid.uuid4().hex}"
+    clusters.write_bad_rows(clusters.bad_rows(clusters.clusters(simhash_of(table(spark, sf, "documents"))), 100), folder)
+    return clusters.read_bad_rows(spark, folder)
 
 
 @query(f"WITH {FIRSTS} SELECT h.doc_id, h.hi, h.lo FROM h JOIN e ON h.hi = e.hi AND h.lo = e.lo AND h.doc_id = e.doc_id")
