@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import pandas as pd
@@ -82,21 +83,20 @@ def losses(rows: DataFrame, bias: float = 0.0) -> DataFrame:
     return sums.crossJoin(F.broadcast(near)).select("mse", "weighted_mse", "cosine_loss", (F.coalesce("apart", none) / (F.col("n") * F.col("n"))).alias("margin_loss"))  # one row each
 
 
+ENDS = re.compile(r"(?s).*[\n.?!。！？]")
+
+
 def segments(text: str, most: int) -> list[str]:
-    """Pieces of at most most - 2 characters, cut before the last line feed or after the last . ? ! 。 ！ ？, else anywhere."""
+    """Pieces of at most most - 2 characters: up to the last line feed (which begins the next piece) or sentence end (which ends its piece) in that room.
+
+    A piece is cut anywhere where the room has no such sign after its first character, and where at most one character more than
+    the room is left, which then is a piece of its own.
+    """
     out, at, room = [], 0, most - 2
     while at < len(text):
-        if len(text) - at <= room:
-            out.append(text[at:])
-            break
         end = at + room
-        for i in range(end - 1, at, -1):
-            if text[i] == "\n":
-                end = i
-                break
-            if text[i] in ".?!。！？":
-                end = i + 1
-                break
+        if end < len(text) - 1 and (last := ENDS.match(text, at + 1, end)):
+            end = last.end() - (text[last.end() - 1] == "\n")
         out.append(text[at:end])
         at = end
     return out

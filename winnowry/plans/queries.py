@@ -10,10 +10,10 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import lexicon, scores, url
+from ..functions import heads, lexicon, scores, url
 from ..functions import text as T
 from ..functions.simhash import simhash as simhash_of
-from ..operators import clusters, neardup, paths, predict, refine, sampling
+from ..operators import clusters, neardup, paths, predict, refine, sampling, scoring
 from ..sources import archives
 from .session import shared_folder, stored, table
 
@@ -187,7 +187,13 @@ def badword_screen(spark, sf):
     return refine.screen_bad_words(own, hits)
 
 
-@query()
+LISTS = "CASE lang " + " ".join(f"WHEN '{k}' THEN {v}" for k, v in WORDS.items()) + " ELSE []::VARCHAR[] END"
+#: The scan's state after each character: what it has of a word, and how many words it has met.
+SCAN = """list_reduce(string_split(lower(text), ''), lambda s, c: CASE WHEN len(list_filter(ws, lambda w: starts_with(w, split_part(s, '|', 1) || c))) > 0
+THEN split_part(s, '|', 1) || c || '|' || (split_part(s, '|', 2)::INTEGER + CASE WHEN list_contains(ws, split_part(s, '|', 1) || c) THEN 1 ELSE 0 END)::VARCHAR ELSE '|' || split_part(s, '|', 2) END, '|0')"""
+
+
+@query(f"SELECT doc_id, split_part({SCAN}, '|', 2)::INTEGER <= 2 AS passes FROM (SELECT doc_id, text, {LISTS} AS ws FROM documents)")
 def badword_query(spark, sf):
     return documents(spark, sf).select("doc_id", lexicon.query(F.col("text"), F.col("language"), tries(), 2).alias("passes"))
 
@@ -270,7 +276,13 @@ def ngram_match(spark, sf):
     return documents(spark, sf).select("doc_id", T.ngram_match(F.lit("tion"), T.paragraphs(F.col("text")), 30).cast("long").alias("place"))
 
 
-@query()
+#: How long the first piece of r is, of 510 characters at most.
+PIECE = r"""CASE WHEN length(r) <= 511 THEN 510 WHEN regexp_matches(substr(r, 2, 509), '(?s)[\n.?!。！？]')
+THEN length(regexp_extract(substr(r, 2, 509), '(?s).*[\n.?!。！？]')) + CASE WHEN ends_with(regexp_extract(substr(r, 2, 509), '(?s).*[\n.?!。！？]'), chr(10)) THEN 0 ELSE 1 END ELSE 510 END"""
+PIECES = f"""pieces AS (SELECT doc_id, -1 AS pos, '' AS segment, text AS r FROM documents UNION ALL SELECT doc_id, pos + 1, substr(r, 1, k), substr(r, k + 1) FROM (SELECT *, {PIECE} AS k FROM pieces WHERE r <> ''))"""
+
+
+@query(f"WITH RECURSIVE {PIECES} SELECT doc_id, pos, length(segment)::INTEGER AS n, md5(segment) AS segment_md5 FROM pieces WHERE pos >= 0")
 def segment_text(spark, sf):
     own = documents(spark, sf).select("doc_id", F.posexplode(scores.segmented(F.col("text"))).alias("pos", "segment"))
     return own.select("doc_id", "pos", F.length("segment").alias("n"), md5("segment").alias("segment_md5"))
@@ -428,11 +440,62 @@ TARGETS = f"SELECT doc_id, lang_after_dedup = 'fr' OR (language = 'fr' AND lang_
 
 @query(TARGETS)
 def predict_targets(spark, sf):
-    own = documents(spark, sf).select("doc_id", "language", F.when(_draw("a") < 0.2, "unknown").otherwise(F.col("language")).alias("lang_after_dedup"), _draw("b").alias("lang_score"), _draw("c").alias("dedup_after_lang_score"))
-    score, rest = predict.split(own, "fr")
+    score, rest = predict.split(refined(spark, sf), "fr")
     return score.select("doc_id", F.lit(True).alias("target")).unionByName(rest.select("doc_id", F.lit(False).alias("target")))
 
 
+WORD_IDS = r"list_transform(regexp_extract_all({}, '[^ \t\n\x0B\f\r]+'), lambda w: 104 + ('0x' || substr(md5(w), 1, 4))::INTEGER % 30000)"
+
+
+@query(f"""WITH t AS (SELECT doc_id, {WORD_IDS.format("text")} AS ids FROM documents), w AS (SELECT doc_id, seq, ids[seq * 62 + 1:seq * 62 + 62] AS part FROM (SELECT *, unnest(range(0, (len(ids) + 61) // 62)) AS seq FROM t))
+SELECT doc_id, seq::INTEGER AS seq, md5('101,' || array_to_string(part, ',') || ',102' || repeat(',0', 62 - len(part))) AS ids_md5, len(part) + 2 AS filled FROM w""")
+def window_planes(spark, sf):
+    """Windows of 64 places over hashed words, as expressions."""
+    own = documents(spark, sf).select("doc_id", scoring.hashed_words_of(F.col("text")).alias("tokens"))
+    found = scoring.windows(own, 64)
+    return found.select("doc_id", "seq", md5(F.array_join(F.transform("ids", lambda x: x.cast("string")), ",")).alias("ids_md5"), F.aggregate("mask", F.lit(0), lambda a, x: a + x).cast("long").alias("filled"))
+
+
+@query(f"""WITH t AS (SELECT doc_id, {WORD_IDS.format("text")} AS ids FROM documents), w AS (SELECT doc_id, list_sum(ids[seq * 62 + 1:seq * 62 + 62]) - 104 * len(ids[seq * 62 + 1:seq * 62 + 62]) AS s, len(ids[seq * 62 + 1:seq * 62 + 62]) AS n FROM (SELECT *, unnest(range(0, (len(ids) + 61) // 62)) AS seq FROM t))
+SELECT doc_id, count(n) AS n_windows, round(avg(s / n / 30000), 9) AS mean_score FROM documents LEFT JOIN w USING (doc_id) GROUP BY doc_id""")
+def window_scores(spark, sf):
+    """Windows of many documents scored in batches of 24."""
+    found = scoring.score(documents(spark, sf), scoring.by_window(scoring.hashed_words, 64), scoring.mean_id, length=64, batch=24)
+    mean = F.aggregate("scores", F.lit(0.0), lambda a, x: a + x) / F.nullif(F.size("scores"), F.lit(0))
+    return found.select("doc_id", F.size("scores").cast("long").alias("n_windows"), F.round(mean, 9).alias("mean_score"))
+
+
+def refined(spark: SparkSession, sf: str) -> DataFrame:
+    """Documents as refined rows, with made-up language scores."""
+    return documents(spark, sf).select("doc_id", "text", "language", F.when(_draw("a") < 0.2, "unknown").otherwise(F.col("language")).alias("lang_after_dedup"), _draw("b").alias("lang_score"), _draw("c").alias("dedup_after_lang_score"))
+
+
+PREDICTED_ROWS = rf"""{PIECES}, t AS (SELECT doc_id, pos, segment, {WORD_IDS.format("segment")}[1:510] AS ids FROM pieces WHERE pos >= 0),
+sc AS (SELECT doc_id, pos, segment, CASE WHEN len(ids) = 0 THEN 0 ELSE (list_sum(ids) - 104 * len(ids)) / len(ids) / 30000 END AS score FROM t),
+b AS (SELECT doc_id, string_agg(segment, chr(10) ORDER BY pos) AS text, count(*) AS n, avg(score) AS mean FROM sc WHERE score > 0.48 GROUP BY doc_id)"""
+
+
+@query(f"""WITH RECURSIVE {PREDICTED_ROWS} SELECT doc_id, CASE WHEN NOT target THEN 'rest' WHEN mean > 0.51 THEN 'hq' ELSE 'lowq' END AS bucket, md5(CASE WHEN target THEN coalesce(b.text, '') ELSE d.text END) AS text_md5, CASE WHEN target THEN coalesce(n, 0) END AS n_pieces, CASE WHEN target THEN round(mean, 9) END AS mean_scores
+FROM ({TARGETS}) JOIN documents d USING (doc_id) LEFT JOIN b USING (doc_id)""")
+def predict_documents(spark, sf):
+    """Refined rows split by language, scored piece by piece in batches, written as JSON lines by bucket, and read back."""
+    folder = f"{shared_folder(spark).rstrip('/')}/scored-{uuid.uuid4().hex}"
+    found, rest = predict.scored(refined(spark, sf), scoring.hashed_words, scoring.mean_id, language="fr", score_filter=0.48, threshold=0.51)
+    predict.write_scored(found, rest, folder)
+    own = spark.read.schema("doc_id long, text string, scores array<double>, mean_scores double, bucket string").json(f"{folder}/scored")
+    own = own.select("doc_id", "bucket", md5("text").alias("text_md5"), F.size("scores").cast("long").alias("n_pieces"), F.round("mean_scores", 9).alias("mean_scores"))
+    other = spark.read.schema("doc_id long, text string").json(f"{folder}/rest")
+    return own.unionByName(other.select("doc_id", F.lit("rest").alias("bucket"), md5("text").alias("text_md5"), F.lit(None).cast("long").alias("n_pieces"), F.lit(None).cast("double").alias("mean_scores")))
+
+
+@query()
+def head_scores(spark, sf):
+    """Documents' scores by the token and segment heads over windows of 64 words, with weights by rule."""
+    encoder, model = heads.example()
+    found = predict.document_scores(documents(spark, sf), scoring.hashed_words, encoder, model, length=64, batch=24)
+    return found.select("doc_id", F.round("score", 9).alias("score"))
+
+
 @query("SELECT ceil(max(n_chars / 510.0))::BIGINT AS most_windows FROM documents")
 def windows_needed(spark, sf):
     return predict.windows_needed(table(spark, sf, "documents").select(F.col("n_chars").alias("n")), 512)
