@@ -181,7 +181,7 @@ def test_archives(spark, tmp_path):
     rows = archives.read_archives(spark, str(tmp_path / "in"))
     assert rows.count() == 7
     archives.register(spark)
-    assert spark.read.format("crawl").option("path", str(tmp_path / "in")).load().count() == 7
+    assert spark.read.format("crawl").option("path", str(tmp_path / "in")).load().filter("error is null").count() == 7
     found = archives.extracted(rows, lang.decoded, lang.detect, ["en"], spark.createDataFrame([("b.com",)], "domain string"), spark.createDataFrame([("a.com", 3)], "domain string, parts int"))
     got = found.collect()
     assert [r.uri for r in got] == ["http://a.com/1"] and got[0].domain.startswith("a.com---")

@@ -10,11 +10,11 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import heads, lexicon, scores, url
+from ..functions import heads, lang, lexicon, scores, url
 from ..functions import text as T
 from ..functions.simhash import simhash as simhash_of
 from ..operators import clusters, neardup, paths, predict, refine, sampling, scoring
-from ..sources import archives
+from ..sources import archives, wet
 from .session import shared_folder, stored, table
 
 QUERIES = {}
@@ -654,3 +654,57 @@ coalesce(len, 0) AS len, coalesce(num_dedup_para, 0) AS num_dedup_para, coalesce
 round(avg(paralen), 6) AS avg_paralen, round(avg(strlen(text) / orig_textlen), 6) AS avg_text_ret_rate FROM k GROUP BY lang) USING (lang)""")
 def round_stats(spark, sf):
     return refine.round_stats(_rounds(spark, sf), BY_LANGUAGE)
+
+
+def crawled(spark: SparkSession, sf: str) -> DataFrame:
+    """Documents as crawl records: doc_id, uri, date, body."""
+    host = F.concat(F.regexp_replace("source", "[^a-z0-9]", "-"), F.lit(".example"))
+    own = table(spark, sf, "documents")
+    return own.select("doc_id", F.concat(F.lit("https://"), host, F.lit("/"), F.col("doc_id").cast("string")).alias("uri"), F.lit("2024-01-01T00:00:00Z").alias("date"), F.col("text").cast("binary").alias("body"))
+
+
+@query("""SELECT doc_id, md5(text) AS text_md5, strlen(text) AS n_bytes, NULL AS error, 1::BIGINT AS n FROM documents WHERE doc_id % 50 NOT IN (7, 9)
+UNION ALL SELECT NULL, NULL, NULL, CASE doc_id % 50 WHEN 7 THEN 'unreadable length' ELSE 'damaged member' END, count(*) FROM documents WHERE doc_id % 50 IN (7, 9) GROUP BY doc_id % 50""")
+def wet_roundtrip(spark, sf):
+    """Archives with unreadable lengths and damaged members amid good ones, read back in ranges of 100 kB; errors are counted."""
+    folder = f"{shared_folder(spark).rstrip('/')}/wet-{uuid.uuid4().hex}"
+    own = crawled(spark, sf)
+    length = F.when(F.col("doc_id") % 50 == 7, "12x").otherwise(F.octet_length("body").cast("string"))
+    members = own.select("doc_id", wet.compressed(wet.records_of(own, length)).alias("member"))
+    broken = F.overlay("member", F.lit(b"\xff" * 24), (F.octet_length("member") / 2).cast("int"))
+    wet.write_members(members.select(F.when(F.col("doc_id") % 50 == 9, broken).otherwise(F.col("member")).alias("member")), folder)
+    found = wet.read_records(spark, folder, "part-*", size=100_000)
+    good = found.filter("error is null").select(F.element_at(F.split("target_uri", "/"), -1).cast("long").alias("doc_id"), F.md5("body").alias("text_md5"), F.octet_length("body").cast("long").alias("n_bytes"), F.lit(None).cast("string").alias("error"), F.lit(1).cast("long").alias("n"))
+    bad = found.filter("error is not null").groupBy("error").agg(F.count("*").alias("n"))
+    none = F.lit(None)
+    return good.unionByName(bad.select(none.cast("long").alias("doc_id"), none.cast("string").alias("text_md5"), none.cast("long").alias("n_bytes"), "error", "n"))
+
+
+SIGNS = {"en": " the ", "de": " der ", "fr": " les ", "es": " los "}
+
+
+def _voted(text: F.Column) -> F.Column:
+    """A detector as an expression: the language of the sign that stands most often in a text, the first of equals."""
+    votes = [F.struct(F.floor((F.length(text) - F.length(F.replace(text, F.lit(w), F.lit("")))) / len(w)).alias("n"), F.lit(-i).alias("i"), F.lit(k).alias("lang")) for i, (k, w) in enumerate(SIGNS.items())]
+    best = F.array_max(F.array(*votes))
+    return F.struct(F.when(best["n"] > 0, best["lang"]).otherwise("unknown").alias("lang"), F.when(best["n"] > 0, 1.0).otherwise(0.0).cast("float").alias("score"))
+
+
+BEST = "list_max([" + ", ".join(f"struct_pack(n := (length(text) - length(replace(text, '{w}', ''))) // {len(w)}, i := {-i}, lang := '{k}')" for i, (k, w) in enumerate(SIGNS.items())) + "])"
+
+
+@query(f"""WITH d AS (SELECT *, regexp_replace(source, '[^a-z0-9]', '-', 'g') || '.example' AS host FROM documents), big AS (SELECT host, count(*) // 40 AS parts FROM d GROUP BY host HAVING count(*) >= 40),
+x AS (SELECT doc_id, host, text, 'https://' || host || '/' || doc_id::VARCHAR AS uri, {BEST} AS best FROM d WHERE strlen(text) >= 200 AND {GARBLE} <= 5 AND host NOT IN (SELECT host FROM d WHERE doc_id % 97 = 0))
+SELECT doc_id, best.lang AS language, CASE WHEN parts > 0 THEN x.host || '---' || (('0x' || substr(md5(uri), 1, 8))::UBIGINT % parts)::VARCHAR ELSE x.host END AS domain, md5(regexp_replace(text, '{CLEAN}', '', 'g')) AS text_md5
+FROM x LEFT JOIN big USING (host) WHERE best.n > 0 AND best.lang <> 'es'""")
+def extract_wet(spark, sf):
+    """Archives extracted: screens, blacklist, charset, language, cleaning, split domains, files by domain; and read back."""
+    folder = f"{shared_folder(spark).rstrip('/')}/extract-{uuid.uuid4().hex}"
+    own = crawled(spark, sf)
+    wet.write_records(own, f"{folder}/wet")
+    hosts = own.select("doc_id", url.domain(F.col("uri")).alias("domain"))
+    large = hosts.groupBy("domain").agg(F.floor(F.count("*") / 40).alias("parts")).filter("parts > 0")
+    rows = archives.read_archives(spark, f"{folder}/wet", "part-*")
+    found = archives.extracted(rows, lang.decoded, _voted, ["en", "de", "fr"], hosts.filter("doc_id % 97 = 0"), large)
+    archives.write_by_domain(found, f"{folder}/by-domain")
+    return spark.read.parquet(f"{folder}/by-domain").select(F.element_at(F.split("uri", "/"), -1).cast("long").alias("doc_id"), "language", "domain", md5("text").alias("text_md5"))

@@ -1,104 +1,35 @@
 """Reading of crawl archives and writing of stage outputs.
 
-Archives are read as whole files by Spark (so they can lie in any store) and cut into records by a pandas function; a gzip file
-may have many members. `register` also offers them as the data source "crawl".
+Archives are read in ranges (see wet); `register` also offers them as the data source "crawl".
 """
 
 from __future__ import annotations
 
-import io
-import re
-import zlib
-from collections.abc import Iterator
-
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
+from pyspark.sql.datasource import DataSource, DataSourceReader
 
 from ..functions import text as T
 from ..functions import url as U
-
-SCHEMA = "warc_type string, content_length long, target_uri string, date string, body binary"
-FIELD = re.compile(rb"^([!-9;-~]+)[ \t]*:[ \t]*(.*?)[ \t]*\r?$", re.M)
-
-
-def plain(data: bytes) -> bytes:
-    """The contents of a file, all members of a gzip one; what can be read of a damaged one."""
-    if not data.startswith(b"\x1f\x8b"):
-        return data
-    out, at, step = io.BytesIO(), 0, 1 << 16
-    while at < len(data):
-        member = zlib.decompressobj(31)
-        while at < len(data) and not member.eof:
-            part = data[at : at + step]
-            at += len(part)
-            try:
-                out.write(member.decompress(part))
-            except zlib.error:
-                return out.getvalue()
-        at -= len(member.unused_data)
-    return out.getvalue()
-
-
-def records(data: bytes) -> Iterator[tuple[str | None, int, str | None, str | None, bytes]]:
-    """Type, length, target, date and body of each record; a record without a readable length ends the file."""
-    at = 0
-    while (at := data.find(b"WARC/", at)) >= 0:
-        end = data.find(b"\r\n\r\n", at)
-        if end < 0:
-            return
-        fields = {k.lower().decode(): v.decode("utf-8", "replace") for k, v in FIELD.findall(data[at:end])}
-        if not fields.get("content-length", "").isdigit():
-            return
-        size = int(fields["content-length"])
-        yield fields.get("warc-type"), size, fields.get("warc-target-uri"), fields.get("warc-date"), data[end + 4 : end + 4 + size]
-        at = end + 4 + size
-
+from . import wet
 
 def read_archives(spark: SparkSession, path: str, pattern: str = "*.gz") -> DataFrame:
-    """The records of all archives below path."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", pattern).load(path).select("content")
-
-    def cut(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for part in parts:
-            for content in part["content"]:
-                yield pd.DataFrame(list(records(plain(bytes(content)))), columns=[c.split()[0] for c in SCHEMA.split(", ")])
-
-    return files.mapInPandas(cut, SCHEMA)
-
-
-class _File(InputPartition):
-    def __init__(self, path: str):
-        self.path = path
-
-
-class _Reader(DataSourceReader):
-    def __init__(self, options: dict):
-        self.options = options
-
-    def partitions(self) -> list[_File]:
-        from pathlib import Path
-
-        return [_File(str(p)) for p in sorted(Path(self.options["path"]).rglob(self.options.get("pattern", "*.gz")))]
-
-    def read(self, partition: _File):
-        with open(partition.path, "rb") as f:
-            yield from records(plain(f.read()))
+    """The records of all archives below path, without what can't be read (see wet.read_records)."""
+    return wet.read_records(spark, path, pattern).filter("error is null").drop("path", "offset", "error")
 
 
 class Crawl(DataSource):
-    """Archives on a file system that all workers mount; one task a file."""
+    """Archives as the data source "crawl", one task a range; options path, pattern, range (bytes)."""
 
     @classmethod
     def name(cls) -> str:
         return "crawl"
 
     def schema(self) -> str:
-        return SCHEMA
+        return wet.SCHEMA
 
     def reader(self, schema) -> DataSourceReader:
-        return _Reader(self.options)
+        return wet.RangeReader(self.options)
 
 
 def register(spark: SparkSession) -> None:
