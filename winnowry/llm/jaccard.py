@@ -11,10 +11,13 @@ shingle or a combination of one group. The number of groups grows with the set's
 whose linked ones may have more groups are indexed with both numbers. Sets of three to five shingles are indexed whole and with
 each one left out.
 
-A bucket of the index isn't expanded into all pairs. Each class (documents with equal sets) is compared with few others that it
-meets, chosen anew in rounds; components of the links found so far are formed; then only members of different components whose
-sizes, places and shared shingles allow a link are compared. No link between different sets is lost to this: pairs within a component
-add nothing to components.
+Of buckets that hold the same sets one stays: what copied passages share is many shingles, but one bucket. A bucket of the index isn't
+expanded into all pairs. Each class (documents with equal sets) is compared with few others that it
+meets, chosen anew in rounds; components of the links found so far are formed; then only members of different components are left whose
+sizes, places and shared shingles allow a link. They are met within tasks, in blocks of BLOCK rows of a bucket, by bitmaps of their
+shingles: how many bits differ bounds how many shingles are shared, from above. Only pairs that this bound lets link go on and are compared
+shingle by shingle. No link between different sets is lost to this: pairs within a component add nothing to components. What the
+bound costs: a bucket of b rows of different components takes b * b / 2 bounds of half a byte a shingle, in (b / BLOCK)**2 / 2 tasks' groups.
 
 Rows are numbered more than once, so the input must be a table as read, stored or cached, not a plan whose row order may change.
 
@@ -50,6 +53,8 @@ PIVOTS, BEST, TURNS = 4, 3, 12
 #: Rounds end with so few pairs of different components for each row of the index that is left, or where one finds no link.
 LEFT = 0.1
 NONE = (1 << 63) - 1
+#: Rows of a block; bits of a bitmap at most, beyond which the bound grows weaker, not wrong.
+BLOCK, BITS = 256, 1 << 17
 
 
 def shingles(data: np.ndarray, at: np.ndarray, words: int = WORDS) -> tuple[np.ndarray, np.ndarray]:
@@ -462,13 +467,85 @@ def components(links: DataFrame) -> DataFrame:
             return labels.withColumnRenamed("label", "comp")
 
 
+def once_each(rows: DataFrame) -> DataFrame:
+    """sig, least (the smallest size) of the buckets of several sets, and of those of the same sets one: that of the first shingle in the sets' order.
+
+    All its sets share the others, too, so that none of their pairs shares a shingle of these before it; places in it are the least for all.
+    """
+    members = [F.bit_xor(F.xxhash64("x.sid", F.lit(k))).alias(f"m{k}") for k in range(2)]
+    buckets = rows.groupBy("sig").agg(F.count("*").alias("rows"), F.min("x.sid").alias("lo"), F.max("x.sid").alias("hi"), F.min("x.n").alias("least"), F.min(F.struct("x.sid", "x.place")).alias("first"), *members).filter("lo <> hi")
+    return buckets.groupBy("m0", "m1", "rows").agg(F.min(F.struct("first.place", "sig", "least")).alias("b")).select("b.sig", "b.least")
+
+
+def bitmap(keys: np.ndarray) -> bytes:
+    """One of 2 to 4 bits a key, BITS at most, set for each key by its hash; longer ones fold into shorter ones by halves."""
+    size = min(BITS, max(64, 2 << int(max(1, len(keys)) - 1).bit_length()))
+    bits = np.zeros(size, bool)
+    bits[(mix(keys.view(np.uint64) ^ np.uint64(0x3C3C)) % np.uint64(size)).astype(np.int64)] = True
+    return np.packbits(bits, bitorder="little").tobytes()
+
+
+def differing(xs: list[bytes], ys: list[bytes]) -> np.ndarray:
+    """How many bits each x and each y differ in, the longer folded to the shorter one's size."""
+    out = np.zeros((len(xs), len(ys)), np.int64)
+
+    def fold(rows: np.ndarray, size: int) -> np.ndarray:
+        while rows.shape[1] > size:
+            half = rows.shape[1] // 2
+            rows = rows[:, :half] | rows[:, half:]
+        return rows
+
+    by_size = [{n: np.array([i for i, v in enumerate(vs) if len(v) == n]) for n in {len(v) for v in vs}} for vs in (xs, ys)]
+    for n, i in by_size[0].items():
+        for m, j in by_size[1].items():
+            size = min(n, m) // 8
+            a, b = (fold(np.frombuffer(b"".join(vs[k] for k in own), np.uint64).reshape(len(own), -1), size) for vs, own in ((xs, i), (ys, j)))
+            for k, row in zip(i.tolist(), a, strict=True):
+                out[k, j] = np.bitwise_count(b ^ row).sum(axis=1)
+    return out
+
+
+def bounded(left: DataFrame, held: DataFrame) -> DataFrame:
+    """Pairs (a, b), once each, of rows (sig, x) of one bucket and different components that sizes, places and bitmaps let link."""
+
+    def maps(batches):
+        for b in batches:
+            shingles = [np.frombuffer(v, np.int64) for v in b.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([len(v) for v in shingles], pa.int64()), pa.array([bitmap(v) for v in shingles], pa.binary())], names=["sid", "many", "bits"])
+
+    wanted = left.select(F.col("x.sid").alias("sid")).distinct()
+    own = held.join(wanted, "sid", "left_semi").groupBy("sid").agg(F.first("shingles").alias("shingles")).mapInArrow(maps, "sid long, many long, bits binary")
+    sizes = left.groupBy("sig").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
+    dealt = left.join(sizes, "sig").select("sig", "x.*", "blocks", F.pmod(F.xxhash64("x.sid"), F.col("blocks")).cast("int").alias("mine"))
+    each = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
+    dealt = dealt.join(own, "sid").withColumn("other", each).withColumns({"i": F.least("mine", "other"), "j": F.greatest("mine", "other")})
+
+    def meet(t: pa.Table) -> pa.Table:
+        mine = t.column("mine").to_numpy()
+        i, j = t.column("i")[0].as_py(), t.column("j")[0].as_py()
+        sid, n, place, comp, many = (t.column(c).to_numpy().astype(np.int64) for c in ("sid", "n", "place", "comp", "many"))
+        rep, bits = np.minimum(t.column("rep").to_numpy(), n - place), t.column("bits").to_pylist()
+        x, y = np.flatnonzero(mine == i), np.flatnonzero(mine == j)
+        shared = (many[x][:, None] + many[y] - differing([bits[k] for k in x], [bits[k] for k in y])) // 2
+        shared = np.minimum(shared, np.minimum(rep[x][:, None], rep[y]))
+        a, b = n[x][:, None], n[y]
+        may_link = (comp[x][:, None] != comp[y]) & (4 * np.minimum(a, b) >= 3 * np.maximum(a, b)) & (7 * shared >= 3 * (a + b))
+        if i == j:
+            may_link &= sid[x][:, None] < sid[y]
+        p, q = np.nonzero(may_link)
+        p, q = sid[x[p]], sid[y[q]]
+        return pa.table({"a": np.minimum(p, q), "b": np.maximum(p, q)})
+
+    return dealt.groupBy("sig", "i", "j").applyInArrow(meet, "a long, b long").distinct()
+
+
 def links(sets: DataFrame) -> DataFrame:
     """Links (a, b) of the classes in SETS rows that span all components."""
     spark = sets.sparkSession
     sets = sets.filter("uid is null")
     held = sets.select("sid", "n", "shingles")
     rows = stored(indexed(sets), "signatures").select("sid", "n", "rep", F.explode(F.arrays_zip("sigs", "places")).alias("s")).select(F.col("s.sigs").alias("sig"), F.struct("sid", "n", "rep", F.col("s.places").alias("place"), F.col("sid").alias("comp")).alias("x"))
-    several = rows.groupBy("sig").agg(F.min("x.sid").alias("lo"), F.max("x.sid").alias("hi"), F.min("x.n").alias("least")).filter("lo <> hi").select("sig", "least")
+    several = once_each(rows)
     # without those that can't link with the smallest set of the bucket, as far as sizes and places tell
     most = F.least("x.rep", F.col("x.n") - F.col("x.place"))
     left = stored(rows.join(several, "sig").filter(7 * most >= 3 * (F.col("x.n") + F.greatest("least", F.ceil(3 * F.col("x.n") / 4)))).select("sig", "x"), "index")
@@ -495,8 +572,7 @@ def links(sets: DataFrame) -> DataFrame:
         rows_left, pairs_left = mixed.agg(F.sum("n"), F.sum((F.col("n") * F.col("n") - F.col("squares")) / 2)).first()
         if not rows_left or pairs_left <= LEFT * rows_left or not new.limit(1).count():
             break
-    both = left.alias("l").join(left.alias("r"), (F.col("l.sig") == F.col("r.sig")) & (F.col("l.x.comp") < F.col("r.x.comp")) & may(F.col("l.x"), F.col("r.x")))
-    pairs = stored(both.select(F.col("l.x.sid").alias("a"), F.col("r.x.sid").alias("b")).distinct(), "rest")
+    pairs = stored(bounded(left, held), "rest")
     return stored(found.unionByName(compare(pairs, held)), "all-links")
 
 
