@@ -98,8 +98,16 @@ def test_refine_groups(spark):
     cfg = refine.Config(block=30, block_bits=1)
     assert all(r.n_removed == 1 and r.text.startswith("other") for r in refine.dedup_blocks(more, cfg).collect())
     assert refine.stats(docs.limit(0)).count() == 0
-    hits = spark.createDataFrame([(0, 3)], "doc_id long, n_hits int")
-    assert {r.domain: r.group_dirty for r in refine.screen_bad_words(docs, hits, first=100).collect()} == {"d": True, "e": False}
+    assert {r.domain: r.group_dirty for r in refine.screen_bad_words(docs, F.when(F.col("doc_id") == 0, 3), first=100).collect()} == {"d": True, "e": False}
+    twice = refine.screen_bad_words(docs.unionByName(docs), F.lit(3)).collect()
+    assert len(twice) == 2 * docs.count() and all(r.flagged for r in twice)  # repeated ids are rows of their own
+    assert one(spark, "0123456789abcdefghij", T.ngram_lcs(F.col("text"), F.lit("abcdefghijXXXXXXXXXX"), 10)) == "abcdefghij"  # of texts of equal bytes the first is searched for
+    try:
+        refine.dedup_paragraphs(docs.withColumn("_row", F.lit(1)))
+    except ValueError as e:
+        assert "_row" in str(e)
+    else:
+        raise AssertionError("a reserved name must be refused")
 
 
 def test_dedup_blocks_brute(spark):

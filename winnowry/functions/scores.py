@@ -43,13 +43,18 @@ def bald(draws: Column) -> Column:
     return entropy(mean) - F.aggregate(draws, F.lit(0.0), lambda a, x: a + entropy(x)) / n
 
 
-def losses(rows: DataFrame, bias: float = 0.0) -> DataFrame:
+#: How many different weights losses() takes: each pair of them has a range of its own.
+WEIGHTS = 32
+
+
+def losses(rows: DataFrame, bias: float = 0.0, weighted: bool = False) -> DataFrame:
     """mse, weighted_mse, cosine_loss, margin_loss of rows (pred, target, weight).
 
-    The margin loss is the mean over all ordered pairs of max(0, bias - r * (a - b)), where r is the sign of a - b and, between equal
-    predictions, the negative sign of the targets' difference. For bias <= 0 every pair gives nothing; for bias > 0 a pair of different predictions
-    gives what their distance is short of the bias, and one of equal predictions the bias. So only pairs nearer than the bias count: a range
-    of neighbours in the order of predictions, summed with windows instead of over all pairs.
+    The margin loss is the mean over all ordered pairs of max(0, bias - r * w * (a - b)), where r is the sign of a - b and, between equal
+    predictions, the negative sign of the targets' difference; w is 1 or, if weighted, the mean of the two weights. For bias <= 0 every pair gives
+    nothing; for bias > 0 a pair of different predictions gives what w times their distance is short of the bias, and one of equal
+    predictions the bias. So only pairs nearer than bias / w count: a range of neighbours in the order of predictions, summed with windows for each
+    pair of weights, of which there may be WEIGHTS different positive ones, instead of over all pairs.
     """
     from ..plans.session import stored
 
@@ -62,22 +67,26 @@ def losses(rows: DataFrame, bias: float = 0.0) -> DataFrame:
     )
     if bias <= 0:
         return sums.select("mse", "weighted_mse", "cosine_loss", F.lit(0.0).alias("margin_loss"))
-    # each prediction p and the ends p - bias, p + bias of its range as points of one line; with C and D the running sums of counts
-    # and of counts * prediction, the pairs of p are (bias - p) (C(p) - C(p - bias)) + D(p) - D(p - bias) and the like above p
-    counts = base.groupBy("pred").agg(F.count("*").cast("double").alias("c"))
-    p, c, b = F.col("pred"), F.col("c"), F.lit(float(bias))
-    none = F.lit(0.0)
+    base = base.withColumn("weight", F.col("weight") if weighted else F.lit(1.0))
+    found = [r[0] for r in base.select("weight").distinct().limit(WEIGHTS + 1).collect()]
+    if len(found) > WEIGHTS or any(x is None or x <= 0 for x in found):
+        raise ValueError(f"weights must be positive, {WEIGHTS} different ones at most")
+    # each prediction p and the ends p - e, p + e of its range (e = bias / w) as points of the line of the other's weight; with C and D that line's running
+    # sums of counts and of counts * prediction, the pairs of p are (bias - w p) (C(p) - C(p - e)) + w (D(p) - D(p - e)) and the like above p
+    counts = base.groupBy("pred", "weight").agg(F.count("*").cast("double").alias("c")).withColumn("line", F.explode(F.array(*map(F.lit, found))))
+    p, c, b, w = F.col("pred"), F.col("c"), F.lit(float(bias)), (F.col("weight") + F.col("line")) / 2
+    none, mine = F.lit(0.0), F.when(F.col("weight") == F.col("line"), F.col("c")).otherwise(0.0)
     points = F.array(
-        F.struct(p.alias("x"), c.alias("c"), (c * p).alias("d"), (-2 * p * c).alias("u"), (2 * c).alias("v")),
-        F.struct((p - b).alias("x"), none.alias("c"), none.alias("d"), (c * (p - b)).alias("u"), (-c).alias("v")),
-        F.struct((p + b).alias("x"), none.alias("c"), none.alias("d"), (c * (p + b)).alias("u"), (-c).alias("v")),
+        F.struct(p.alias("x"), mine.alias("c"), (mine * p).alias("d"), (-2 * w * p * c).alias("u"), (2 * w * c).alias("v")),
+        F.struct((p - b / w).alias("x"), none.alias("c"), none.alias("d"), (c * (w * p - b)).alias("u"), (-w * c).alias("v")),
+        F.struct((p + b / w).alias("x"), none.alias("c"), none.alias("d"), (c * (w * p + b)).alias("u"), (-w * c).alias("v")),
     )
-    line = stored(counts.select(F.explode(points).alias("e")).select("e.*").repartitionByRange("x").withColumn("part", F.spark_partition_id()), "margin")
-    totals = line.groupBy("part").agg(F.sum("c").alias("c0"), F.sum("d").alias("d0"))  # a row for each partition
-    ahead = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    before = totals.select("part", F.coalesce(F.sum("c0").over(ahead), none).alias("c0"), F.coalesce(F.sum("d0").over(ahead), none).alias("d0"))
-    run = Window.partitionBy("part").orderBy("x").rangeBetween(Window.unboundedPreceding, Window.currentRow)
-    at = line.select("*", F.sum("c").over(run).alias("cs"), F.sum("d").over(run).alias("ds")).join(F.broadcast(before), "part")
+    line = stored(counts.select("line", F.explode(points).alias("e")).select("line", "e.*").repartitionByRange("line", "x").withColumn("part", F.spark_partition_id()), "margin")
+    totals = line.groupBy("line", "part").agg(F.sum("c").alias("c0"), F.sum("d").alias("d0"))  # a row for each partition and line
+    ahead = Window.partitionBy("line").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    before = totals.select("line", "part", F.coalesce(F.sum("c0").over(ahead), none).alias("c0"), F.coalesce(F.sum("d0").over(ahead), none).alias("d0"))
+    run = Window.partitionBy("line", "part").orderBy("x").rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    at = line.select("*", F.sum("c").over(run).alias("cs"), F.sum("d").over(run).alias("ds")).join(before, ["line", "part"])
     near = at.agg(F.sum(F.col("u") * (F.col("cs") + F.col("c0")) + F.col("v") * (F.col("ds") + F.col("d0"))).alias("apart"))
     # equal predictions: r = -sign(target difference) times 0 leaves the bias, whatever r is; a prediction met at its own place counts once
     return sums.crossJoin(F.broadcast(near)).select("mse", "weighted_mse", "cosine_loss", (F.coalesce("apart", none) / (F.col("n") * F.col("n"))).alias("margin_loss"))  # one row each

@@ -37,7 +37,7 @@ def simhash(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFra
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(hi, pa.int64()), pa.array(lo, pa.int64())], names=[key, "hi", "lo"])
 
     own = docs.select(key, F.col(text).cast("string").alias(text))
-    return own.mapInArrow(rows, own.select(key, F.lit(0).cast("long").alias("hi"), F.lit(0).cast("long").alias("lo")).schema)
+    return own.mapInArrow(rows, own.select(key, F.lit(None).cast("long").alias("hi"), F.lit(None).cast("long").alias("lo")).schema)
 
 
 def hamming(hi: Column, lo: Column, other_hi: Column, other_lo: Column) -> Column:

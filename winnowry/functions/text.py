@@ -81,7 +81,7 @@ def ngrams(text: Column, n: int, step: int) -> Column:
 
 def ngram_lcs(a: Column, b: Column, least: int) -> Column:
     """The first block of the text of fewer bytes that the other contains: 100 characters 30 apart, then `least` 10 apart."""
-    first = F.octet_length(a) < F.octet_length(b)
+    first = F.octet_length(a) <= F.octet_length(b)
     short, long = F.when(first, a).otherwise(b), F.when(first, b).otherwise(a)
     found = [F.get(F.filter(ngrams(short, n, step), lambda g: F.contains(long, g) & ~F.contains(g, F.lit("\n"))), F.lit(0)) for n, step in ((100, 30), (least, 10))]
     return F.coalesce(*found)

@@ -12,7 +12,7 @@ def months(spark: SparkSession, start: str, end: str) -> DataFrame:
     """year, month, stamp yyyy/MM from end back to start; both dates are the first of a month, start not before August 2016."""
     if start < "2016-08-01":
         raise ValueError("releases begin in August 2016")
-    own = spark.range(1).select(F.explode(F.sequence(F.to_date(F.lit(start)), F.to_date(F.lit(end)), F.expr("interval 1 month"))).alias("day"))
+    own = spark.range(1).select(F.explode(F.sequence(F.to_date(F.lit(end)), F.to_date(F.lit(start)), F.expr("interval -1 month"))).alias("day"))
     return own.select(F.year("day").alias("year"), F.month("day").alias("month"), F.date_format("day", "yyyy/MM").alias("stamp"))
 
 

@@ -62,20 +62,39 @@ def paragraph_patterns(docs: DataFrame, cfg: Config = Config()) -> DataFrame:
 
 def _numbered(docs: DataFrame) -> DataFrame:
     """docs with a number of each row, `_row`; docs must be a table as read, stored or cached, as it is numbered more than once."""
+    _reserved(docs, "_row", "_drop", "_examples", "n_removed", "patterns")
     return docs.withColumn("_row", F.monotonically_increasing_id())
 
 
-def _without(own: DataFrame, hits: DataFrame, columns: list[str]) -> DataFrame:
-    """Numbered rows without the paragraphs at places hits (_row, pos), and n_removed; texts are cut within their rows."""
+def _without(own: DataFrame, hits: DataFrame, columns: list[str], examples: DataFrame | None = None) -> DataFrame:
+    """Numbered rows without the paragraphs at places hits (_row, pos), and n_removed; texts are cut within their rows.
+
+    examples (_row, pos, at, size): places of patterns, one each; `patterns` then has the texts of those that lie in a row.
+    """
     drop = hits.groupBy("_row").agg(F.collect_set("pos").alias("_drop"))
     found = own.join(drop, "_row", "left")
-    kept = F.filter(T.paragraphs(F.col("text")), lambda p, i: ~F.array_contains("_drop", i))
+    paras = T.paragraphs(F.col("text"))
+    kept = F.filter(paras, lambda p, i: ~F.array_contains("_drop", i))
     text = F.when(F.col("_drop").isNull(), F.col("text")).otherwise(F.array_join(kept, "\n"))
-    return found.select(*(text.alias(c) if c == "text" else F.col(c) for c in columns), F.coalesce(F.size("_drop"), F.lit(0)).cast("long").alias("n_removed"))
+    more = []
+    if examples is not None:
+        found = found.join(examples.groupBy("_row").agg(F.collect_list(F.struct("pos", "at", "size")).alias("_examples")), "_row", "left")
+        # in a step of its own: beside a new column text, the lambda would see that one
+        found = found.withColumn("patterns", F.transform("_examples", lambda e: F.substr(F.get(paras, e["pos"]), e["at"] + 1, e["size"])))
+        more = ["patterns"]
+    return found.select(*(text.alias(c) if c == "text" else F.col(c) for c in columns), F.coalesce(F.size("_drop"), F.lit(0)).cast("long").alias("n_removed"), *more)
+
 
+def _reserved(docs: DataFrame, *names: str) -> DataFrame:
+    """docs; raises an error where a column has a name that the step needs for itself."""
+    clash = {c.lower() for c in docs.columns} & {n.lower() for n in names}
+    if clash:
+        raise ValueError(f"columns must not be named {', '.join(sorted(clash))}")
+    return docs
 
-def dedup_paragraphs(docs: DataFrame, cfg: Config = Config()) -> DataFrame:
-    """docs with the shared paragraphs taken out, and n_removed.
+
+def dedup_paragraphs(docs: DataFrame, cfg: Config = Config(), examples: bool = False) -> DataFrame:
+    """docs with the shared paragraphs taken out, and n_removed; with `examples` also patterns: each paragraph that was taken out, in one row that had it.
 
     Each row is a document, repeated ids too; null texts stay null; rows with a null key stay as they are; further columns are kept.
     """
@@ -83,8 +102,14 @@ def dedup_paragraphs(docs: DataFrame, cfg: Config = Config()) -> DataFrame:
     own = _numbered(docs)
     patterns = paragraph_patterns(own.withColumn("doc_id", F.col("_row")), cfg).select(*keys, "para_md5")
     paras = own.select(*keys, "_row", F.posexplode(T.paragraphs(F.col("text"))).alias("pos", "para")).filter(F.octet_length("para") > 2)
-    hits = paras.select(*keys, "_row", "pos", F.md5(F.col("para").cast("binary")).alias("para_md5")).join(patterns, [*keys, "para_md5"]).select("_row", "pos")
-    return _without(own, hits, docs.columns)
+    hits = paras.select(*keys, "_row", "pos", F.md5(F.col("para").cast("binary")).alias("para_md5")).join(patterns, [*keys, "para_md5"])
+    if not examples:
+        return _without(own, hits.select("_row", "pos"), docs.columns)
+    from ..plans.session import stored
+
+    hits = stored(hits, "paragraph-hits")
+    first = hits.groupBy(*keys, "para_md5").agg(F.min(F.struct("_row", "pos")).alias("e")).select("e.*", F.lit(0).alias("at"), F.lit((1 << 31) - 1).alias("size"))
+    return _without(own, hits, docs.columns, first)
 
 
 def _folded(x: np.ndarray, n: int, join: Callable) -> np.ndarray:
@@ -102,21 +127,23 @@ def _hash(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def _blocks(paras: list[str], n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Of each block of n characters: its paragraph, its hash, and the least hash of the pieces of n // 2 characters in it."""
+def _blocks(paras: list[str], n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Of each block of n characters: its paragraph, its hash, the least hash of the pieces of n // 2 characters in it, and its place."""
     codes = np.frombuffer("".join(paras).encode("utf-32-le"), np.uint32).astype(np.uint64)
     if len(codes) < n:
-        return np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, np.uint64)
-    owner = np.repeat(np.arange(len(paras)), [len(p) for p in paras])
+        return np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, np.uint64), np.zeros(0, np.int64)
+    sizes = np.array([len(p) for p in paras])
+    owner = np.repeat(np.arange(len(paras)), sizes)
+    place = np.arange(len(codes)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
     own = owner[: len(owner) - n + 1] == owner[n - 1 :]
     anchor = _folded(_folded(codes, max(1, n // 2), _hash), n - max(1, n // 2) + 1, np.minimum)
-    return owner[: len(own)][own], _folded(codes, n, _hash)[own], anchor[own]
+    return owner[: len(own)][own], _folded(codes, n, _hash)[own], anchor[own], place[: len(own)][own]
 
 
 def _hashed(rows: DataFrame, cfg: Config, shared: Broadcast | None = None) -> DataFrame:
-    """keys, doc_id, pos and hash, once a paragraph: of anchors, or of the blocks whose anchors are in the filter `shared`."""
+    """keys, doc_id, pos, hash and at (its first place), once a paragraph: of anchors, or of the blocks whose anchors are in the filter `shared`."""
     names = [*cfg.keys, "doc_id", "pos"]
-    kinds = rows.select(*names).withColumn("hash", F.lit(0).cast("long")).schema
+    kinds = rows.select(*names).withColumns({"hash": F.lit(0).cast("long"), "at": F.lit(0)}).schema
     zeros = np.uint64((1 << cfg.block_bits) - 1)
 
     def emit(batches):
@@ -130,21 +157,21 @@ def _hashed(rows: DataFrame, cfg: Config, shared: Broadcast | None = None) -> Da
                     total += len(texts[k])
                     if total < 1 << 19 and k != todo[-1]:
                         continue
-                    of, block, anchor = _blocks([texts[x] for x in at], n)
+                    of, block, anchor, place = _blocks([texts[x] for x in at], n)
                     keep = block & zeros == 0
-                    of, block, anchor = of[keep], block[keep], anchor[keep]
+                    of, block, anchor, place = of[keep], block[keep], anchor[keep], place[keep]
                     if shared is not None:
                         keep = shared.value[(anchor & np.uint64((1 << ANCHOR_BITS) - 1)).astype(np.int64)]
-                        of, block = of[keep], block[keep]
+                        of, block, place = of[keep], block[keep], place[keep]
                     value = anchor if shared is None else block
-                    by = np.lexsort((value, of))
-                    of, value = of[by], value[by]
+                    by = np.lexsort((value, of))  # stable: the first place of a hash comes first
+                    of, value, place = of[by], value[by], place[by]
                     fresh = np.ones(len(of), bool)
                     fresh[1:] = (of[1:] != of[:-1]) | (value[1:] != value[:-1])
-                    of, value = of[fresh], value[fresh]
+                    of, value, place = of[fresh], value[fresh], place[fresh]
                     for lo in range(0, len(of), 1 << 16):
                         take = pa.array(np.array(at, np.int64)[of[lo : lo + (1 << 16)]])
-                        yield pa.RecordBatch.from_arrays([*(b.column(x).take(take) for x in names), pa.array(value[lo : lo + (1 << 16)].view(np.int64))], names=[*names, "hash"])
+                        yield pa.RecordBatch.from_arrays([*(b.column(x).take(take) for x in names), pa.array(value[lo : lo + (1 << 16)].view(np.int64)), pa.array(place[lo : lo + (1 << 16)].astype(np.int32))], names=[*names, "hash", "at"])
                     at, total = [], 0
 
     return rows.mapInArrow(emit, kinds)
@@ -178,14 +205,25 @@ def block_patterns(docs: DataFrame, cfg: Config = Config()) -> DataFrame:
     return _shared(_candidates(docs, cfg), docs, cfg)
 
 
-def dedup_blocks(docs: DataFrame, cfg: Config = Config()) -> DataFrame:
-    """docs without the paragraphs that hold a shared block, and n_removed; rows as in dedup_paragraphs."""
+def dedup_blocks(docs: DataFrame, cfg: Config = Config(), examples: bool = False) -> DataFrame:
+    """docs without the paragraphs that hold a shared block, and n_removed; rows as in dedup_paragraphs.
+
+    With `examples` also patterns: each block that is the first shared one of a paragraph, in one row that had it.
+    """
     keys = list(cfg.keys)
     own = _numbered(docs)
     plain = own.withColumn("doc_id", F.col("_row"))
     blocks = _candidates(plain, cfg)
-    hits = blocks.join(_shared(blocks, plain, cfg).select(*keys, "hash"), [*keys, "hash"], "left_semi").select(F.col("doc_id").alias("_row"), "pos").distinct()
-    return _without(own, hits, docs.columns)
+    found = blocks.join(_shared(blocks, plain, cfg).select(*keys, "hash"), [*keys, "hash"], "left_semi").withColumnRenamed("doc_id", "_row")
+    if not examples:
+        return _without(own, found.select("_row", "pos").distinct(), docs.columns)
+    from ..plans.session import stored
+
+    hits = stored(found.groupBy(*keys, "_row", "pos").agg(F.min(F.struct("at", "hash")).alias("b")).select(*keys, "_row", "pos", "b.at", "b.hash"), "block-hits")
+    size = F.when(F.col("language") == "zh", cfg.block_zh).otherwise(cfg.block)
+    if "language" not in keys:
+        hits = hits.join(own.select("_row", "language"), "_row")
+    return _without(own, hits, docs.columns, hits.groupBy(*{**dict.fromkeys(keys), "language": None}, "hash").agg(F.min(F.struct("_row", "pos", "at")).alias("e")).select("e.*", size.alias("size")))
 
 
 def flagged(docs: DataFrame, cfg: Config = Config()) -> DataFrame:
@@ -223,15 +261,18 @@ def refine(docs: DataFrame, cfg: Config = Config()) -> DataFrame:
     return kept.join(clean, list(cfg.keys), "left_semi").select(*docs.columns, "paralen")
 
 
-def rounds(docs: DataFrame, hits: Column, cfg: Config = Config(), most: int = 2, sens_gate: float = 0.1) -> dict[str, DataFrame]:
+def rounds(docs: DataFrame, hits: Column, cfg: Config = Config(), most: int = 2, sens_gate: float = 0.1, detector: Callable[[Column], Column] | None = None) -> dict[str, DataFrame]:
     """The whole refinement, step by step: what is left of docs after each of the steps, by name, the last one "kept".
 
-    hits: how many bad words a row has. Repeated spans go; then rows of more than `most` bad words, and groups of which they are more than sens_gate;
+    hits: how many bad words a row has, or an array of them, which is kept as bad_words. detector: struct<lang, score> of a text, for what is left of it. "paras_cut" and
+    "blocks_cut" are the rows before short texts go, with patterns: what was taken out, each in one row. Repeated spans go; then rows of more than `most` bad words, and groups of which they are more than sens_gate;
     then short texts. Groups of which less than cfg.gate is left go before shared paragraphs and before shared blocks are taken
     out, with short texts after each. At last short lines and short paragraphs go, and groups of which less than cfg.final_gate is left.
     """
     from ..plans.session import stored
 
+    _reserved(docs, "_all", "_n", "_share", "n_hits", "bad_words", "orig_textlen", "para_removed", "block_removed", "paralen", "textlen", "text_ret_rate")
+    listed = dict(docs.select(hits.alias("h")).dtypes)["h"].startswith("array")
     keys, t = list(cfg.keys), F.col("text")
     full = T.textlen_bytes(t) >= T.least_textlen(F.col("language"))
     totals = docs.groupBy(*keys).agg(F.count("*").alias("_all"))
@@ -240,48 +281,77 @@ def rounds(docs: DataFrame, hits: Column, cfg: Config = Config(), most: int = 2,
         groups = rows.groupBy(*keys).agg(F.count("*").alias("_n")).join(totals, keys).filter(F.col("_n") >= share * F.col("_all")).select(*keys)
         return rows.join(groups, keys, "left_semi")
 
-    own = docs.select("*", hits.alias("n_hits"), T.textlen_bytes(t).alias("orig_textlen"))
+    own = docs.select("*", *([hits.alias("bad_words")] if listed else []), T.textlen_bytes(t).alias("orig_textlen"))
+    own = own.withColumn("n_hits", F.size("bad_words") if listed else hits)
     span = stored(own.filter(~T.has_repeated_spans(t)), "round-span")
     clean = span.groupBy(*keys).agg((F.count_if(F.col("n_hits") > most) / F.count("*")).alias("_share")).filter(F.col("_share") <= sens_gate).select(*keys)
     sens = span.filter(F.col("n_hits") <= most).join(clean, keys, "left_semi")
     text = sens.filter(full)
-    paras = stored(dedup_paragraphs(stored(gated(text, cfg.gate), "round-text"), cfg).withColumnRenamed("n_removed", "para_removed").filter(full), "round-paras")
-    blocks = stored(dedup_blocks(stored(gated(paras, cfg.gate), "round-gate"), cfg).withColumnRenamed("n_removed", "block_removed").filter(full), "round-blocks")
+    paras_cut = stored(dedup_paragraphs(stored(gated(text, cfg.gate), "round-text"), cfg, True).withColumnRenamed("n_removed", "para_removed"), "round-paras")
+    paras = paras_cut.drop("patterns").filter(full)
+    blocks_cut = stored(dedup_blocks(stored(gated(paras, cfg.gate), "round-gate"), cfg, True).withColumnRenamed("n_removed", "block_removed"), "round-blocks")
+    blocks = blocks_cut.drop("patterns").filter(full)
     lines = blocks.filter(~T.has_short_lines(t))
     ends = lines.filter(T.paralen(t) > cfg.least_paralen)
     out = gated(ends, cfg.final_gate).select("*", T.paralen(t).alias("paralen"), T.textlen_bytes(t).alias("textlen"), (F.octet_length("text") / F.col("orig_textlen")).alias("text_ret_rate"))
-    return {"all": docs, "span": span, "sens": sens, "text": text, "paras": paras, "blocks": blocks, "lines": lines, "paralen": ends, "kept": out}
+    if detector is not None:
+        after = detector(t)
+        out = out.withColumns({"lang_after_dedup": after["lang"], "dedup_after_lang_score": after["score"]})
+    return {"all": docs, "paras_cut": paras_cut, "blocks_cut": blocks_cut, "span": span, "sens": sens, "text": text, "paras": paras, "blocks": blocks, "lines": lines, "paralen": ends, "kept": out}
 
 
 def round_stats(steps: dict[str, DataFrame], cfg: Config = Config()) -> DataFrame:
     """For each group: rows left after each step (n_<step>), paragraphs and blocks taken out, and means over the rows kept."""
     keys = list(cfg.keys)
     out = steps["all"].groupBy(*keys).agg(F.count("*").alias("orig_len"))
+    counted = [k for k in steps if k not in ("all", "kept", "paras_cut", "blocks_cut")]
     for name, rows in steps.items():
-        if name not in ("all", "kept"):
+        if name in counted:
             out = out.join(rows.groupBy(*keys).agg(F.count("*").alias(f"n_{name}")), keys, "left")
     kept = steps["kept"].groupBy(*keys).agg(
         F.count("*").alias("len"), F.sum("para_removed").alias("num_dedup_para"), F.sum("block_removed").alias("num_dedup_block"),
         F.round(F.avg("paralen"), 6).alias("avg_paralen"), F.round(F.avg("text_ret_rate"), 6).alias("avg_text_ret_rate"),
     )
-    counts = ["len", "num_dedup_para", "num_dedup_block", *(f"n_{k}" for k in steps if k not in ("all", "kept"))]
+    counts = ["len", "num_dedup_para", "num_dedup_block", *(f"n_{k}" for k in counted)]
     return out.join(kept, keys, "left").na.fill(0, counts)
 
 
+def group_patterns(steps: dict[str, DataFrame], cfg: Config = Config()) -> DataFrame:
+    """For each group: orig_len, num_sens, sens_patterns (the bad words found), num_dedup_para, num_dedup_block, dedup_patterns (the paragraphs and blocks
+    taken out, each once), and over the rows kept len, avg_lang_score, avg_dedup_after_lang_score, avg_paralen and avg_text_ret_rate, where their columns are there.
+
+    Patterns are sorted. A group's lists are as long as it has different patterns, so they suit groups such as a domain's documents in a language.
+    """
+    keys = list(cfg.keys)
+    out = steps["all"].groupBy(*keys).agg(F.count("*").alias("orig_len"))
+    sens = steps["span"].groupBy(*keys).agg(F.count("*").alias("_span")).join(steps["sens"].groupBy(*keys).agg(F.count("*").alias("_left")), keys, "left")
+    out = out.join(sens.select(*keys, (F.col("_span") - F.coalesce("_left", F.lit(0))).alias("num_sens")), keys, "left")
+    if "bad_words" in steps["span"].columns:
+        words = steps["span"].select(*keys, F.explode(F.array_distinct("bad_words")).alias("w")).distinct()
+        out = out.join(words.groupBy(*keys).agg(F.array_sort(F.collect_list("w")).alias("sens_patterns")), keys, "left")
+    cut = [steps[k].select(*keys, F.explode("patterns").alias("p")) for k in ("paras_cut", "blocks_cut")]
+    out = out.join(cut[0].unionByName(cut[1]).distinct().groupBy(*keys).agg(F.array_sort(F.collect_list("p")).alias("dedup_patterns")), keys, "left")
+    means = {"avg_lang_score": "lang_score", "avg_dedup_after_lang_score": "dedup_after_lang_score", "avg_paralen": "paralen", "avg_text_ret_rate": "text_ret_rate"}
+    kept = steps["kept"]
+    out = out.join(kept.groupBy(*keys).agg(F.count("*").alias("len"), F.sum("para_removed").alias("num_dedup_para"), F.sum("block_removed").alias("num_dedup_block"), *(F.avg(F.col(c).cast("double")).alias(k) for k, c in means.items() if c in kept.columns)), keys, "left")
+    return out.na.fill(0, ["num_sens", "len", "num_dedup_para", "num_dedup_block"])
+
+
 def is_dirty(stats_row: dict[str, Column] | None = None) -> Column:
     """The inspection rule over statistics: few documents, low quality, short paragraphs, or little left."""
     return (F.col("len") < 0.1) | (F.col("avg_quality") < 0) | (F.col("avg_paralen") < 20) | (F.col("len") / F.col("orig_len") < 0.3)
 
 
-def screen_bad_words(docs: DataFrame, hits: DataFrame, cfg: Config = Config(), most: int = 2, gate: float = 0.1, first: int | None = None) -> DataFrame:
-    """doc_id, keys, flagged, group_dirty from hits (doc_id, n_hits); `first` documents of a group, or all, set the gate."""
+def screen_bad_words(docs: DataFrame, hits: Column, cfg: Config = Config(), most: int = 2, gate: float = 0.1, first: int | None = None) -> DataFrame:
+    """doc_id, keys, flagged, group_dirty of each row, repeated ids too; hits: how many bad words a row has (null: none). `first` documents of a group, or all, set the gate."""
     from pyspark.sql import Window
 
-    own = docs.join(hits, "doc_id", "left").withColumn("flagged", F.coalesce(F.col("n_hits"), F.lit(0)) > most)
+    from ..plans.session import stored
+
+    own = stored(docs.select("doc_id", *cfg.keys, (F.coalesce(hits, F.lit(0)) > most).alias("flagged")), "flags")
+    seen = own
     if first is not None:
-        own = own.withColumn("rank", F.row_number().over(Window.partitionBy(*cfg.keys).orderBy("doc_id")))
-        seen = own.filter(F.col("rank") <= first)
-    else:
-        seen = own
-    gates = seen.groupBy(*cfg.keys).agg((F.count_if("flagged") / F.count("*") > gate).alias("group_dirty"))
-    return own.join(gates, list(cfg.keys)).select("doc_id", *cfg.keys, "flagged", "group_dirty")
+        seen = own.withColumn("_rank", F.row_number().over(Window.partitionBy(*cfg.keys).orderBy("doc_id"))).filter(F.col("_rank") <= first)
+    gates = seen.groupBy(*(F.col(k).alias(f"_{k}") for k in cfg.keys)).agg((F.count_if("flagged") / F.count("*") > gate).alias("group_dirty"))
+    same = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in cfg.keys]
+    return own.join(gates, same).select("doc_id", *cfg.keys, "flagged", "group_dirty")

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions import scores
+
 
 def draw(key: Column, seed: int = 0) -> Column:
     """A number in (0, 1) for each key."""
@@ -31,6 +33,31 @@ def weighted(rows: DataFrame, weight: str, key: str, k: int, seed: int = 0, labe
     return own.withColumn("_n", F.row_number().over(order)).filter(F.col("_n") <= k).drop("_n", "_rank")
 
 
+def by_disagreement(rows: DataFrame, draws: str, key: str, k: int, seed: int = 0, *, easy: bool = False, label: str | None = None) -> DataFrame:
+    """k rows, or k of each label, without replacement, with chances by how much their draws (an array of probabilities) disagree (BALD).
+
+    easy: by how little, 1 less the disagreement; with labels, of disagreement scaled to 0 .. 1 over all rows. Adds weight.
+    """
+    own = rows.withColumn("weight", scores.bald(F.col(draws)))
+    if label is not None:
+        own = min_max(own, "weight", "weight_scaled").withColumn("weight", F.col("weight_scaled")).drop("weight_scaled")
+    own = own.withColumn("weight", F.greatest(F.lit(0.0), 1 - F.col("weight") if easy else F.col("weight")))
+    return weighted(own, "weight", key, k, seed, label)
+
+
+def by_score(rows: DataFrame, score: str, label: str, key: str, k: int, seed: int = 0) -> DataFrame:
+    """k rows of each of the labels 0 and 1, with chances by score in 1 and by 1 less the score in 0. Adds weight."""
+    own = rows.withColumn("weight", F.greatest(F.lit(0.0), F.when(F.col(label) == 0, 1 - F.col(score)).otherwise(F.col(score))))
+    return weighted(own, "weight", key, k, seed, label)
+
+
+def two_stage(placed: DataFrame, files: int, k: int, seed: int = 0) -> DataFrame:
+    """k rows of `files` files, both drawn without replacement, of rows with file_path and place (see sources.sinks.placed)."""
+    name = F.element_at(F.split("file_path", "/"), -1)
+    chosen = placed.select("file_path").distinct().orderBy(draw(name, seed), "file_path").limit(files)
+    return placed.join(chosen, "file_path", "left_semi").orderBy(draw(F.concat_ws(":", name, F.col("place").cast("string")), seed), "file_path", "place").limit(k)
+
+
 def with_replacement(rows: DataFrame, weight: str, key: str, k: int, seed: int = 0) -> DataFrame:
     """k draws by weight: key and how often it is drawn.
 

@@ -14,7 +14,8 @@ from ..functions import heads, lang, lexicon, scores, url
 from ..functions import text as T
 from ..functions.simhash import simhash as simhash_of
 from ..operators import clusters, neardup, paths, predict, refine, sampling, scoring
-from ..sources import archives, wet
+from ..sources import archives, sinks, wet
+from ..streaming import neardup as streamed
 from .session import shared_folder, stored, table
 
 QUERIES = {}
@@ -161,9 +162,14 @@ def refine_documents(spark, sf):
     return refine.refine(documents(spark, sf)).select("doc_id", "paralen")
 
 
-@query(f"WITH {FLAGS} SELECT domain, language, len < 0.1 OR avg_paralen < 20 OR len / orig_len < 0.3 AS dirty FROM s")
+@query(f"""WITH {FLAGS}, q AS (SELECT source AS domain, lang AS language, avg(2 * quality - 1) AS avg_quality FROM documents JOIN labels USING (doc_id) GROUP BY 1, 2)
+SELECT domain, language, coalesce(len < 0.1 OR coalesce(avg_quality, 0) < 0 OR avg_paralen < 20 OR len / orig_len < 0.3, false) AS dirty FROM s LEFT JOIN q USING (domain, language)""")
 def dirty_rule(spark, sf):
-    return refine.stats(documents(spark, sf)).withColumn("avg_quality", F.lit(0.0)).select("domain", "language", refine.is_dirty().alias("dirty"))
+    """The inspection rule over statistics and the labels' mean quality in -1 .. 1, 0 without labels."""
+    own = documents(spark, sf)
+    quality = own.select("doc_id", "domain", "language").join(table(spark, sf, "labels").select("doc_id", (2 * F.col("quality") - 1).alias("q")), "doc_id").groupBy("domain", "language").agg(F.avg("q").alias("q"))
+    found = refine.stats(own).join(quality, ["domain", "language"], "left").withColumn("avg_quality", F.coalesce("q", F.lit(0.0)))
+    return found.select("domain", "language", F.coalesce(refine.is_dirty(), F.lit(False)).alias("dirty"))
 
 
 WORDS = {"en": ["stupid", "idiot", "moron", "trash"], "de": ["schein", "heit"], "fr": ["eaux", "ment"]}
@@ -182,9 +188,7 @@ def badword_hits(spark, sf):
 @query(f"""WITH h AS (SELECT doc_id, source AS domain, lang AS language, ({COUNTS}) > 2 AS flagged FROM documents), g AS (SELECT domain, language, count(*) FILTER (flagged) / count(*) > 0.1 AS group_dirty FROM h GROUP BY 1, 2)
 SELECT doc_id, domain, language, flagged, group_dirty FROM h JOIN g USING (domain, language)""")
 def badword_screen(spark, sf):
-    own = documents(spark, sf)
-    hits = own.select("doc_id", F.size(lexicon.find_matches(F.col("text"), F.col("language"), tries())).alias("n_hits"))
-    return refine.screen_bad_words(own, hits)
+    return refine.screen_bad_words(documents(spark, sf), F.size(lexicon.find_matches(F.col("text"), F.col("language"), tries())))
 
 
 LISTS = "CASE lang " + " ".join(f"WHEN '{k}' THEN {v}" for k, v in WORDS.items()) + " ELSE []::VARCHAR[] END"
@@ -236,11 +240,6 @@ def exact_hash_first(spark, sf):
     return neardup.first_of_hash(simhash_of(table(spark, sf, "documents")))
 
 
-@query("SELECT doc_id, n_chars FROM documents ORDER BY n_chars DESC, doc_id LIMIT 1000")
-def top_quality(spark, sf):
-    return table(spark, sf, "documents").select("doc_id", "n_chars").orderBy(F.desc("n_chars"), "doc_id").limit(1000)
-
-
 @query("SELECT source AS domain FROM documents WHERE doc_id % 7 = 0 UNION SELECT source FROM documents WHERE lang = 'es'")
 def blacklist_union(spark, sf):
     own = documents(spark, sf)
@@ -263,7 +262,7 @@ def _lcs(n: int, step: int) -> str:
     return f"CASE WHEN length(s) >= {n} THEN list_filter(list_transform(range(1, length(s) - {n} + 2, {step}), lambda i: substring(s, i, {n})), lambda g: contains(l, g) AND NOT contains(g, chr(10)))[1] END"
 
 
-@query(f"""WITH p AS (SELECT a.doc_id, CASE WHEN strlen(a.text) < strlen(b.text) THEN a.text ELSE b.text END AS s, CASE WHEN strlen(a.text) < strlen(b.text) THEN b.text ELSE a.text END AS l FROM documents a JOIN documents b ON b.doc_id = a.doc_id + 1)
+@query(f"""WITH p AS (SELECT a.doc_id, CASE WHEN strlen(a.text) <= strlen(b.text) THEN a.text ELSE b.text END AS s, CASE WHEN strlen(a.text) <= strlen(b.text) THEN b.text ELSE a.text END AS l FROM documents a JOIN documents b ON b.doc_id = a.doc_id + 1)
 SELECT doc_id, coalesce({_lcs(100, 30)}, {_lcs(10, 10)}) AS block FROM p""")
 def ngram_lcs(spark, sf):
     own = table(spark, sf, "documents").select("doc_id", "text")
@@ -334,15 +333,39 @@ def bald_acquisition(spark, sf):
     return table(spark, sf, "documents").select("doc_id", F.round(scores.bald(draws()), 6).alias("bald"))
 
 
+U = "ln((('0x' || substr(md5('{}:' || doc_id::VARCHAR), 1, 8))::BIGINT + 1)::DOUBLE / 4294967297.0::DOUBLE)"
+BALD = f"""d AS (SELECT doc_id, lang, {DRAWS} AS y FROM documents), m AS (SELECT doc_id, lang, y, list_sum(y) / 8 AS p FROM d),
+bald AS (SELECT doc_id, lang, -(p * ln(p + 1e-10) + (1 - p) * ln(1 - p + 1e-10)) + list_sum(list_transform(y, lambda v: v * ln(v + 1e-10) + (1 - v) * ln(1 - v + 1e-10))) / 8 AS b FROM m)"""
+
+
+@query(f"""WITH {BALD}, c AS (SELECT doc_id, lang, 1 - (b - min(b) OVER ()) / (max(b) OVER () - min(b) OVER ()) AS e, b FROM bald),
+h AS (SELECT doc_id, 'hard' AS kind FROM bald WHERE b > 0 ORDER BY {U.format(4)} / b DESC, doc_id LIMIT 40), e AS (SELECT doc_id, 'easy' AS kind FROM (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY {U.format(5)} / e DESC, doc_id) AS n FROM c WHERE e > 0) WHERE n <= 10)
+SELECT * FROM h UNION ALL SELECT * FROM e""")
+def bald_samples(spark, sf):
+    """Rows drawn by how much their predictions disagree, and of each language by how little."""
+    own = table(spark, sf, "documents").select("doc_id", "lang", draws().alias("y"))
+    hard = sampling.by_disagreement(own, "y", "doc_id", 40, 4)
+    easy = sampling.by_disagreement(own, "y", "doc_id", 10, 5, easy=True, label="lang")
+    return hard.select("doc_id", F.lit("hard").alias("kind")).unionByName(easy.select("doc_id", F.lit("easy").alias("kind")))
+
+
+@query(f"""SELECT doc_id, quality FROM (SELECT *, row_number() OVER (PARTITION BY quality ORDER BY {U.format(6)} / w DESC, doc_id) AS n FROM (SELECT doc_id, quality, CASE WHEN quality = 0 THEN 1 - s ELSE s END AS w
+FROM (SELECT doc_id, quality, ('0x' || substr(md5(doc_id::VARCHAR), 1, 4))::INTEGER / 65536.0::DOUBLE AS s FROM labels)) WHERE w > 0) WHERE n <= 15""")
+def score_sample(spark, sf):
+    """Rows of each label drawn by score."""
+    own = table(spark, sf, "labels").select("doc_id", "quality", (F.conv(F.substring(md5(F.col("doc_id").cast("string")), 1, 4), 16, 10).cast("double") / 65536.0).alias("score"))
+    return sampling.by_score(own, "score", "quality", "doc_id", 15, 6).select("doc_id", "quality")
+
+
 PREDICTED = "r AS (SELECT l.doc_id, l.quality::DOUBLE AS target, ('0x' || substr(md5(l.doc_id::VARCHAR), 1, 4))::INTEGER / 65536.0::DOUBLE AS pred, 0.5::DOUBLE + l.toxic AS weight FROM labels l)"
 
 
-@query(f"""WITH {PREDICTED}, m AS (SELECT sum(greatest(0, 0.1 - CASE WHEN a.pred > b.pred THEN 1 WHEN a.pred < b.pred THEN -1 ELSE -sign(a.target - b.target) END * (a.pred - b.pred))) AS s FROM r a, r b)
+@query(f"""WITH {PREDICTED}, m AS (SELECT sum(greatest(0, 0.1 - CASE WHEN a.pred > b.pred THEN 1 WHEN a.pred < b.pred THEN -1 ELSE -sign(a.target - b.target) END * (a.weight + b.weight) / 2 * (a.pred - b.pred))) AS s FROM r a, r b)
 SELECT round(avg((pred - target) * (pred - target)), 6) AS mse, round(avg((pred - target) * (pred - target) * weight), 6) AS weighted_mse, round(1 - sum(pred * target) / sqrt(sum(pred * pred) * sum(target * target)), 6) AS cosine_loss,
 round((SELECT s FROM m) / (count(*) * count(*)), 6) AS margin_loss FROM r""")
 def losses(spark, sf):
     own = table(spark, sf, "labels").select(F.col("quality").alias("target"), (F.conv(F.substring(md5(F.col("doc_id").cast("string")), 1, 4), 16, 10).cast("double") / 65536.0).alias("pred"), (F.col("toxic") + F.lit(0.5)).alias("weight"))
-    out = scores.losses(own, 0.1)
+    out = scores.losses(own, 0.1, weighted=True)
     return out.select(*(F.round(c, 6).alias(c) for c in out.columns))
 
 
@@ -398,11 +421,6 @@ def reverse_domain(spark, sf):
     return table(spark, sf, "pages").select("page_id", url.reverse_host(url.host(F.col("url"))).alias("reversed_host"))
 
 
-@query("SELECT doc_id, lang IN ('fr', 'es') AS target FROM documents")
-def lang_partition(spark, sf):
-    return documents(spark, sf).select("doc_id", F.col("language").isin("fr", "es").alias("target"))
-
-
 @query("SELECT doc_id, ((row_number() OVER (ORDER BY doc_id) - 1) // 64)::BIGINT AS batch FROM documents QUALIFY row_number() OVER (ORDER BY doc_id) <= (SELECT count(*) - count(*) % 64 FROM documents)")
 def maxrecords_batches(spark, sf):
     return sampling.batches(table(spark, sf, "documents").select("doc_id"), "doc_id", 64, whole=True)
@@ -435,6 +453,11 @@ def _drawn(key: str) -> str:
     return f"('0x' || substr(md5('{key}' || doc_id::VARCHAR), 1, 4))::INTEGER / 65536.0::DOUBLE"
 
 
+@query(f"SELECT doc_id, lang_after_dedup = 'fr' OR (language = 'fr' AND lang_score > 0.6) AS target FROM (SELECT doc_id, lang AS language, CASE WHEN {_drawn('a')} < 0.2 THEN 'unknown' ELSE lang END AS lang_after_dedup, {_drawn('b')} AS lang_score FROM documents)")
+def lang_partition(spark, sf):
+    return refined(spark, sf).select("doc_id", predict.is_target("fr").alias("target"))
+
+
 TARGETS = f"SELECT doc_id, lang_after_dedup = 'fr' OR (language = 'fr' AND lang_score > 0.6) AS target FROM (SELECT doc_id, lang AS language, CASE WHEN {_drawn('a')} < 0.2 THEN 'unknown' ELSE lang END AS lang_after_dedup, {_drawn('b')} AS lang_score, {_drawn('c')} AS score FROM documents) WHERE score > 0.6"
 
 
@@ -465,6 +488,13 @@ def window_scores(spark, sf):
     return found.select("doc_id", F.size("scores").cast("long").alias("n_windows"), F.round(mean, 9).alias("mean_score"))
 
 
+@query(f"""WITH t AS (SELECT doc_id, {WORD_IDS.format("text")} AS ids FROM documents) SELECT doc_id, round((list_sum(ids) - 104 * len(ids)) / len(ids) / 30000, 9) AS score FROM t WHERE len(ids) BETWEEN 1 AND 510 ORDER BY score DESC, doc_id LIMIT 1000""")
+def top_quality(spark, sf):
+    """The best scored of the documents that fit in one window."""
+    found = scoring.score(documents(spark, sf), scoring.by_window(scoring.hashed_words, 512), scoring.mean_id, batch=24)
+    return found.filter(F.size("scores") == 1).select("doc_id", F.round(F.get("scores", F.lit(0)), 9).alias("score")).orderBy(F.desc("score"), "doc_id").limit(1000)
+
+
 def refined(spark: SparkSession, sf: str) -> DataFrame:
     """Documents as refined rows, with made-up language scores."""
     return documents(spark, sf).select("doc_id", "text", "language", F.when(_draw("a") < 0.2, "unknown").otherwise(F.col("language")).alias("lang_after_dedup"), _draw("b").alias("lang_score"), _draw("c").alias("dedup_after_lang_score"))
@@ -562,13 +592,13 @@ def flat_names(spark, sf):
 
 @query("SELECT file, place, doc_id FROM (SELECT doc_id, doc_id // 100 AS file, (row_number() OVER (PARTITION BY doc_id // 100 ORDER BY doc_id) - 1)::BIGINT AS place FROM documents) WHERE place % 7 = file % 7")
 def selected_rows(spark, sf):
-    """Rows at chosen places of each file."""
+    """Rows at chosen places of files of JSON lines, a file for each hundred ids."""
+    folder = f"{shared_folder(spark).rstrip('/')}/places-{uuid.uuid4().hex}"
     own = table(spark, sf, "documents").select("doc_id", F.floor(F.col("doc_id") / 100).cast("long").alias("file"))
-    from pyspark.sql import Window
-
-    placed = own.withColumn("place", (F.row_number().over(Window.partitionBy("file").orderBy("doc_id")) - 1).cast("long"))
-    chosen = placed.filter("place % 7 = file % 7").select("file", "place")
-    return placed.join(chosen, ["file", "place"], "left_semi").select("file", "place", "doc_id")
+    own.repartition("file").sortWithinPartitions("file", "doc_id").write.partitionBy("file").json(folder)
+    rows = sinks.placed(spark.read.schema("doc_id long, file long").json(folder))
+    chosen = rows.filter("place % 7 = file % 7").select("file_path", "place")
+    return sinks.gather(spark.read.schema("doc_id long, file long").json(folder), chosen).select("file", "place", "doc_id")
 
 
 @query("SELECT doc_id, md5(substring(text, 1, 512)) AS text_md5 FROM documents ORDER BY ('0x' || substr(md5('5:' || doc_id::VARCHAR), 1, 8))::BIGINT, doc_id LIMIT 20")
@@ -708,3 +738,51 @@ def extract_wet(spark, sf):
     found = archives.extracted(rows, lang.decoded, _voted, ["en", "de", "fr"], hosts.filter("doc_id % 97 = 0"), large)
     archives.write_by_domain(found, f"{folder}/by-domain")
     return spark.read.parquet(f"{folder}/by-domain").select(F.element_at(F.split("uri", "/"), -1).cast("long").alias("doc_id"), "language", "domain", md5("text").alias("text_md5"))
+
+
+SHARE = f"round((list_max([{', '.join(f"(length(text) - length(replace(text, '{w}', ''))) // {len(w)}" for w in SIGNS.values())}]) / nullif(list_sum([{', '.join(f"(length(text) - length(replace(text, '{w}', ''))) // {len(w)}" for w in SIGNS.values())}]), 0))::DOUBLE, 6)"
+
+
+def _shares(text: F.Column) -> F.Column:
+    """A detector as an expression: the language whose sign stands most often in a text, and its share of all signs."""
+    counts = [F.floor((F.length(text) - F.length(F.replace(text, F.lit(w), F.lit("")))) / len(w)) for w in SIGNS.values()]
+    return F.struct(_voted(text)["lang"].alias("lang"), F.round(F.try_divide(F.greatest(*counts), sum(counts[1:], counts[0])), 6).alias("score"))
+
+
+FOUND = " UNION ALL ".join(f"SELECT lang, '{w}' AS w FROM a WHERE lang = '{k}' AND contains(text, '{w}')" for k, v in WORDS.items() for w in v)
+
+
+@query(f"""WITH {ROUNDS}, sw AS (SELECT DISTINCT lang, w FROM ({FOUND})), fb AS (SELECT lang, doc_id, pos, arg_min(x, i) AS x FROM (SELECT gr.lang, gr.doc_id, gr.pos, gr.x, gr.i FROM (SELECT *, unnest(range(1, length(para) - 49)) AS i, substring(para, i, 50) AS x FROM e_p WHERE length(para) >= 50) gr JOIN bl ON bl.lang = gr.lang AND bl.x = gr.x) GROUP BY 1, 2, 3),
+dp AS (SELECT lang, x FROM fb UNION SELECT lang, para FROM g_p JOIN pat USING (lang, para)),
+ks AS (SELECT k.lang, count(*) AS len, sum(para_removed)::BIGINT AS num_dedup_para, sum(block_removed)::BIGINT AS num_dedup_block, round(avg((SELECT {SHARE} FROM documents d WHERE d.doc_id = k.doc_id)), 6) AS avg_lang_score, round(avg({SHARE}), 6) AS avg_dedup_after_lang_score, round(avg(paralen), 6) AS avg_paralen, round(avg(strlen(text) / orig_textlen), 6) AS avg_text_ret_rate FROM k GROUP BY k.lang)
+SELECT tot.lang AS language, n0 AS orig_len, (SELECT count(*) FROM a WHERE a.lang = tot.lang) - (SELECT count(*) FROM s WHERE s.lang = tot.lang) AS num_sens, (SELECT string_agg(w, ',' ORDER BY w) FROM sw WHERE sw.lang = tot.lang) AS sens_patterns,
+(SELECT count(*) FROM dp WHERE dp.lang = tot.lang) AS n_patterns, (SELECT md5(string_agg(x, chr(10) ORDER BY x)) FROM dp WHERE dp.lang = tot.lang) AS dedup_patterns_md5, coalesce(len, 0) AS len, coalesce(num_dedup_para, 0) AS num_dedup_para, coalesce(num_dedup_block, 0) AS num_dedup_block,
+avg_lang_score, avg_dedup_after_lang_score, avg_paralen, avg_text_ret_rate FROM tot LEFT JOIN ks ON ks.lang = tot.lang""")
+def group_patterns(spark, sf):
+    """Statistics of the whole refinement with the texts of the patterns that were found and taken out."""
+    own = documents(spark, sf).withColumn("lang_score", _shares(F.col("text"))["score"])
+    steps = refine.rounds(own, lexicon.find_matches(F.col("text"), F.col("language"), tries()), BY_LANGUAGE, detector=_shares)
+    out = refine.group_patterns(steps, BY_LANGUAGE)
+    means = [F.round(c, 6).alias(c) for c in ("avg_lang_score", "avg_dedup_after_lang_score", "avg_paralen", "avg_text_ret_rate")]
+    texts = [F.array_join("sens_patterns", ",").alias("sens_patterns"), F.coalesce(F.size("dedup_patterns"), F.lit(0)).cast("long").alias("n_patterns"), md5(F.array_join("dedup_patterns", "\n")).alias("dedup_patterns_md5")]
+    return out.select("language", "orig_len", "num_sens", *texts, "len", "num_dedup_para", "num_dedup_block", *means)
+
+
+@query(f"WITH RECURSIVE {PAIRS} SELECT a, b, distance FROM p")
+def neardup_stream(spark, sf):
+    """Near pairs found by a stream that reads a file of documents at a time."""
+    folder = f"{shared_folder(spark).rstrip('/')}/stream-{uuid.uuid4().hex}"
+    table(spark, sf, "documents").select("doc_id", "text").repartition(3).write.parquet(f"{folder}/in")
+    streamed.run(spark, f"{folder}/in", "doc_id long, text string", f"{folder}/out", files=1)
+    hashes, found = spark.read.parquet(f"{folder}/out/hashes"), spark.read.schema(streamed.LINK).parquet(f"{folder}/out/links")
+    return streamed.pairs(hashes, found)
+
+
+@query("""WITH g AS (SELECT source, ceil(count(*) / 40) AS k FROM documents GROUP BY source), r AS (SELECT doc_id, source, ('0x' || substr(md5(doc_id::VARCHAR), 1, 8))::BIGINT % k::BIGINT AS piece FROM documents JOIN g USING (source)),
+p AS (SELECT source, piece, count(*) AS n FROM r GROUP BY 1, 2), f AS (SELECT source, piece, ((sum(n) OVER (ORDER BY source, piece) - n) // 40)::INTEGER AS file FROM p) SELECT doc_id, source AS domain, file FROM r JOIN f USING (source, piece)""")
+def rolled_files(spark, sf):
+    """Files of whole domains, about 40 rows each, written and read back; larger domains are in pieces."""
+    folder = f"{shared_folder(spark).rstrip('/')}/rolled-{uuid.uuid4().hex}"
+    salt = F.conv(F.substring(md5(F.col("doc_id").cast("string")), 1, 8), 16, 10).cast("long")
+    sinks.write_grouped(documents(spark, sf).select("doc_id", "domain"), folder, ["domain"], most=40, salt=salt)
+    return spark.read.schema("doc_id long, domain string, file int").parquet(folder).select("doc_id", "domain", "file")
