@@ -68,3 +68,14 @@ def test_bitmaps_bound_from_above():
             assert both <= (len(x) + len(y) - differ[i, j]) // 2
             assert i != j or differ[i, j] == 0
     assert (len(sets[4]) + len(sets[5]) - differ[4, 5]) // 2 < 500  # sets that share little are told apart
+
+
+def test_substrings_keep_columns_of_any_name(spark):
+    from winnowry.llm import substrings
+
+    text = "".join(f"{k} unlike " for k in range(80))
+    rows = [(1, text + " one", "a", 5, [1]), (2, "two " + text, "b", 6, None), (3, None, "c", 7, [])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, _uid string, _Spans long, uid array<int>").cache()
+    found = sorted(substrings.remove(docs).collect())
+    assert [(r[0], r[2], r[3], r[4]) for r in found] == [(r[0], r[2], r[3], r[4]) for r in rows]
+    assert [len(r.text or "") < 30 for r in found] == [True] * 3

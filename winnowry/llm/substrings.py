@@ -282,8 +282,11 @@ def _merged(spans: list[dict] | None) -> list[list[int]]:
     return out
 
 
-def _numbered(docs: DataFrame) -> DataFrame:
-    return docs.withColumn("_uid", F.monotonically_increasing_id())
+def _free(docs: DataFrame, name: str) -> str:
+    """name, with underscores until no column of docs has it."""
+    while name.lower() in {c.lower() for c in docs.columns}:
+        name += "_"
+    return name
 
 
 def report(docs: DataFrame, length: int = LENGTH) -> DataFrame:
@@ -304,7 +307,7 @@ def report(docs: DataFrame, length: int = LENGTH) -> DataFrame:
             if rows:
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.string()), strict=True)], names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
 
-    own = _numbered(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))).withColumnRenamed("_uid", "uid")
+    own = docs.select(F.monotonically_increasing_id().alias("uid"), F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     cuts = removals(own.select("uid", "text"), length)
     return own.join(cuts, "uid", "left").select("doc_id", "text", "spans").mapInArrow(sums, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
 
@@ -334,9 +337,10 @@ def remove(docs: DataFrame, length: int = LENGTH) -> DataFrame:
                 cols[i] = pa.array([None if t is None else len(t) for t in texts], b.schema.field(i).type)
             yield pa.RecordBatch.from_arrays(cols, names=names)
 
-    own = _numbered(docs)
-    cuts = removals(own.select(F.col("_uid").alias("uid"), F.col("text").cast("string").alias("text")), length).select(F.col("uid").alias("_uid"), F.col("spans").alias("_spans"))
-    return own.join(cuts, "_uid", "left").select(*names, "_spans").mapInArrow(clean, docs.schema)
+    uid, spans = _free(docs, "_uid"), _free(docs, "_spans")
+    own = docs.withColumn(uid, F.monotonically_increasing_id())
+    cuts = removals(own.select(F.col(uid).alias("uid"), F.col("text").cast("string").alias("text")), length).select(F.col("uid").alias(uid), F.col("spans").alias(spans))
+    return own.join(cuts, uid, "left").select(*names, spans).mapInArrow(clean, docs.schema)
 
 
 def op3_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
