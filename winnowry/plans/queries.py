@@ -621,7 +621,7 @@ def domain_layout(spark, sf):
     """Extracted rows written by domain and read back."""
     folder = f"{shared_folder(spark).rstrip('/')}/domains-{uuid.uuid4().hex}"
     archives.write_by_domain(documents(spark, sf), folder)
-    return spark.read.parquet(folder).select("domain", "doc_id", md5("text").alias("text_md5"))
+    return spark.read.schema(documents(spark, sf).schema).parquet(folder).select("domain", "doc_id", md5("text").alias("text_md5"))
 
 
 @query("SELECT DISTINCT source AS domain FROM documents WHERE n_chars > 20000")
@@ -737,7 +737,7 @@ def extract_wet(spark, sf):
     rows = archives.read_archives(spark, f"{folder}/wet", "part-*")
     found = archives.extracted(rows, lang.decoded, _voted, ["en", "de", "fr"], hosts.filter("doc_id % 97 = 0"), large)
     archives.write_by_domain(found, f"{folder}/by-domain")
-    return spark.read.parquet(f"{folder}/by-domain").select(F.element_at(F.split("uri", "/"), -1).cast("long").alias("doc_id"), "language", "domain", md5("text").alias("text_md5"))
+    return spark.read.schema(found.schema).parquet(f"{folder}/by-domain").select(F.element_at(F.split("uri", "/"), -1).cast("long").alias("doc_id"), "language", "domain", md5("text").alias("text_md5"))
 
 
 SHARE = f"round((list_max([{', '.join(f"(length(text) - length(replace(text, '{w}', ''))) // {len(w)}" for w in SIGNS.values())}]) / nullif(list_sum([{', '.join(f"(length(text) - length(replace(text, '{w}', ''))) // {len(w)}" for w in SIGNS.values())}]), 0))::DOUBLE, 6)"
