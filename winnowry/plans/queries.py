@@ -724,7 +724,7 @@ BEST = "list_max([" + ", ".join(f"struct_pack(n := (length(text) - length(replac
 
 
 @query(f"""WITH d AS (SELECT *, regexp_replace(source, '[^a-z0-9]', '-', 'g') || '.example' AS host FROM documents), big AS (SELECT host, count(*) // 40 AS parts FROM d GROUP BY host HAVING count(*) >= 40),
-x AS (SELECT doc_id, host, text, 'https://' || host || '/' || doc_id::VARCHAR AS uri, {BEST} AS best FROM d WHERE strlen(text) >= 200 AND {GARBLE} <= 5 AND host NOT IN (SELECT host FROM d WHERE doc_id % 97 = 0))
+x AS (SELECT doc_id, host, text, 'https://' || host || '/' || doc_id::VARCHAR AS uri, {BEST} AS best FROM d WHERE strlen(text) >= 200 AND {GARBLE} <= 5 AND substr(md5(host), 1, 1) >= '4')
 SELECT doc_id, best.lang AS language, CASE WHEN parts > 0 THEN x.host || '---' || (('0x' || substr(md5(uri), 1, 8))::UBIGINT % parts)::VARCHAR ELSE x.host END AS domain, md5(regexp_replace(text, '{CLEAN}', '', 'g')) AS text_md5
 FROM x LEFT JOIN big USING (host) WHERE best.n > 0 AND best.lang <> 'es'""")
 def extract_wet(spark, sf):
@@ -735,7 +735,7 @@ def extract_wet(spark, sf):
     hosts = own.select("doc_id", url.domain(F.col("uri")).alias("domain"))
     large = hosts.groupBy("domain").agg(F.floor(F.count("*") / 40).alias("parts")).filter("parts > 0")
     rows = archives.read_archives(spark, f"{folder}/wet", "part-*")
-    found = archives.extracted(rows, lang.decoded, _voted, ["en", "de", "fr"], hosts.filter("doc_id % 97 = 0"), large)
+    found = archives.extracted(rows, lang.decoded, _voted, ["en", "de", "fr"], hosts.filter(F.substring(md5("domain"), 1, 1) < "4"), large)
     archives.write_by_domain(found, f"{folder}/by-domain")
     return spark.read.schema(found.schema).parquet(f"{folder}/by-domain").select(F.element_at(F.split("uri", "/"), -1).cast("long").alias("doc_id"), "language", "domain", md5("text").alias("text_md5"))
 
