@@ -237,3 +237,15 @@ def test_simhash_cost_does_not_grow_with_known_tokens(spark):
         simhash(rows.coalesce(1)).write.format("noop").mode("overwrite").save()
         took.append(time.time() - began)
     assert took[2] < took[1] + took[3] + 5  # 3,000 walks over 320,000 known tokens take a minute
+
+
+def test_shared_folder_is_never_local_on_a_cluster():
+    from types import SimpleNamespace
+
+    import pytest
+
+    from winnowry.plans.session import shared_folder
+
+    context = SimpleNamespace(getConf=lambda: {}, getCheckpointDir=lambda: None, master="spark://host:7077")
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_folder(SimpleNamespace(sparkContext=context, conf=SimpleNamespace(get=lambda k, d: d)))

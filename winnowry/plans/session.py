@@ -9,10 +9,12 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder that spark.checkpoint.dir names; one of our own only where it names none."""
+    """The folder that spark.checkpoint.dir names; where it names none, one that was set before or, on a local master alone, one of our own."""
     sc = spark.sparkContext
     there = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
     if sc.getCheckpointDir() is None:
+        if not there and not sc.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         sc.setCheckpointDir(there or tempfile.mkdtemp(prefix="winnowry-"))
     return there or sc.getCheckpointDir()
 
