@@ -533,6 +533,34 @@ def test_tokens_of_a_long_text_without_spaces(monkeypatch):
     assert ids.tolist() == encoded()(text) and offs.tolist() == [0, len(ids)]
 
 
+def test_quotations_are_paired():
+    def inside(text):
+        return [text[a + 1 : b] for a, b in toxicity.quotations(text)]
+
+    assert inside('he said "hello" and you are a trash so "bye" to you') == ["hello", "bye"]
+    assert inside("don`t be a trash now, it`s over") == []
+    assert inside("l’un, « l’autre » et „wer “ »da« ‚ja‘") == [" l’autre ", "wer ", "da", "ja"]
+    assert inside("“outer ‘inner’ outer” bare") == ["outer ‘inner’ outer"]
+    assert inside('a "left open\nbare" text') == []
+    assert inside('never "closed, then "quoted" here') == ["quoted"]
+    assert inside('a 5" pipe, you trash, 6" wide') == []
+    assert inside("") == inside('"') == []
+
+
+def test_abuse_between_quotations_stays_abuse():
+    finder = toxicity.Automaton({"idiot": 5.0})
+    between = toxicity.numbers('he said "hello" and you idiot so "bye" to you', finder)
+    assert between[0] > 0 and between[1] == between[6] == 0
+
+
+def test_many_open_marks_take_linear_time():
+    import time
+
+    began = time.time()
+    assert toxicity.quotations(" „ ‹" * 200_000 + "x”" * 200_000 + "«" * 200_000 + "x»" * 200_000)
+    assert time.time() - began < 10
+
+
 def test_long_quotation_counts():
     finder = toxicity.Automaton({"vileword": 4.0})
     told = toxicity.numbers('he said "' + "and so on " * 150 + "vileword " + "and so on " * 150 + '" then', finder)

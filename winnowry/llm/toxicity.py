@@ -15,7 +15,7 @@ from __future__ import annotations
 
 import re
 from bisect import bisect_left
-from collections import Counter
+from collections import Counter, defaultdict
 
 import numpy as np
 import pyarrow as pa
@@ -37,8 +37,10 @@ MOD, REST = 5, 0
 STATES = 200_000
 
 WORD = re.compile(r"[^\W_]+")
-#: What begins and ends a quotation; lines end it, too.
-MARKS, OPENS, CLOSES = re.compile("[\"“”„«»‘’‹›`\n]"), frozenset("\"“„«‘‹`"), frozenset("\"”“»’›`")
+#: Quotation marks, and lines, which end quotations.
+MARKS = re.compile("[\"“”„«»‘’‚‹›`\n]")
+#: The marks that each one closes.
+PARTNERS = {'"': '"', "`": "`", "”": "“„\"", "“": "„", "»": "«", "«": "»", "’": "‘", "‘": "‚", "›": "‹", "‹": "›"}
 #: What a term counts whose every match is quoted.
 QUOTED = 0.25
 
@@ -145,6 +147,43 @@ class Automaton:
 WIDTH = 9
 
 
+def quotations(text: str) -> list[tuple[int, int]]:
+    """Spans between paired marks, disjoint and in order; an outer pair covers those in it.
+
+    A mark closes the latest open mark that it fits, unless it stands as an opening one (a space before, none after); else it
+    opens, if no letter or digit is before it. Marks between letters are apostrophes. What is open where a line ends encloses nothing.
+    """
+    out: list[tuple[int, int]] = []
+    stack: list[tuple[str, int]] = []
+    at: defaultdict[str, list[int]] = defaultdict(list)  # places of each mark in the stack
+
+    def back(size: int) -> None:
+        while len(stack) > size:
+            at[stack.pop()[0]].pop()
+
+    for m in MARKS.finditer(text):
+        mark, p = m.group(), m.start()
+        if mark == "\n":
+            back(0)
+            continue
+        before, after = text[p - 1 : p] if p else "", text[p + 1 : p + 2]
+        if before.isalnum() and after.isalnum() and mark in "`‘’":
+            continue
+        fit = max((at[x][-1] for x in PARTNERS.get(mark, "") if at[x]), default=-1)
+        if fit >= 0 and not (not before.strip() and after.isalnum()):
+            begin = stack[fit][1]
+            back(fit)
+            while out and out[-1][0] > begin:
+                out.pop()
+            out.append((begin, p))
+        elif mark not in "”’" and not before.isalnum():
+            if fit >= 0 and mark in PARTNERS[mark]:  # the one before was never closed
+                back(fit)
+            at[mark].append(len(stack))
+            stack.append((mark, p))
+    return out
+
+
 def numbers(text: str | None, finder: Automaton) -> np.ndarray:
     """What the score is made of: matches by edits and quotation, their context and weight."""
     out = np.zeros(WIDTH)
@@ -157,8 +196,8 @@ def numbers(text: str | None, finder: Automaton) -> np.ndarray:
     at = [i for i, w in enumerate(words) if w in kinds]
     spots = [m.span() for m in WORD.finditer(low) if m.group() in kinds]
     quoted = densest = 0
-    marks = [(m.start(), m.group()) for m in MARKS.finditer(low)]
-    places = [p for p, _ in marks]
+    spans = quotations(low)
+    begins = [a for a, _ in spans]
     bare = set()
     j = 0
     for k, i in enumerate(at):
@@ -167,8 +206,8 @@ def numbers(text: str | None, finder: Automaton) -> np.ndarray:
         densest = max(densest, k - j + 1)
         _, far = kinds[words[i]]
         x, y = spots[k]
-        before, after = bisect_left(places, x) - 1, bisect_left(places, y)
-        inside = before >= 0 and after < len(marks) and marks[before][1] in OPENS and marks[after][1] in CLOSES
+        own = bisect_left(begins, x) - 1
+        inside = own >= 0 and y <= spans[own][1]
         quoted += inside
         if not inside:
             bare.add(words[i])
