@@ -10,7 +10,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import heads, lang, lexicon, scores, url
+from ..functions import charset, heads, lang, langid, lexicon, scores, url
 from ..functions import text as T
 from ..functions.simhash import simhash as simhash_of
 from ..operators import clusters, neardup, paths, predict, refine, sampling, scoring
@@ -786,3 +786,32 @@ def rolled_files(spark, sf):
     salt = F.conv(F.substring(md5(F.col("doc_id").cast("string")), 1, 8), 16, 10).cast("long")
     sinks.write_grouped(documents(spark, sf).select("doc_id", "domain"), folder, ["domain"], most=40, salt=salt)
     return spark.read.schema("doc_id long, domain string, file int").parquet(folder).select("doc_id", "domain", "file")
+
+
+def _learnt() -> F.Column:
+    """Whether a document is learnt from: four of five, by a hash of the id."""
+    return F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(5)) != 0
+
+
+@query()
+def language_id(spark, sf):
+    """Each document's language and score by a model of four of five documents."""
+    own = table(spark, sf, "documents").select("doc_id", "text", "lang")
+    model = langid.train(own.filter(_learnt()))
+    found = own.select("doc_id", (~_learnt()).alias("held_out"), F.col("lang").alias("labelled"), lang.detect(F.col("text"), model).alias("own"))
+    return found.select("doc_id", "held_out", "labelled", F.col("own.lang").alias("lang"), F.round(F.col("own.score").cast("double"), 4).alias("score"))
+
+
+CHARSETS = ("cp1252", "cp850", "mac_roman", "utf-16-be", "utf-16-le")
+
+
+@query()
+def charset_decode(spark, sf):
+    """Documents in one of six charsets each, UTF-8 where one lacks a character, detected and read by a model of four of five documents."""
+    own = table(spark, sf, "documents").select("doc_id", "text")
+    model = charset.train(own.filter(_learnt()), CHARSETS)
+    names = F.array(*(F.lit(c) for c in (*CHARSETS, "utf-8")))
+    dealt = own.select("doc_id", "text", F.element_at(names, (F.pmod(F.crc32(F.reverse(F.col("doc_id").cast("string")).cast("binary")), F.lit(6)) + 1).cast("int")).alias("charset"))
+    body = F.coalesce(charset.encoded(F.col("text"), F.col("charset")), F.col("text").cast("binary"))
+    found = dealt.select("doc_id", (~_learnt()).alias("held_out"), "text", "charset", charset.decoded(body, model).alias("own"))
+    return found.select("doc_id", "held_out", "charset", F.col("own.charset").alias("detected"), F.round("own.confidence", 4).alias("confidence"), F.col("own.text").eqNullSafe(F.col("text")).alias("same"))
