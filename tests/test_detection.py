@@ -102,3 +102,10 @@ def test_pairs_of_long_bytes(monkeypatch, step):
     whole = charset.pairs(data)
     monkeypatch.setattr(charset, "STEP", step)
     assert all(np.array_equal(a, b) for a, b in zip(whole, charset.pairs(data), strict=True))
+
+
+def test_few_and_many_pairs_are_counted_alike(monkeypatch):
+    data = "über die Straße läuft ein Bär".encode("utf-16-le")
+    few = charset.pairs(data)
+    monkeypatch.setattr(charset, "FEW", 0)
+    assert all(np.array_equal(a, b) for a, b in zip(few, charset.pairs(data), strict=True))

@@ -20,8 +20,8 @@ from pyspark.sql import functions as F
 
 #: What each pair counts beforehand, and by how many nats a pair may be less likely than in training on average.
 SMOOTH, FAR = 0.01, 4.0
-#: Bytes looked at at once; pairs of bytes.
-STEP, PAIRS = 1 << 18, 1 << 16
+#: Bytes looked at at once; pairs of bytes; so few pairs are sorted rather than counted in a table.
+STEP, PAIRS, FEW = 1 << 18, 1 << 16, 1 << 13
 PLAIN = np.zeros(256, bool)
 PLAIN[[9, 10, 13, *range(32, 127)]] = True
 MARKS = [(codecs.BOM_UTF8, "utf-8-sig"), (codecs.BOM_UTF32_LE, "utf-32"), (codecs.BOM_UTF32_BE, "utf-32"), (codecs.BOM_UTF16_LE, "utf-16"), (codecs.BOM_UTF16_BE, "utf-16")]
@@ -32,11 +32,18 @@ ZERO = re.compile("\0")
 
 def pairs(data: bytes) -> tuple[np.ndarray, np.ndarray]:
     """The numbers of the byte pairs with a byte outside printable ASCII, in order, and how often each occurs; those at odd places come last."""
-    total = np.zeros(2 * PAIRS, np.int64)
+    total: np.ndarray | None = None
     for at in range(0, max(len(data) - 1, 0), STEP):
         b = np.frombuffer(data[at : at + STEP + 1], np.uint8)
-        own = (~(PLAIN[b[:-1]] & PLAIN[b[1:]])).nonzero()[0]
-        total += np.bincount((own + at) % 2 * PAIRS + b[own].astype(np.int64) * 256 + b[own + 1], minlength=2 * PAIRS)
+        plain = PLAIN[b]
+        own = (~(plain[:-1] & plain[1:])).nonzero()[0]
+        numbers = (own + at) % 2 * PAIRS + b[own].astype(np.int64) * 256 + b[own + 1]
+        if len(data) <= STEP and len(own) < FEW:
+            return np.unique(numbers, return_counts=True)
+        n = np.bincount(numbers, minlength=2 * PAIRS)
+        total = n if total is None else total + n
+    if total is None:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
     at = total.nonzero()[0]
     return at, total[at]
 
