@@ -109,3 +109,24 @@ def test_few_and_many_pairs_are_counted_alike(monkeypatch):
     few = charset.pairs(data)
     monkeypatch.setattr(charset, "FEW", 0)
     assert all(np.array_equal(a, b) for a, b in zip(few, charset.pairs(data), strict=True))
+
+
+def _longest(text, table):
+    out, i = [], 0
+    while i < len(text):
+        k = max((k for k in table if k and text.startswith(k, i)), key=len, default="")
+        out.append(table[k] if k else text[i])
+        i += len(k) or 1
+    return "".join(out)
+
+
+def test_conversion_is_leftmost_longest(spark):
+    rng = np.random.default_rng(3)
+    table = {"".join(rng.choice(list("abc"), rng.integers(1, 5))): str(i) for i in range(12)} | {"": "never", "乾隆": "乾隆", "乾": "干"}
+    texts = ["".join(rng.choice(list("abcd乾隆"), rng.integers(0, 40))) for _ in range(300)]
+    rows = spark.createDataFrame(list(enumerate([*texts, None])), "i int, text string")
+    found = [r[0] for r in rows.orderBy("i").select(lang.converted(F.col("text"), table)).collect()]
+    assert found == [*(_longest(t, table) for t in texts), None]
+    hard = {"ation": "1", "tion": "2", "io": "3", "e": "4"}  # "io" begins within the failed beginning of "ation"
+    assert spark.createDataFrame([("eatior",)], "t string").select(lang.converted(F.col("t"), hard)).first()[0] == _longest("eatior", hard) == "4at3r"
+    assert rows.select(lang.converted(F.col("text"), {}).alias("t")).filter("t <=> null").count() == 1

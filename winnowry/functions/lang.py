@@ -100,3 +100,33 @@ TRADITIONAL, SIMPLIFIED = "國學語說時間門開關書會來為這個們對
 def simplify(text: Column, traditional: str = TRADITIONAL, simplified: str = SIMPLIFIED) -> Column:
     """Character by character; phrases aren't looked at."""
     return F.translate(text, traditional, simplified)
+
+
+def converted(text: Column, table: dict[str, str]) -> Column:
+    """text with the leftmost-longest matches of the table's keys replaced, phrases so before the characters in them; what is put in isn't searched again.
+
+    Only places of first characters are looked at, and there only the lengths that keys of that character have. Empty keys are left out. Null texts stay null.
+    """
+    table = {k: v for k, v in table.items() if k}
+    lengths: dict[str, list[int]] = {}
+    for n, c in sorted({(len(k), k[0]) for k in table}, reverse=True):
+        lengths.setdefault(c, []).append(n)
+    first = re.compile("[" + "".join(map(re.escape, sorted(lengths))) + "]") if table else None
+
+    def one(t: str | None) -> str | None:
+        if not t or first is None:
+            return t
+        out, at = [], 0
+        while m := first.search(t, at):
+            i = m.start()
+            n = next((n for n in lengths[t[i]] if t[i : i + n] in table), 0)
+            out += (t[at:i], table[t[i : i + n]] if n else t[i])
+            at = i + (n or 1)
+        return "".join((*out, t[at:]))
+
+    @F.pandas_udf("string")
+    def run(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for texts in parts:
+            yield pd.Series([one(t) for t in texts], dtype=object)
+
+    return run(text)

@@ -815,3 +815,14 @@ def charset_decode(spark, sf):
     body = F.coalesce(charset.encoded(F.col("text"), F.col("charset")), F.col("text").cast("binary"))
     found = dealt.select("doc_id", (~_learnt()).alias("held_out"), "text", "charset", charset.decoded(body, model).alias("own"))
     return found.select("doc_id", "held_out", "charset", F.col("own.charset").alias("detected"), F.round("own.confidence", 4).alias("confidence"), F.col("own.text").eqNullSafe(F.col("text")).alias("same"))
+
+
+#: Phrases that hold one another, each put into brackets.
+PHRASES = ["schaft", "sch", "ch", "ation", "tion", "io", "ion", "que", "u", "the", "he", "e"]
+
+
+@query(f"SELECT doc_id, md5(regexp_replace(text, '({'|'.join(sorted(PHRASES, key=len, reverse=True))})', '[\\1]', 'g')) AS text_md5 FROM documents")
+def script_convert(spark, sf):
+    """Leftmost-longest conversion by a table of phrases and characters."""
+    own = table(spark, sf, "documents")
+    return own.select("doc_id", md5(lang.converted(F.col("text"), {w: f"[{w}]" for w in PHRASES})).alias("text_md5"))
