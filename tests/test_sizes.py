@@ -5,6 +5,7 @@ import time
 from pyspark.sql import functions as F
 
 from winnowry.functions import text as T
+from winnowry.functions import windows
 
 
 def lines(n, seed=7):
@@ -27,3 +28,26 @@ def test_ngrams_of_a_long_text(spark):
         assert got[0] == want and sized == len(want)
         assert got[1:] == ([["abcde"], [], [], []] if n == 5 else [[], [], [], []])
     assert time.time() - begun < 120  # minutes and more when each gram was looked up from the text's beginning
+
+
+def test_first_block_of_long_texts(spark):
+    a, b = lines(2_000_000, 1), lines(2_100_000, 2)
+    for short, long, want in ((a, b, None), (a + "#" * 300, b + "#" * 200, "#" * 100), ("é" * 9, "é" * 20, None), ("ab\n" * 60, "ab\n" * 90, None), ("x" * 10, "y" + "x" * 10, "x" * 10), (None, b, None)):
+        begun = time.time()
+        got = spark.createDataFrame([(short, long)], "a string, b string").select(T.ngram_lcs(F.col("a"), F.col("b"), 10).alias("x")).first()["x"]
+        if want is not None or short is None or len(short) < 1000:
+            assert got == want
+        else:
+            grams = (short[i : i + n] for n, step in ((100, 30), (10, 10)) for i in range(0, len(short) - n + 1, step))
+            there = {long[i : i + 10] for i in range(len(long) - 9)}
+            assert got == next((g for g in grams if len(g) == 10 and g in there), None)
+        assert time.time() - begun < 60
+
+
+def test_first_shared_equals_a_loop(monkeypatch):
+    monkeypatch.setattr(windows, "STEP", 40)
+    for seed in range(30):
+        short, long = ("".join("ab\n"[int(c, 16) % 3] for c in lines(200 + seed, seed + k) if c != " ") for k in (0, 99))
+        for n, step in ((5, 3), (9, 10), (12, 1)):
+            want = next((short[i : i + n] for i in range(0, len(short) - n + 1, step) if short[i : i + n] in long and "\n" not in short[i : i + n]), None)
+            assert windows.first_shared(short, long, n, step) == want

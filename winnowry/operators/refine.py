@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as T
+from ..functions.windows import folded, mixed
 
 #: Bits of the filter of shared anchors; beyond what these can tell apart, more blocks are counted, with the same result.
 ANCHOR_BITS = 22
@@ -112,21 +113,6 @@ def dedup_paragraphs(docs: DataFrame, cfg: Config = Config(), examples: bool = F
     return _without(own, hits, docs.columns, first)
 
 
-def _folded(x: np.ndarray, n: int, join: Callable) -> np.ndarray:
-    """Each n neighbours of x joined, in steps that double."""
-    p = 1
-    while p * 2 <= n:
-        x, p = join(x[:-p], x[p:]), p * 2
-    return join(x[: p - n], x[n - p :]) if p < n else x
-
-
-def _hash(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    x = a * np.uint64(0x9E3779B97F4A7C15) + b + np.uint64(1)
-    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
-
-
 def _blocks(paras: list[str], n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Of each block of n characters: its paragraph, its hash, the least hash of the pieces of n // 2 characters in it, and its place."""
     codes = np.frombuffer("".join(paras).encode("utf-32-le"), np.uint32).astype(np.uint64)
@@ -136,8 +122,8 @@ def _blocks(paras: list[str], n: int) -> tuple[np.ndarray, np.ndarray, np.ndarra
     owner = np.repeat(np.arange(len(paras)), sizes)
     place = np.arange(len(codes)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
     own = owner[: len(owner) - n + 1] == owner[n - 1 :]
-    anchor = _folded(_folded(codes, max(1, n // 2), _hash), n - max(1, n // 2) + 1, np.minimum)
-    return owner[: len(own)][own], _folded(codes, n, _hash)[own], anchor[own], place[: len(own)][own]
+    anchor = folded(folded(codes, max(1, n // 2), mixed), n - max(1, n // 2) + 1, np.minimum)
+    return owner[: len(own)][own], folded(codes, n, mixed)[own], anchor[own], place[: len(own)][own]
 
 
 def _hashed(rows: DataFrame, cfg: Config, shared: Broadcast | None = None) -> DataFrame:
