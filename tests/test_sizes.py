@@ -2,10 +2,12 @@
 
 import time
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from winnowry.functions import text as T
 from winnowry.functions import windows
+from winnowry.streaming import neardup as streamed
 
 
 def lines(n, seed=7):
@@ -51,3 +53,31 @@ def test_first_shared_equals_a_loop(monkeypatch):
         for n, step in ((5, 3), (9, 10), (12, 1)):
             want = next((short[i : i + n] for i in range(0, len(short) - n + 1, step) if short[i : i + n] in long and "\n" not in short[i : i + n]), None)
             assert windows.first_shared(short, long, n, step) == want
+
+
+def test_stream_state_has_few_keys(spark, tmp_path):
+    """Keys of the state are parts of a band pair's values, however many hashes come; pairs are those of a loop."""
+    R = np.random.default_rng(5)
+    base = R.integers(0, 1 << 63, 6000).astype(np.uint64)
+    own = np.unique(np.concatenate([base, base[:90] ^ np.uint64(1 << 40), base[:60] ^ np.uint64(3 << 15), base[:30] ^ np.uint64(7)]))
+    rows = [(i, int(x) >> 32, int(x) & 0xFFFFFFFF) for i, x in enumerate(own)]
+    spark.createDataFrame(rows, "doc_id long, hi long, lo long").repartition(2).write.parquet(str(tmp_path / "in"))
+    stream = spark.readStream.schema("doc_id long, hi long, lo long").option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
+    q = streamed.links(stream).writeStream.format("parquet").option("path", str(tmp_path / "out")).option("checkpointLocation", str(tmp_path / "state")).trigger(availableNow=True).start()
+    q.awaitTermination()
+    assert 0 < q.lastProgress["stateOperators"][0]["numRowsTotal"] <= 6 * streamed.PARTS < len(own)
+    found = [(r.hi << 32 | r.lo, r.other_hi << 32 | r.other_lo, r.distance) for r in spark.read.schema(streamed.LINK).parquet(str(tmp_path / "out")).collect()]
+    want = {frozenset((int(x), int(y))) for x in own[: len(own)] for y in own[np.bitwise_count(own ^ x) <= 2] if x != y}
+    assert len(found) == len(want) >= 150 and {frozenset(f[:2]) for f in found} == want
+    assert all((x ^ y).bit_count() == d for x, y, d in found)
+
+
+def test_near_in_pieces():
+    R = np.random.default_rng(6)
+    own = np.unique(np.uint64(5 << 40) ^ (np.uint64(1) << R.integers(0, 30, 400).astype(np.uint64)) ^ (np.uint64(1) << R.integers(0, 64, 400).astype(np.uint64)))
+    want = {(int(x), int(y)) for i, x in enumerate(own) for y in own[:i] if int(x ^ y).bit_count() <= 2}
+    for step in (1, 50, 1 << 18):
+        got = [(int(x), int(y)) for pair in range(6) for a, b in streamed.near(own[:0], own, pair, 2, step) for x, y in zip(a, b, strict=True)]
+        assert len(got) == len(want) and set(got) == want
+        split = [frozenset((int(x), int(y))) for pair in range(6) for part in (own[::2], own[1::2]) for a, b in streamed.near(own[:0] if part is not own[1::2] and part[0] == own[0] else own[::2], part, pair, 2, step) for x, y in zip(a, b, strict=True)]
+        assert len(split) == len(want) and set(split) == {frozenset(p) for p in want}
