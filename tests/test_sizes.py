@@ -5,8 +5,10 @@ import time
 import numpy as np
 from pyspark.sql import functions as F
 
+from winnowry.functions import lexicon
 from winnowry.functions import text as T
 from winnowry.functions import windows
+from winnowry.operators import refine
 from winnowry.streaming import neardup as streamed
 
 
@@ -81,3 +83,27 @@ def test_near_in_pieces():
         assert len(got) == len(want) and set(got) == want
         split = [frozenset((int(x), int(y))) for pair in range(6) for part in (own[::2], own[1::2]) for a, b in streamed.near(own[:0] if part is not own[1::2] and part[0] == own[0] else own[::2], part, pair, 2, step) for x, y in zip(a, b, strict=True)]
         assert len(split) == len(want) and set(split) == {frozenset(p) for p in want}
+
+
+def test_gates_deal_no_rows_by_group(spark):
+    """Rows meet the few groups by a broadcast: nothing with a text in it is shuffled by its language."""
+    docs = spark.range(400).selectExpr("id AS doc_id", "concat(repeat(concat('w', id, ' and some longer text of its own '), 20), id) AS text", "'x' AS domain", "'en' AS language")
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "4000")  # the groups' files are below it, the texts' above
+    try:
+        steps = refine.rounds(docs, F.lit(0), refine.Config(keys=("language",)))
+        for name in ("sens", "kept"):
+            plan = steps[name]._jdf.queryExecution().executedPlan().toString()
+            assert "BroadcastHashJoin" in plan and "hashpartitioning(language" not in plan
+        assert steps["kept"].count() == 400
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+
+
+def test_places_of_words_equal_a_loop():
+    words = ["ab", "abc", "b", "ca", "c]", "-a", "aab", "^^"]
+    for trie, most in ((lexicon.build(words), 64), (lexicon.build(words), 2), (lexicon.build(["b"]), 64), ({}, 64)):
+        for seed in range(20):
+            text = "".join("abc]-^"[int(c, 16) % 6] for c in lines(300, seed) if c != " ")
+            want = [w for i in range(len(text)) for w in sorted(words, key=len) if len(w) > 1 and text.startswith(w, i)] if len(trie) > 1 else []
+            assert lexicon.matches(trie, text, places=lexicon.begins(trie, most)) == want

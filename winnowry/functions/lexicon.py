@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import pandas as pd
@@ -23,12 +24,24 @@ def build(words: list[str]) -> dict:
     return root
 
 
-def matches(trie: dict, text: str, fold: bool = False) -> list[str]:
-    """All occurrences of words of two characters or more, overlapping ones too, by where they begin, shorter first."""
+def begins(trie: dict, most: int = 64) -> re.Pattern | None:
+    """Finds the places where words of two characters or more may begin: by their first two characters, or the first one where there are over `most` of these."""
+    first = {c: "".join(map(re.escape, sorted(k for k in node if k != END))) for c, node in trie.items() if c != END and any(k != END for k in node)}
+    if not first:
+        return None
+    if len(first) > most:
+        return re.compile(f"[{''.join(map(re.escape, sorted(first)))}]")
+    return re.compile("|".join(f"{re.escape(c)}(?=[{k}])" for c, k in sorted(first.items())))
+
+
+def matches(trie: dict, text: str, fold: bool = False, places: re.Pattern | None = None) -> list[str]:
+    """All occurrences of words of two characters or more, overlapping ones too, by where they begin, shorter first; places: begins(trie), where it is at hand."""
     text = text.lower() if fold else text
+    places = places or begins(trie)
     out = []
-    for i in range(len(text)):
-        node, j = trie, i
+    for m in places.finditer(text) if places else ():
+        node, j = trie, m.start()
+        i = j
         while j < len(text) and (node := node.get(text[j])) is not None:
             j += 1
             if END in node and j - i > 1:
@@ -66,8 +79,9 @@ def find_matches(text: Column, language: Column, tries: dict[str, dict], fold: b
 
     @F.pandas_udf("array<string>")
     def run(parts: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+        places = {k: begins(t) for k, t in tries.items()}
         for texts, languages in parts:
-            yield pd.Series([matches(tries[k], t, fold) if t and k in tries else [] for t, k in zip(texts, languages, strict=True)])
+            yield pd.Series([matches(tries[k], t, fold, places[k]) if t and k in tries else [] for t, k in zip(texts, languages, strict=True)])
 
     return run(text, language)
 

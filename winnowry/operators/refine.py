@@ -52,12 +52,24 @@ def support_needed(n: Column, least: int) -> Column:
     return F.greatest(F.lit(least), F.ceil(n / F.sqrt(tries)))
 
 
+def _few(groups: DataFrame, name: str) -> DataFrame:
+    """groups as stored: their size is known before the join, so that few of them are broadcast and no rows are dealt by group, of which one may hold most rows."""
+    from ..plans.session import stored
+
+    return stored(groups, name)
+
+
+def _sizes(docs: DataFrame, cfg: Config) -> DataFrame:
+    """keys, group_docs of the groups that aren't small."""
+    return _few(docs.groupBy(*cfg.keys).agg(F.count("*").alias("group_docs")).filter(F.col("group_docs") >= cfg.least_group), "group-sizes")
+
+
 def paragraph_patterns(docs: DataFrame, cfg: Config = Config()) -> DataFrame:
     """keys, para_md5, support: paragraphs to remove, by exact counts; small groups are left alone."""
     keys = list(cfg.keys)
     paras = docs.select(*keys, "doc_id", F.explode(T.paragraphs(F.col("text"))).alias("para")).filter(F.octet_length("para") > 2)
     support = paras.select(*keys, "doc_id", F.md5(F.col("para").cast("binary")).alias("para_md5")).distinct().groupBy(*keys, "para_md5").agg(F.count("*").alias("support"))
-    sizes = docs.groupBy(*keys).agg(F.count("*").alias("group_docs")).filter(F.col("group_docs") >= cfg.least_group)
+    sizes = _sizes(docs, cfg)
     return support.filter(F.col("support") >= cfg.least_support).join(sizes, keys).filter(F.col("support") >= support_needed(F.col("group_docs"), cfg.least_support)).select(*keys, "para_md5", "support")
 
 
@@ -167,7 +179,7 @@ def _shared(hashes: DataFrame, docs: DataFrame, cfg: Config) -> DataFrame:
     """keys, hash, support of the hashes that enough documents of a group share."""
     keys = list(cfg.keys)
     support = hashes.select(*keys, "doc_id", "hash").distinct().groupBy(*keys, "hash").agg(F.count("*").alias("support"))
-    sizes = docs.groupBy(*keys).agg(F.count("*").alias("group_docs")).filter(F.col("group_docs") >= cfg.least_group)
+    sizes = _sizes(docs, cfg)
     return support.filter(F.col("support") >= cfg.least_support).join(sizes, keys).filter(F.col("support") >= support_needed(F.col("group_docs"), cfg.least_support)).select(*keys, "hash", "support")
 
 
@@ -244,6 +256,7 @@ def refine(docs: DataFrame, cfg: Config = Config()) -> DataFrame:
     left = ~F.col("span_repeat") & ~F.col("short_text") & ~F.col("short_lines") & ~F.col("short_paras")
     kept = f.filter(left)
     clean = f.groupBy(*cfg.keys).agg(F.count("*").alias("orig_len"), F.count_if(left).alias("len")).filter(F.col("len") >= cfg.final_gate * F.col("orig_len")).select(*cfg.keys)
+    clean = _few(clean, "clean-groups")
     return kept.join(clean, list(cfg.keys), "left_semi").select(*docs.columns, "paralen")
 
 
@@ -265,12 +278,14 @@ def rounds(docs: DataFrame, hits: Column, cfg: Config = Config(), most: int = 2,
 
     def gated(rows: DataFrame, share: float) -> DataFrame:
         groups = rows.groupBy(*keys).agg(F.count("*").alias("_n")).join(totals, keys).filter(F.col("_n") >= share * F.col("_all")).select(*keys)
+        groups = _few(groups, "round-groups")
         return rows.join(groups, keys, "left_semi")
 
     own = docs.select("*", *([hits.alias("bad_words")] if listed else []), T.textlen_bytes(t).alias("orig_textlen"))
     own = own.withColumn("n_hits", F.size("bad_words") if listed else hits)
     span = stored(own.filter(~T.has_repeated_spans(t)), "round-span")
     clean = span.groupBy(*keys).agg((F.count_if(F.col("n_hits") > most) / F.count("*")).alias("_share")).filter(F.col("_share") <= sens_gate).select(*keys)
+    clean = _few(clean, "round-clean")
     sens = span.filter(F.col("n_hits") <= most).join(clean, keys, "left_semi")
     text = sens.filter(full)
     paras_cut = stored(dedup_paragraphs(stored(gated(text, cfg.gate), "round-text"), cfg, True).withColumnRenamed("n_removed", "para_removed"), "round-paras")
