@@ -10,7 +10,6 @@ from __future__ import annotations
 
 import codecs
 import re
-from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
@@ -18,6 +17,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from . import pieces
+
 #: What each pair counts beforehand, and by how many nats a pair may be less likely than in training on average.
 SMOOTH, FAR = 0.01, 4.0
 #: Bytes looked at at once; pairs of bytes; so few pairs are sorted rather than counted in a table.
@@ -109,7 +110,7 @@ def train(rows: DataFrame, charsets: tuple[str, ...], text: str = "text") -> Mod
     def count(batches):
         sums = {c: np.zeros(2 * PAIRS, np.int64) for c in charsets}
         for b in batches:
-            for t in b.column(0).to_pylist():
+            for t in pieces.values(b.column(0)):
                 for c in charsets:
                     at, n = pairs((t or "").encode(c, "ignore"))
                     sums[c][at] += n
@@ -128,23 +129,15 @@ def train(rows: DataFrame, charsets: tuple[str, ...], text: str = "text") -> Mod
 def decoded(body: Column, model: Model, least: float = 0.5) -> Column:
     """struct<charset, confidence, text>, nulls where none is sure enough."""
 
-    @F.pandas_udf("charset string, confidence double, text string")
-    def run(parts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        for bodies in parts:
-            yield pd.DataFrame([model.decode(None if b is None else bytes(b), least) for b in bodies], columns=["charset", "confidence", "text"], dtype=object).astype({"confidence": float})
-
-    return run(body)
+    names = ("charset", "confidence", "text")
+    kind = pa.struct(list(zip(names, (pa.string(), pa.float64(), pa.string()), strict=True)))
+    return pieces.mapped(lambda b: dict(zip(names, model.decode(b, least), strict=True)), "charset string, confidence double, text string", kind, body)
 
 
 def encoded(text: Column, charset: Column) -> Column:
     """Bytes of text in the charset of the row; null where it lacks a character."""
 
-    @F.pandas_udf("binary")
-    def run(parts: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
-        for texts, names in parts:
-            yield pd.Series([_encode(t, c) for t, c in zip(texts, names, strict=True)], dtype=object)
-
-    return run(text, charset)
+    return pieces.mapped(_encode, "binary", pa.binary(), text, charset)
 
 
 def _encode(text: str | None, charset: str) -> bytes | None:

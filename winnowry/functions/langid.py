@@ -15,6 +15,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from . import pieces
+
 #: Buckets of the hash, a power of two; longest n-gram; what each bucket counts beforehand.
 BUCKETS, GRAMS, SMOOTH = 1 << 14, 3, 0.5
 #: Characters of a text that are looked at at once; longer texts are read in pieces that overlap.
@@ -83,7 +85,7 @@ def train(rows: DataFrame, text: str = "text", label: str = "lang") -> Model:
     def count(batches):
         sums: dict[str, np.ndarray] = {}
         for b in batches:
-            for k, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+            for k, t in zip(pieces.values(b.column(0)), pieces.values(b.column(1)), strict=True):
                 if k in sums:
                     sums[k] += counts(t)
                 else:

@@ -9,9 +9,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from . import pieces
+
 BANDS = 4
 #: Tokens whose digests a worker keeps.
-CACHE = 1_000_000
+CACHE = 200_000
 
 
 def simhash(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -21,7 +23,7 @@ def simhash(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFra
         known: dict[bytes, bytes] = {}
         for b in batches:
             hi, lo = [], []
-            for t in b.column(1).to_pylist():
+            for t in pieces.values(b.column(1)):
                 tokens = (t or "").encode().split()
                 if len(known) > CACHE:
                     known.clear()
