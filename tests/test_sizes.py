@@ -3,12 +3,14 @@
 import time
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 
-from winnowry.functions import lexicon
+from winnowry.functions import lexicon, pieces
 from winnowry.functions import text as T
 from winnowry.functions import windows
 from winnowry.operators import refine
+from winnowry.sources import wet
 from winnowry.streaming import neardup as streamed
 
 
@@ -107,3 +109,32 @@ def test_places_of_words_equal_a_loop():
             text = "".join("abc]-^"[int(c, 16) % 6] for c in lines(300, seed) if c != " ")
             want = [w for i in range(len(text)) for w in sorted(words, key=len) if len(w) > 1 and text.startswith(w, i)] if len(trie) > 1 else []
             assert lexicon.matches(trie, text, places=lexicon.begins(trie, most)) == want
+
+
+def test_short_ranges_share_tasks(spark, tmp_path):
+    """Tasks grow with the archives' bytes, not with the number of ranges."""
+    rows = [(i, f"https://a.example/{i}", "2024-01-01T00:00:00Z", lines(3000, i).encode()) for i in range(300)]
+    wet.write_records(spark.createDataFrame(rows, "doc_id long, uri string, date string, body binary").coalesce(2), str(tmp_path / "w"))
+    found = wet.read_records(spark, str(tmp_path / "w"), "part-*", size=1000)
+    assert wet.ranges(spark, str(tmp_path / "w"), "part-*", 1000).count() > 300
+    assert found.rdd.getNumPartitions() <= 4 * spark.sparkContext.defaultParallelism
+    assert sorted(bytes(r.body) for r in found.filter("error is null").collect()) == sorted(r[3] for r in rows)
+
+
+def test_pieces_hold_few_values(monkeypatch):
+    """Of a batch only a piece is held as Python objects."""
+    held, most = [0], [0]
+
+    class Counted(str):
+        def __new__(cls, x):
+            held[0] += 1
+            most[0] = max(most[0], held[0])
+            return super().__new__(cls, x)
+
+        def __del__(self):
+            held[0] -= 1
+
+    column = pa.array([None, *(f"text {i}" for i in range(3000))])
+    got = pieces._joined((None if x is None else Counted(x.upper()) for x in pieces.values(column)), pa.string())
+    assert got.to_pylist() == [None, *(f"TEXT {i}" for i in range(3000))] and most[0] <= pieces.ROWS + 1
+    assert pieces._joined(pieces.values(column.slice(0, 0)), pa.string()).to_pylist() == []

@@ -24,18 +24,19 @@ from collections.abc import Callable, Iterator
 from typing import BinaryIO
 from urllib.parse import unquote
 
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSourceReader, InputPartition
 
+from ..functions import pieces
+
 SCHEMA = "path string, offset long, warc_type string, content_length long, target_uri string, date string, body binary, error string"
 KINDS = pa.schema([("path", pa.string()), ("offset", pa.int64()), ("warc_type", pa.string()), ("content_length", pa.int64()), ("target_uri", pa.string()), ("date", pa.string()), ("body", pa.binary()), ("error", pa.string())])
 FIELD = re.compile(rb"^([!-9;-~]+)[ \t]*:[ \t]*(.*?)[ \t]*\r?$", re.M)
 MAGIC = b"\x1f\x8b\x08"
-#: Bytes of a range, read at a time, of a record's header at most; bytes and rows of a batch.
-RANGE, STEP, HEADER, BATCH, ROWS = 64 << 20, 1 << 16, 1 << 20, 8 << 20, 4096
+#: Bytes of a range, read at a time, of a record's header at most; bytes and rows of a batch; bytes of a task of many ranges.
+RANGE, STEP, HEADER, BATCH, ROWS, SHARE = 64 << 20, 1 << 16, 1 << 20, 8 << 20, 4096, 16 << 20
 
 
 def open_any(path: str) -> BinaryIO:
@@ -211,6 +212,12 @@ def ranges(spark: SparkSession, path: str, pattern: str = "*.gz", size: int = RA
     return files.select("path", "length", F.explode(F.sequence(F.lit(0).cast("long"), F.col("length") - 1, F.lit(size).cast("long"))).alias("begin")).withColumn("end", F.least(F.col("begin") + size, "length"))
 
 
+def tasks(found: DataFrame) -> int:
+    """How many tasks read the ranges: one for each 16 MB, some for each core at least, and no more than there are ranges. Short ranges share a task."""
+    n, size = found.agg(F.count("*"), F.coalesce(F.sum(F.col("end") - F.col("begin")), F.lit(0))).first()
+    return max(1, min(n, 100_000, max(4 * found.sparkSession.sparkContext.defaultParallelism, -(-size // SHARE))))
+
+
 def read_records(spark: SparkSession, path: str, pattern: str = "*.gz", *, size: int = RANGE, opener: Callable[[str], BinaryIO] | None = open_any) -> DataFrame:
     """Rows of SCHEMA of all archives below path: records, and with `error` what can't be read.
 
@@ -234,7 +241,7 @@ def read_records(spark: SparkSession, path: str, pattern: str = "*.gz", *, size:
         files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", pattern).load(path).select("path", "content")
         return files.mapInArrow(run_whole, SCHEMA)
     found = ranges(spark, path, pattern, size)
-    return found.repartition(max(1, min(100_000, found.count()))).mapInArrow(run, SCHEMA)
+    return found.repartition(tasks(found)).mapInArrow(run, SCHEMA)
 
 
 def member_index(spark: SparkSession, path: str, pattern: str = "*.gz", *, size: int = RANGE) -> DataFrame:
@@ -269,12 +276,7 @@ class RangeReader(DataSourceReader):
 
 def compressed(record: Column) -> Column:
     """A gzip member of each binary value."""
-    @F.pandas_udf("binary")
-    def run(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for values in parts:
-            yield pd.Series([gzip.compress(bytes(v), 6, mtime=0) for v in values], dtype=object)
-
-    return run(record)
+    return pieces.mapped(lambda v: gzip.compress(v, 6, mtime=0), "binary", pa.binary(), record)
 
 
 def records_of(rows: DataFrame, length: Column | None = None) -> Column:
