@@ -138,3 +138,10 @@ def test_pieces_hold_few_values(monkeypatch):
     got = pieces._joined((None if x is None else Counted(x.upper()) for x in pieces.values(column)), pa.string())
     assert got.to_pylist() == [None, *(f"TEXT {i}" for i in range(3000))] and most[0] <= pieces.ROWS + 1
     assert pieces._joined(pieces.values(column.slice(0, 0)), pa.string()).to_pylist() == []
+
+
+def test_blocks_are_hashed_once(spark):
+    docs = spark.range(9).selectExpr("id AS doc_id", "repeat(concat('shared words ', id % 2, ' '), 9) AS text", "'x' AS domain", "'en' AS language")
+    out = refine.dedup_blocks(docs, refine.Config(keys=("language",)))
+    assert "MapInArrow" not in out._jdf.queryExecution().executedPlan().toString()
+    assert out.agg(F.sum("n_removed")).first()[0] == 9

@@ -211,12 +211,12 @@ def dedup_blocks(docs: DataFrame, cfg: Config = Config(), examples: bool = False
     keys = list(cfg.keys)
     own = _numbered(docs)
     plain = own.withColumn("doc_id", F.col("_row"))
-    blocks = _candidates(plain, cfg)
+    from ..plans.session import stored
+
+    blocks = stored(_candidates(plain, cfg), "blocks")  # counted and looked up: hashed once
     found = blocks.join(_shared(blocks, plain, cfg).select(*keys, "hash"), [*keys, "hash"], "left_semi").withColumnRenamed("doc_id", "_row")
     if not examples:
         return _without(own, found.select("_row", "pos").distinct(), docs.columns)
-    from ..plans.session import stored
-
     hits = stored(found.groupBy(*keys, "_row", "pos").agg(F.min(F.struct("at", "hash")).alias("b")).select(*keys, "_row", "pos", "b.at", "b.hash"), "block-hits")
     size = F.when(F.col("language") == "zh", cfg.block_zh).otherwise(cfg.block)
     if "language" not in keys:
