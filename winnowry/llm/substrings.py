@@ -3,10 +3,10 @@
 A rolling hash of every GRAM bytes sets triggers: the trigger of a window of `length` bytes is its gram with the least hash.
 A phrase is a maximal run of windows of one trigger with all their bytes, so phrases overlap by length - 1 bytes, each window
 lies in exactly one, and equal windows lie in phrases of equal triggers. The parse is the documents' sequence of phrases,
-the dictionary the distinct ones. Windows of a phrase that the parse holds twice are repeated. Of dictionary phrases with
-a common trigger, the suffixes are sorted by doubling, and windows that begin equal suffixes of `length` bytes are repeated:
-the order of the corpus restricted to what can repeat. Triggers under which too many phrases lie for one task are compared
-window by window in a shuffle instead.
+the dictionary the distinct ones. Windows of a phrase that the parse holds twice are repeated. Dictionary phrases of
+common triggers are sorted by their suffixes that begin with the trigger, and by their reversed prefixes before it. A window is
+so many bytes before its trigger and the rest of `length` from it on, so the LCP arrays of both orders tell which are repeated.
+Triggers under which too many phrases lie for one task are compared window by window in a shuffle instead.
 
 Only phrases whose trigger occurs twice move, found with filters of fixed size over all triggers.
 
@@ -27,13 +27,15 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import chunks, stored, table, text_parts
+from .common import chunks, ranges, stored, table, text_parts
 from .filters import bitmap, has
-from .hashing import mix, running, spans_of
+from .hashing import mix, powers, running, spans_of
 
 LENGTH, GRAM = 200, 64
-#: Window starts that one numpy pass works on.
-BLOCK = 1 << 20
+#: Window starts that one numpy pass works on, so that its arrays stay in the processor's cache.
+BLOCK = 1 << 15
+#: Bits of a gram's order that hold its place in a block.
+PLACES = (1 << 16) - 1
 #: Phrases held for counting before they are passed on.
 FLUSH = 1 << 20
 BITS = 26
@@ -42,40 +44,59 @@ MOST = 4096
 
 
 def least(x: np.ndarray, width: int) -> np.ndarray:
-    """The least of each width neighbours."""
-    n = len(x) - width + 1
-    full = np.full(-(-len(x) // width) * width, np.iinfo(x.dtype).max, x.dtype)
-    full[: len(x)] = x
-    rows = full.reshape(-1, width)
-    ahead = np.minimum.accumulate(rows, axis=1).reshape(-1)
-    back = np.minimum.accumulate(rows[:, ::-1], axis=1)[:, ::-1].reshape(-1)
-    return np.minimum(back[:n], ahead[width - 1 : width - 1 + n])
+    """The least of each width neighbours, by doubling."""
+    n, step = len(x) - width + 1, 1
+    while step * 2 <= width:
+        x = np.minimum(x[:-step], x[step:])
+        step *= 2
+    return np.minimum(x[:n], x[width - step :])
+
+
+def _parsed(part: np.ndarray, good: np.ndarray, length: int, gram: int):
+    """trigger, phrase, first window, windows, place of the trigger in the phrase, of a block's phrases; good: which windows lie in one row."""
+    sums, (_, down) = running(part), powers(len(part))
+    keys = sums[gram:] - sums[:-gram]
+    keys *= down[: len(keys)]
+    # one round of mix() orders the grams; the low bits are their places, so that of equal grams the first is the least
+    order = keys >> np.uint64(32)
+    order ^= keys
+    order *= np.uint64(0xD6E8FEB86659FD93)
+    order &= ~np.uint64(PLACES)
+    order |= np.arange(len(order), dtype=np.uint64)
+    window = least(order, length - gram + 1)
+    changes = np.ones(len(window) + 1, bool)
+    np.not_equal(window[1:], window[:-1], out=changes[1:-1])
+    # two good windows side by side lie in the same row
+    begins, ends = good & changes[:-1], good & changes[1:]
+    begins[1:] |= good[1:] & ~good[:-1]
+    ends[:-1] |= good[:-1] & ~good[1:]
+    first, last = np.flatnonzero(begins), np.flatnonzero(ends)
+    place = (window[first] & np.uint64(PLACES)).astype(np.int64)
+    return mix(keys[place]), spans_of(sums, first, last + length), first, last - first + 1, place - first
 
 
 def phrases(text: np.ndarray, at: np.ndarray, length: int = LENGTH, gram: int = GRAM):
-    """trigger, phrase (64-bit hashes), row, first byte within the row, windows, of all phrases of rows text[at[k]:at[k + 1]]."""
-    base, end = int(at[0]), int(at[-1])
+    """trigger, phrase (64-bit hashes), row, first byte within the row, windows, place of the trigger, of all phrases of rows text[at[k]:at[k + 1]].
+
+    A block is whole rows, or a part of one longer row.
+    """
+    sizes = np.diff(at)
+    windows = np.maximum(sizes - length + 1, 0)
     out = []
-    for lo in range(base, end - length + 1, BLOCK):
-        part = text[lo : min(lo + BLOCK + length - 1, end)]
-        sums = running(part)
-        n = len(part)
-        grams = np.arange(n - gram + 1)
-        keys = spans_of(sums, grams, grams + gram)
-        window = least((keys & ~np.uint64((1 << 24) - 1)) | grams.astype(np.uint64), length - gram + 1)
-        place = (window & np.uint64((1 << 24) - 1)).astype(np.int64)
-        row = np.searchsorted(at, np.arange(lo, lo + len(place)), side="right") - 1
-        good = np.arange(lo, lo + len(place)) + length <= at[row + 1]
-        begins = good.copy()
-        begins[1:] &= (place[1:] != place[:-1]) | (row[1:] != row[:-1]) | ~good[:-1]
-        first = np.flatnonzero(begins)
-        ends = good.copy()
-        ends[:-1] &= (place[1:] != place[:-1]) | (row[1:] != row[:-1]) | ~good[1:]
-        last = np.flatnonzero(ends)
-        out.append((keys[place[first]], spans_of(sums, first, last + length), row[first], first + lo - at[row[first]], last - first + 1))
+    for lo, hi in chunks(at, BLOCK):
+        begin, end = int(at[lo]), int(at[hi])
+        if end - begin < length:
+            continue
+        for x in range(begin, end - length + 1, BLOCK):
+            part = text[x : min(x + BLOCK + length - 1, end)]
+            good = np.ones(len(part), bool) if hi - lo == 1 else np.repeat(np.tile([True, False], hi - lo), np.stack([windows[lo:hi], sizes[lo:hi] - windows[lo:hi]], axis=1).ravel())
+            trigger, phrase, first, n, place = _parsed(part, good[: len(part) - length + 1], length, gram)
+            first += x
+            row = np.searchsorted(at, first, side="right") - 1
+            out.append((trigger, phrase, row, first - at[row], n, place))
     if not out:
         z = np.zeros(0, np.int64)
-        return z.view(np.uint64), z.view(np.uint64), z, z, z
+        return z.view(np.uint64), z.view(np.uint64), z, z, z, z
     return tuple(np.concatenate(x) for x in zip(*out, strict=True))
 
 
@@ -116,7 +137,7 @@ def occurrences(docs: DataFrame, often: Broadcast, length: int) -> DataFrame:
             data, at = text_parts(b.column(1))
             uid = b.column(0).to_numpy()
             for lo, hi in chunks(at):
-                trigger, phrase, row, first, n = phrases(data, at[lo : hi + 1], length)
+                trigger, phrase, row, first, n, _ = phrases(data, at[lo : hi + 1], length)
                 own = has(often.value, trigger)
                 yield pa.RecordBatch.from_arrays([pa.array(uid[lo + row[own]]), _long(trigger[own]), _long(phrase[own]), pa.array(first[own]), pa.array(n[own])], names=["uid", "trigger", "phrase", "at", "n"])
 
@@ -139,7 +160,7 @@ def exemplars(rows: DataFrame) -> DataFrame:
 
 
 def dictionary(docs: DataFrame, chosen: Broadcast, crowded: Broadcast, length: int) -> DataFrame:
-    """Dictionary phrases from the documents chosen for them: kind 0 with their bytes, kind 1 as windows (window hash, offset)."""
+    """Dictionary phrases from the documents chosen for them: kind 0 with their bytes and the trigger's offset, kind 1 as windows (window hash, offset)."""
 
     def emit(batches):
         seen: set[int] = set()
@@ -147,7 +168,7 @@ def dictionary(docs: DataFrame, chosen: Broadcast, crowded: Broadcast, length: i
             data, at = text_parts(b.column(1))
             uid = b.column(0).to_numpy()
             for lo, hi in chunks(at):
-                trigger, phrase, row, first, n = phrases(data, at[lo : hi + 1], length)
+                trigger, phrase, row, first, n, place = phrases(data, at[lo : hi + 1], length)
                 own = np.flatnonzero(has(chosen.value, exemplar(phrase, uid[lo + row])))
                 fresh = []
                 for i, k in zip(own.tolist(), phrase[own].tolist(), strict=True):
@@ -164,7 +185,7 @@ def dictionary(docs: DataFrame, chosen: Broadcast, crowded: Broadcast, length: i
                 plain = own[~full]
                 texts = [data[x : x + m + length - 1].tobytes() for x, m in zip(begin[~full].tolist(), n[plain].tolist(), strict=True)]
                 if len(plain):
-                    yield pa.RecordBatch.from_arrays([pa.array(np.zeros(len(plain), np.int32)), _long(trigger[plain]), _long(phrase[plain]), pa.nulls(len(plain), pa.int64()), pa.array(texts, pa.binary())], names=["kind", "key", "phrase", "offset", "bytes"])
+                    yield pa.RecordBatch.from_arrays([pa.array(np.zeros(len(plain), np.int32)), _long(trigger[plain]), _long(phrase[plain]), pa.array(place[plain]), pa.array(texts, pa.binary())], names=["kind", "key", "phrase", "offset", "bytes"])
                 for x, i in zip(begin[full].tolist(), own[full].tolist(), strict=True):
                     m = int(n[i])
                     starts = np.arange(m)
@@ -174,29 +195,37 @@ def dictionary(docs: DataFrame, chosen: Broadcast, crowded: Broadcast, length: i
     return docs.select("uid", "text").mapInArrow(emit, "kind int, key long, phrase long, offset long, bytes binary")
 
 
-def suffix_classes(text: np.ndarray, length: int) -> np.ndarray:
-    """Numbers of the suffixes of text, equal where their first `length` bytes are; by doubling. Suffixes must be as long."""
-    rank, step = text.astype(np.int64), 1
-    while step * 2 <= length:
-        key = rank[: len(rank) - step] * (int(rank.max()) + 1) + rank[step:]
-        rank = np.unique(key, return_inverse=True)[1]
-        step *= 2
-    rest = length - step
-    if rest:
-        key = rank[: len(rank) - rest] * (int(rank.max()) + 1) + rank[rest:]
-        rank = np.unique(key, return_inverse=True)[1]
-    return rank
+def prefix_classes(texts: list[bytes], width: int) -> np.ndarray:
+    """classes[d, k]: equal for the texts k whose first d bytes are equal, if they have as many; from the LCP array of the sorted texts."""
+    rows = np.array(texts, f"S{width}")
+    order = np.argsort(rows)
+    cells = rows[order].view(np.uint8).reshape(len(texts), width)
+    same = cells[1:] == cells[:-1]
+    common = np.where(same.all(axis=1), width, same.argmin(axis=1))
+    out = np.zeros((width + 1, len(texts)), np.int32)
+    out[:, order[1:]] = np.cumsum(common < np.arange(width + 1)[:, None], axis=1, dtype=np.int32)
+    return out
+
 
+def repeated(texts: list[bytes], places: list[int], length: int) -> list[np.ndarray]:
+    """For each of some distinct phrases with triggers at places, which of its windows another one of them also holds.
 
-def repeated(texts: list[bytes], length: int) -> list[np.ndarray]:
-    """For each of some distinct phrases, which of its windows another one of them, or itself, also holds."""
-    sizes = np.array([len(t) for t in texts])
-    text = np.frombuffer(b"".join(texts), np.uint8)
-    begin = np.cumsum(sizes) - sizes
-    rank = suffix_classes(text, length)
-    own = np.concatenate([np.arange(b, b + s - length + 1) for b, s in zip(begin.tolist(), sizes.tolist(), strict=True)])
-    _, back, n = np.unique(rank[own], return_inverse=True, return_counts=True)
-    return np.split(n[back] > 1, np.cumsum(sizes - length + 1)[:-1])
+    Equal windows have their trigger at the same place, so a window is repeated if another phrase has the same bytes from the trigger on to the window's
+    end and the same ones before it back to the window's begin. A phrase holds no window twice.
+    """
+    place, sizes = np.array(places), np.array([len(t) for t in texts])
+    after = prefix_classes([t[p:] for t, p in zip(texts, places, strict=True)], length)
+    before = prefix_classes([t[:p][::-1] for t, p in zip(texts, places, strict=True)], max(1, int(place.max())))
+    windows = sizes - length + 1
+    own = np.repeat(np.arange(len(texts)), windows)
+    ahead = place[own] - ranges(np.zeros(len(texts), np.int64), windows)  # the window's bytes before the trigger
+    key = (ahead * len(texts) + before[ahead, own]) * len(texts) + after[length - ahead, own]
+    order = np.argsort(key)
+    same = np.zeros(len(key) + 1, bool)
+    np.equal(key[order[1:]], key[order[:-1]], out=same[1:-1])
+    marks = np.zeros(len(key), bool)
+    marks[order] = same[1:] | same[:-1]
+    return np.split(marks, np.cumsum(windows)[:-1])
 
 
 def _runs(marks: np.ndarray) -> list[dict]:
@@ -215,11 +244,11 @@ def compared(held: DataFrame, length: int) -> DataFrame:
     schema = pa.schema([("phrase", pa.int64()), ("runs", RUNS), ("window", pa.int64()), ("offset", pa.int64())])
 
     def sort(batches):
-        own: dict[int, bytes] = {}
+        own: dict[int, tuple[bytes, int]] = {}
         size, last = 0, None
 
         def out():
-            marks = repeated(list(own.values()), length)
+            marks = repeated(*map(list, zip(*own.values(), strict=True)), length)
             names = [k for k, m in zip(own, marks, strict=True) if m.any()]
             n = len(names)
             if n:
@@ -230,13 +259,13 @@ def compared(held: DataFrame, length: int) -> DataFrame:
             if n := windows.num_rows:
                 yield pa.RecordBatch.from_arrays([windows.column(2), pa.nulls(n, RUNS), windows.column(1), windows.column(3)], schema=schema)
             plain = b.filter(pc.equal(b.column(0), 0))
-            for key, phrase, text in zip(*(plain.column(i).to_pylist() for i in (1, 2, 4)), strict=True):
+            for key, phrase, place, text in zip(*(plain.column(i).to_pylist() for i in (1, 2, 3, 4)), strict=True):
                 if key != last and size > 1 << 20:
                     yield from out()
                     own, size = {}, 0
                 last = key
                 if phrase not in own:
-                    own[phrase] = text
+                    own[phrase] = text, place
                     size += len(text)
         if own:
             yield from out()
