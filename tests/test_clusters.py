@@ -80,3 +80,16 @@ def test_bad_row_files(spark, tmp_path):
     clusters.write_bad_rows(spark.createDataFrame(rows, "file long, row_no long"), str(tmp_path / "bad"))
     assert sorted(tuple(r) for r in clusters.read_bad_rows(spark, str(tmp_path / "bad")).collect()) == sorted(rows)
     assert sorted(p.name for p in (tmp_path / "bad").iterdir() if p.is_dir()) == ["file=12", "file=3"]
+
+
+def test_bad_row_lists_are_spread_over_tasks(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(clusters, "LISTS", 16, raising=False)
+    rows = [(f, i) for f in range(160) for i in range(3)]
+    clusters.write_bad_rows(spark.createDataFrame(rows, "file long, row_no long"), str(tmp_path / "bad"))
+    lists = {}
+    for p in (tmp_path / "bad").glob("file=*/part-*"):
+        lists.setdefault(p.name[:10], set()).add(p.parent.name)
+    assert len(lists) > 7 and max(map(len, lists.values())) <= 32
+    assert sorted(tuple(r) for r in clusters.read_bad_rows(spark, str(tmp_path / "bad")).collect()) == rows
+    clusters.write_bad_rows(spark.createDataFrame([], "file long, row_no long"), str(tmp_path / "none"))
+    assert clusters.read_bad_rows(spark, str(tmp_path / "none")).count() == 0

@@ -26,6 +26,8 @@ from ..plans.session import stored
 
 SUMMARY = "part long, hashes array<long>, outs array<long>, out_keys array<long>, last long, last_key long"
 MASK = (1 << 64) - 1
+#: Lists of bad rows, and lines of them, that one task writes.
+LISTS, LINES = 128, 1 << 20
 
 
 def close(a: int, b: int, near: int) -> bool:
@@ -151,11 +153,17 @@ def bad_rows(found: DataFrame, rows_per_file: int | None = None) -> DataFrame:
 
 
 def write_bad_rows(rows: DataFrame, path: str) -> None:
-    """The numbers of bad rows (file, row_no) as ascending lines, below file=<file>; a file's list is in as many parts as it needs."""
-    ordered = rows.repartitionByRange("file", "row_no").sortWithinPartitions("file", "row_no")
+    """The numbers of bad rows (file, row_no) as ascending lines, below file=<file>; a file's list is in as many parts as it needs.
+
+    A list takes as long to open as thousands of its lines to write, so tasks are as many as the lists ask for, however few bytes they hold.
+    """
+    own = stored(rows.select("file", "row_no"), "bad-row-numbers")
+    lists, lines = own.agg(F.count_distinct("file"), F.count("*")).first()
+    ordered = own.repartitionByRange(max(1, -(-lists // LISTS), -(-lines // LINES)), "file", "row_no").sortWithinPartitions("file", "row_no")
     ordered.select(F.col("row_no").cast("string").alias("value"), "file").write.partitionBy("file").text(path)
 
 
 def read_bad_rows(spark, path: str) -> DataFrame:
-    own = spark.read.schema("value string, file long").option("basePath", path).text(path)
-    return own.select("file", F.col("value").cast("long").alias("row_no"))
+    own = spark.read.option("basePath", path).text(path)
+    file = F.col("file") if "file" in own.columns else F.lit(None)  # no lists, where no row is bad
+    return own.select(file.cast("long").alias("file"), F.col("value").cast("long").alias("row_no"))
