@@ -93,3 +93,17 @@ def test_bad_row_lists_are_spread_over_tasks(spark, tmp_path, monkeypatch):
     assert sorted(tuple(r) for r in clusters.read_bad_rows(spark, str(tmp_path / "bad")).collect()) == rows
     clusters.write_bad_rows(spark.createDataFrame([], "file long, row_no long"), str(tmp_path / "none"))
     assert clusters.read_bad_rows(spark, str(tmp_path / "none")).count() == 0
+
+
+def test_hashes_are_computed_once(spark):
+    n = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for b in batches:
+            n.add(b.num_rows)
+            yield b
+
+    rows = made(300, 12, random.Random(5))
+    own = spark.createDataFrame(rows, "doc_id long, hi long, lo long").mapInArrow(counted, "doc_id long, hi long, lo long")
+    assert {r.doc_id: (r.cluster, r.member) for r in clusters.clusters(own).collect()} == walked(rows)
+    assert n.value == 300

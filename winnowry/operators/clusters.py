@@ -93,6 +93,7 @@ def clusters(hashes: DataFrame, near: int = 3) -> DataFrame:
         raise ValueError("summaries are short for anchors within two bits")
     word = F.shiftleft("hi", 32).bitwiseOR(F.col("lo"))
     own = hashes.filter("hi is not null and lo is not null").select(F.col("doc_id").cast("long").alias("key"), "hi", "lo", word.alias("hash"))
+    own = stored(own, "cluster-hashes")  # sampling for ranges would compute the hashes once more
     ranged = stored(own.repartitionByRange("hi", "lo", "key").select("key", "hi", "lo", "hash", F.spark_partition_id().cast("long").alias("part")), "cluster-rows")
     order = ["part", "hi", "lo", "key"]
     parts = ranged.repartition("part").sortWithinPartitions(*order)
